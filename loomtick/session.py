@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,3 +55,20 @@ def stored(df: DataFrame, what: str) -> DataFrame:
 def default_parallelism(spark: SparkSession) -> int:
     """The configured number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", os.environ.get("SPARK_SHUFFLE_PARTITIONS", "200")))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application: functions that run in Python workers import it there."""
+    context = spark.sparkContext
+    if getattr(context, "_loomtick_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    at = os.path.join(tempfile.mkdtemp(prefix="loomtick-code-"), "loomtick.zip")
+    with zipfile.ZipFile(at, "w") as z:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("loomtick", os.path.relpath(path, package)))
+    context.addPyFile(at)
+    context._loomtick_shipped = True
