@@ -45,6 +45,7 @@ def mix_sources(docs: DataFrame, targets: DataFrame, seed: int = 17, rows_per_sl
     a source in which the budget ends is ordered row by row. A source with a third of all documents therefore costs one
     task about ``rows_per_slice`` rows.
     """
+    docs = docs.select("doc_id", "source", "tokens", "weight")
     plan = mix_plan(docs, targets)
     weight = F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(1e-6))
     keyed = docs.where("source is not null").withColumn("key", exponential_key(F.col("doc_id"), weight, seed))
@@ -68,9 +69,13 @@ def mix_sources(docs: DataFrame, targets: DataFrame, seed: int = 17, rows_per_sl
 
 
 def mix_report(docs: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame:
-    """Per target source: its tokens and budget, ``capped``, ``epochs``, the tokens it really gives and the share reached."""
+    """Per target source: its tokens and budget, ``capped``, ``epochs``, the tokens it really gives and the share reached.
+
+    ``limited`` is read off the mixture itself: every document was given ``max_repeats`` times and the budget wasn't met.
+    """
     mixture = mix_sources(docs, targets, seed).groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("given"))
     plan = mix_plan(docs, targets).join(mixture, "source", "left").withColumn("given", F.coalesce("given", F.lit(0)))
     all_given = plan.agg(F.sum("given").alias("all_given"))
     reached = F.when(F.col("all_given") > 0, F.col("given") / F.col("all_given")).otherwise(0.0)
-    return plan.crossJoin(F.broadcast(all_given)).select("source", "target_share", "max_repeats", "tokens", "docs", "budget", "capped", "epochs", "given", reached.alias("reached_share"))
+    limited = (F.col("given") == F.col("max_repeats") * F.col("tokens")) & (F.col("given") < F.col("budget"))
+    return plan.crossJoin(F.broadcast(all_given)).select("source", "target_share", "max_repeats", "tokens", "docs", "budget", "capped", "epochs", "given", limited.alias("limited"), reached.alias("reached_share"))

@@ -122,7 +122,7 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return p9_report(spark, d).where("capped").select("source")
+    return p9_report(spark, d).where("limited").select("source")
 
 
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
