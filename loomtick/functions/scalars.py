@@ -47,7 +47,7 @@ def brazilian_number(text: Column) -> Column:
 def chart_date(code: Column) -> Column:
     """``1YYMMDD`` as a date; NULL if it is none."""
     day = code.cast("bigint") + 19_000_000
-    return F.try_to_date(day.cast("string"), F.lit("yyyyMMdd")) if hasattr(F, "try_to_date") else F.to_date(F.try_to_timestamp(day.cast("string"), F.lit("yyyyMMdd")))
+    return F.to_date(F.try_to_timestamp(day.cast("string"), F.lit("yyyyMMdd")))
 
 
 def safe_path(text: Column) -> Column:

@@ -388,14 +388,16 @@ def e12_drawdown(spark, d):
     return rows.select("symbol", "dt", "minuto", r6("acumulado", 5).alias("acumulado"), (r6("queda", 5) + 0.0).alias("queda"))
 
 
-@R.add(f"WITH {SQL_TAPE}, c AS (SELECT *, round((price - first_value(price) OVER ({SQL_ORD})) * 100)::hugeint AS dev, first_value(price) OVER ({SQL_ORD}) AS p0 FROM tape), s AS (SELECT symbol, dt, trade_id, p0, sum(quantidade) OVER w::double AS q, sum(quantidade * dev) OVER w::double AS qd, sum(quantidade * dev * dev) OVER w::double AS qdd FROM c WINDOW w AS ({SQL_ORD} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT symbol, dt, trade_id, round(p0 + qd / q / 100, 8) AS vwap, round(sqrt(greatest(qdd / q - (qd / q) * (qd / q), 0)) / 100, 6) AS desvio FROM s")
+@R.add(f"WITH {SQL_TAPE}, c AS (SELECT *, round((price - first_value(price) OVER ({SQL_ORD})) * 100)::hugeint AS dev, first_value(price) OVER ({SQL_ORD}) AS p0 FROM tape), s AS (SELECT symbol, dt, trade_id, p0, sum(quantidade) OVER w AS qi, sum(quantidade * dev) OVER w AS qdi, sum(quantidade) OVER w::double AS q, sum(quantidade * dev) OVER w::double AS qd, sum(quantidade * dev * dev) OVER w::double AS qdd FROM c WINDOW w AS ({SQL_ORD} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT symbol, dt, trade_id, ((round(p0 * 100)::hugeint * qi + qdi) * 1000 // qi)::double / 100000 AS vwap, round(sqrt(greatest(qdd / q - (qd / q) * (qd / q), 0)) / 100, 4) AS desvio FROM s")
 def e13_session_vwap(spark, d):
     """Running session VWAP and volume-weighted deviation, centred on the day's first price, in whole hundredths so that sums are exact."""
     run = ORDERED.rowsBetween(Window.unboundedPreceding, 0)
     rows = tape(spark, d).withColumn("_p0", F.first("price").over(ORDERED)).withColumn("_d", F.round((F.col("price") - F.col("_p0")) * 100).cast("decimal(19,0)"))
-    q, qd, qdd = (F.sum(F.col("quantidade") * x).over(run).cast("double") for x in (F.lit(1), F.col("_d"), F.col("_d") * F.col("_d")))
+    qi, qdi, qddi = (F.sum(F.col("quantidade") * x).over(run) for x in (F.lit(1), F.col("_d"), F.col("_d") * F.col("_d")))
+    q, qd, qdd = (x.cast("double") for x in (qi, qdi, qddi))
     sd = F.sqrt(F.greatest(qdd / q - (qd / q) * (qd / q), F.lit(0.0))) / 100
-    return rows.select("symbol", "dt", "trade_id", r6(F.col("_p0") + qd / q / 100, 8).alias("vwap"), r6(sd).alias("desvio"))
+    rows = rows.withColumns({"_n": ((F.round(F.col("_p0") * 100).cast("decimal(19,0)") * qi + qdi) * 1000).cast("decimal(38,0)"), "_q": qi, "_sd": sd})
+    return rows.select("symbol", "dt", "trade_id", (F.expr("_n div _q").cast("double") / 100000).alias("vwap"), r6("_sd", 4).alias("desvio"))
 
 
 @R.add(f"WITH {SQL_M1}, s AS (SELECT symbol, dt, minuto, CASE WHEN close > open THEN 1 WHEN close < open THEN -1 END AS lado FROM m1) SELECT symbol, dt, minuto, last_value(lado IGNORE NULLS) OVER ({_M1W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)::bigint AS lado_antes, coalesce(minuto = min(CASE WHEN lado = 1 THEN minuto END) OVER (PARTITION BY symbol, dt), false) AS primeira_alta FROM s")
