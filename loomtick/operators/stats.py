@@ -17,12 +17,12 @@ def walk_forward(days: DataFrame, day: str, train: int, test: int) -> DataFrame:
 
 def information_coefficient(rows: DataFrame, keys: Sequence[str], x: str, y: str, least: int = 10) -> DataFrame:
     """Spearman's correlation per key, NULL below ``least`` pairs or for a constant column."""
-    from .windows import average_rank
+    from .windows import average_rank, correlation
 
     pairs = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     ranked = pairs.withColumns({"_x": average_rank(F.col(x), keys), "_y": average_rank(F.col(y), keys)})
     usable = (F.count(F.lit(1)) >= least) & (F.stddev_samp("_x") > 0) & (F.stddev_samp("_y") > 0)
-    return ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.when(usable, F.corr("_x", "_y")).alias("ic"))
+    return ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.when(usable, correlation(F.col("_x"), F.col("_y"))).alias("ic"))
 
 
 def welch_t(mean_a: Column, var_a: Column, n_a: Column, mean_b: Column, var_b: Column, n_b: Column) -> Column:

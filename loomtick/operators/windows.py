@@ -54,3 +54,8 @@ def drawdown(df: DataFrame, keys: Sequence[str], order: Sequence[str], pnl: str)
     out = df.withColumn("acumulado", F.sum(pnl).over(w))
     out = out.withColumn("topo", F.greatest(F.max("acumulado").over(w), F.lit(0.0)))
     return out.withColumn("queda", F.col("acumulado") - F.col("topo"))
+
+
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson's coefficient; NULL for a constant column (the built-in divides by zero there)."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..operators import bars as B
@@ -13,10 +13,10 @@ from ..operators.labels import excursions, one_at_a_time, resolve_target_stop, t
 from ..operators.quotes import crossed_episodes, top_of_book, usability
 from ..operators.stats import information_coefficient, quantile_bucket, value_at_risk, walk_forward, welch_t
 from ..operators.tape import is_aggressor, local_hhmm, passive_broker
-from ..operators.windows import islands, strict_past_z
+from ..operators.windows import correlation, islands, strict_past_z
 from ..sources.tables import table, valid_ts
 from .registry import SQL_QUOTES, SQL_SYMBOL, SQL_TAPE, SQL_VALID, Registry, quotes, r6, tape
-from .tape_queries import _M1W, M1_DAY, MINUTE, SQL_HHMM, SQL_M1, SQL_ORD, m1, sql_full, sql_z
+from .tape_queries import _M1W, MINUTE, SQL_HHMM, SQL_M1, SQL_ORD, in_minutes, m1, sql_full, sql_z
 
 R = Registry()
 PER_DAY = 20
@@ -59,7 +59,9 @@ def flow(spark: SparkSession, d: str) -> DataFrame:
     return B.flow_features(rows, ["symbol", "bar_id", "tick"], F.col("tick")).drop("tick")
 
 
-BAR = Window.partitionBy("symbol").orderBy("bar_id")
+def by_bar() -> WindowSpec:
+    return Window.partitionBy("symbol").orderBy("bar_id")
+
 
 # ---- I: bars ---------------------------------------------------------------------------------------------------------
 
@@ -110,7 +112,7 @@ def i06_roll_up(spark, d):
 
 @R.add(f"WITH {SQL_M1} SELECT symbol, dt, minuto, round(ln(close / lag(close) OVER ({_M1W})), 9) + 0.0 AS retorno FROM m1")
 def i08_log_returns(spark, d):
-    return m1(spark, d).select("symbol", "dt", "minuto", r6(F.log(F.col("close") / F.lag("close").over(M1_DAY)), 9).alias("retorno"))
+    return m1(spark, d).select("symbol", "dt", "minuto", r6(F.log(F.col("close") / F.lag("close").over(in_minutes())), 9).alias("retorno"))
 
 
 @R.add(f"WITH {SQL_TAPE}, h AS (SELECT symbol, dt, {SQL_HHMM} // 100 * 100 + CASE WHEN {SQL_HHMM} % 100 >= 30 THEN 30 ELSE 0 END AS faixa, sum(quantidade) AS v FROM tape GROUP BY ALL), p AS (SELECT *, v / sum(v) OVER (PARTITION BY symbol, dt) AS parte FROM h) SELECT symbol, faixa, printf('%02d:%02d', faixa // 100, faixa % 100) AS hora, round(median(v), 6) AS contratos, round(median(parte), 6) AS parte FROM p GROUP BY ALL")
@@ -153,7 +155,7 @@ def i14_volume_nodes(spark, d):
 
 @R.add(f"WITH {SQL_M1}, g AS (SELECT symbol, dt, lead(minuto) OVER ({_M1W}) - minuto - 1 AS f, high - low AS a FROM m1) SELECT symbol, dt, coalesce(sum(f), 0)::bigint AS buracos, round(median(a), 6) AS faixa_mediana FROM g GROUP BY ALL")
 def i15_holes(spark, d):
-    rows = m1(spark, d).withColumn("f", F.lead("minuto").over(M1_DAY) - F.col("minuto") - 1)
+    rows = m1(spark, d).withColumn("f", F.lead("minuto").over(in_minutes()) - F.col("minuto") - 1)
     return rows.groupBy("symbol", "dt").agg(F.coalesce(F.sum("f"), F.lit(0)).alias("buracos"), r6(F.median(F.col("high") - F.col("low"))).alias("faixa_mediana"))
 
 
@@ -176,7 +178,7 @@ def j01_flow_bars(spark, d):
 @R.add(f"WITH {SQL_FLOW} SELECT symbol, bar_id, round(imbalance, 6) AS imbalance, round({sql_z('imbalance', 'PARTITION BY symbol ORDER BY bar_id', 20, 10)}, 5) + 0.0 AS z_imbalance, round({sql_z('rlp_frac', 'PARTITION BY symbol ORDER BY bar_id', 20, 10)}, 5) + 0.0 AS z_rlp_frac FROM flow")
 def j07_flow_z(spark, d):
     """The flagship: curated tape → volume bars → flow → strictly past z-scores, continuous across days."""
-    z = lambda c: r6(strict_past_z(F.col(c), BAR, 20), 5).alias(f"z_{c}")
+    z = lambda c: r6(strict_past_z(F.col(c), by_bar(), 20), 5).alias(f"z_{c}")
     return flow(spark, d).select("symbol", "bar_id", r6("imbalance").alias("imbalance"), z("imbalance"), z("rlp_frac"))
 
 
@@ -231,8 +233,8 @@ def j12_triple_barrier_in_day(spark, d):
 
 @R.add(f"WITH {SQL_M1}, t AS (SELECT *, CASE WHEN lag(close) OVER ({_M1W}) IS NOT NULL THEN greatest(high - low, abs(high - lag(close) OVER ({_M1W})), abs(low - lag(close) OVER ({_M1W}))) END AS tr FROM m1) SELECT symbol, dt, minuto, round(tr, 6) AS tr, round({sql_full('avg(tr)', 'tr', _M1W, '13 PRECEDING', 'CURRENT ROW', 14)}, 6) AS atr, round({sql_full('avg(close)', 'close', _M1W, '20 PRECEDING', 'CURRENT ROW', 21)} + 2.0 * {sql_full('stddev_pop(close)', 'close', _M1W, '20 PRECEDING', 'CURRENT ROW', 21)}, 5) AS banda, round(100.0 * (close - {sql_full('min(low)', 'low', _M1W, '13 PRECEDING', 'CURRENT ROW', 14)}) / nullif({sql_full('max(high)', 'high', _M1W, '13 PRECEDING', 'CURRENT ROW', 14)} - {sql_full('min(low)', 'low', _M1W, '13 PRECEDING', 'CURRENT ROW', 14)}, 0), 5) AS estocastico FROM t")
 def k03_ranges_and_bands(spark, d):
-    b = m1(spark, d).withColumn("tr", true_range(F.col("high"), F.col("low"), F.col("close"), M1_DAY))
-    return b.select("symbol", "dt", "minuto", r6("tr").alias("tr"), r6(sma(F.col("tr"), M1_DAY, 14)).alias("atr"), r6(bollinger(F.col("close"), M1_DAY)[2], 5).alias("banda"), r6(stochastic(F.col("high"), F.col("low"), F.col("close"), M1_DAY), 5).alias("estocastico"))
+    b = m1(spark, d).withColumn("tr", true_range(F.col("high"), F.col("low"), F.col("close"), in_minutes()))
+    return b.select("symbol", "dt", "minuto", r6("tr").alias("tr"), r6(sma(F.col("tr"), in_minutes(), 14)).alias("atr"), r6(bollinger(F.col("close"), in_minutes())[2], 5).alias("banda"), r6(stochastic(F.col("high"), F.col("low"), F.col("close"), in_minutes()), 5).alias("estocastico"))
 
 
 @R.add(f"""WITH RECURSIVE {SQL_M1}, s AS (SELECT symbol, dt, minuto, close, close - lag(close) OVER ({_M1W}) AS dif, row_number() OVER ({_M1W}) AS i FROM m1),
@@ -259,7 +261,7 @@ _JUMP = "j AS (SELECT symbol, dt, minuto, round(close - lag(close) OVER ({w}), 6
 
 
 def jumps(spark, d):
-    before = F.lag("close").over(M1_DAY)
+    before = F.lag("close").over(in_minutes())
     return m1(spark, d).select("symbol", "dt", "minuto", r6(F.col("close") - before).alias("salto"), ((F.col("close") - before) / before).alias("rel"))
 
 
@@ -277,7 +279,7 @@ def l01_ignitions(spark, d):
 def l09_reversal_123(spark, d):
     """Three bars with the lowest low in the middle; triggered if the next bar passes the last high."""
     h, low = F.col("high"), F.col("low")
-    l1, l2, nxt = F.lag("low", 1).over(M1_DAY), F.lag("low", 2).over(M1_DAY), F.lead("high").over(M1_DAY)
+    l1, l2, nxt = F.lag("low", 1).over(in_minutes()), F.lag("low", 2).over(in_minutes()), F.lead("high").over(in_minutes())
     rows = m1(spark, d).withColumns({"_p": (l1 < l2) & (l1 < low), "_n": nxt})
     return rows.where("_p and _n is not null").select("symbol", "dt", "minuto", h.alias("gatilho"), (F.col("_n") > h).alias("acionou"))
 
@@ -313,11 +315,11 @@ def l06_lead_lag(spark, d):
     """Correlation of each symbol's returns with the most traded one's, at lags of minutes: six sums per lag, mergeable over days."""
     bars = m1(spark, d)
     top = bars.groupBy("symbol").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "symbol").limit(1).select("symbol")
-    r = bars.select("symbol", "dt", "minuto", F.log(F.col("close") / F.lag("close").over(M1_DAY)).alias("r")).where("r is not null")
+    r = bars.select("symbol", "dt", "minuto", F.log(F.col("close") / F.lag("close").over(in_minutes())).alias("r")).where("r is not null")
     lead = r.join(top, "symbol", "left_semi").select("dt", F.explode(F.array(*map(F.lit, (-2, -1, 0, 1, 2)))).alias("atraso"), "minuto", F.col("r").alias("x")).withColumn("minuto", F.col("minuto") + F.col("atraso"))
     p = r.join(top, "symbol", "left_anti").join(lead, ["dt", "minuto"]).withColumn("y", F.col("r"))
     usable = (F.count(F.lit(1)) >= 30) & (F.stddev_samp("x") > 0) & (F.stddev_samp("y") > 0)
-    return p.groupBy("symbol", F.col("atraso").cast("bigint").alias("atraso")).agg(F.count(F.lit(1)).alias("n"), r6(F.when(usable, F.corr("x", "y")), 5).alias("correlacao"))
+    return p.groupBy("symbol", F.col("atraso").cast("bigint").alias("atraso")).agg(F.count(F.lit(1)).alias("n"), r6(F.when(usable, correlation(F.col("x"), F.col("y"))), 5).alias("correlacao"))
 
 
 # ---- M: simulations --------------------------------------------------------------------------------------------------
@@ -336,7 +338,7 @@ _REL = 0.0005
 
 def _signal(bars: DataFrame) -> DataFrame:
     """Against a move of at least 0.05 % from the close before."""
-    move = F.col("close") / F.lag("close").over(M1_DAY) - 1
+    move = F.col("close") / F.lag("close").over(in_minutes()) - 1
     return bars.withColumn("lado", F.when(move >= _REL, -1).when(move <= -_REL, 1).otherwise(0).cast("bigint"))
 
 
@@ -425,14 +427,14 @@ _FR = f"fr AS (SELECT symbol, bar_id, imbalance, rlp_frac, lead(close) OVER (PAR
 @R.add(f"WITH {SQL_FLOW}, {_FR}, l AS (SELECT symbol, 'imbalance' AS feature, round(imbalance, 9) AS x, round(ret, 12) AS ret FROM fr UNION ALL SELECT symbol, 'rlp_frac', round(rlp_frac, 9), round(ret, 12) FROM fr), k AS (SELECT *, rank() OVER (PARTITION BY symbol, feature ORDER BY x) + (count(*) OVER (PARTITION BY symbol, feature, x) - 1) / 2.0 AS a, rank() OVER (PARTITION BY symbol, feature ORDER BY ret) + (count(*) OVER (PARTITION BY symbol, feature, ret) - 1) / 2.0 AS b FROM l WHERE x IS NOT NULL AND ret IS NOT NULL) SELECT symbol, feature, count(*) AS n, round(CASE WHEN count(*) >= 10 AND stddev_samp(a) > 0 AND stddev_samp(b) > 0 THEN corr(a, b) END, 5) + 0.0 AS ic FROM k GROUP BY ALL")
 def o02_information_coefficient(spark, d):
     """Spearman's coefficient of each feature with the next bar's return; features unpivoted, one shuffle."""
-    fr = flow(spark, d).select("symbol", "bar_id", "imbalance", "rlp_frac", (F.lead("close").over(BAR) / F.col("close") - 1).alias("ret"))
+    fr = flow(spark, d).select("symbol", "bar_id", "imbalance", "rlp_frac", (F.lead("close").over(by_bar()) / F.col("close") - 1).alias("ret"))
     long = fr.unpivot(["symbol", "ret"], ["imbalance", "rlp_frac"], "feature", "x").withColumns({"x": F.round("x", 9), "ret": F.round("ret", 12)})
     return information_coefficient(long, ["symbol", "feature"], "x", "ret").withColumn("ic", r6("ic", 5))
 
 
 @R.add(f"WITH {SQL_FLOW}, {_FR}, f2 AS (SELECT symbol, round(imbalance, 9) AS x, ret FROM fr WHERE ret IS NOT NULL), e AS (SELECT symbol, list_distinct(quantile_cont(x, [0.2, 0.4, 0.6, 0.8])) AS e FROM f2 GROUP BY symbol), q AS (SELECT f2.symbol, (1 + len(list_filter(e, lambda y: x > y)))::bigint AS quintil, ret FROM f2 JOIN e USING (symbol)) SELECT symbol, quintil, count(*) AS n, round(avg(ret), 9) + 0.0 AS media FROM q GROUP BY ALL")
 def o05_quintiles(spark, d):
-    fr = flow(spark, d).select("symbol", F.round("imbalance", 9).alias("x"), (F.lead("close").over(BAR) / F.col("close") - 1).alias("ret")).where("ret is not null")
+    fr = flow(spark, d).select("symbol", F.round("imbalance", 9).alias("x"), (F.lead("close").over(by_bar()) / F.col("close") - 1).alias("ret")).where("ret is not null")
     return quantile_bucket(fr, ["symbol"], "x", 5).groupBy("symbol", "quintil").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("ret"), 9).alias("media"))
 
 

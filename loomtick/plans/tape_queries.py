@@ -2,21 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalars import half_up_tick, microprice, ticker_family, wilson
 from ..operators.asof import asof_backward, first_hit, has_within, range_join
 from ..operators.bars import broker_flow, ohlc, two_digits
 from ..operators.tape import aggressor_sign, is_aggressor, local_hhmm, passive_broker, plausible
-from ..operators.windows import average_rank, carried, drawdown, full_window, islands, strict_past_z, valid_only_z
+from ..operators.windows import average_rank, carried, correlation, drawdown, full_window, islands, strict_past_z, valid_only_z
 from ..sources.tables import table, valid_ts
 from .registry import SQL_QUOTES, SQL_SYMBOL, SQL_TAPE, SQL_VALID, Registry, quotes, r6, tape
 
 R = Registry()
 MINUTE = 60_000_000_000
-DAY = Window.partitionBy("symbol", "dt")
-ORDERED = DAY.orderBy("ts_ns", "ts_recv_ns", "trade_id")
+
+
+def in_day() -> WindowSpec:
+    return Window.partitionBy("symbol", "dt")
+
+
+def in_order() -> WindowSpec:
+    """A symbol's day in the tape's total order."""
+    return in_day().orderBy("ts_ns", "ts_recv_ns", "trade_id")
+
+
+def in_minutes() -> WindowSpec:
+    return in_day().orderBy("minuto")
+
+
 SQL_ORD = "PARTITION BY symbol, dt ORDER BY ts_ns, ts_recv_ns, trade_id"
 SQL_HHMM = "((ts_ns // 60000000000 - 180) % 1440 // 60 * 100 + (ts_ns // 60000000000 - 180) % 60)"
 
@@ -32,7 +45,6 @@ def m1(spark: SparkSession, d: str) -> DataFrame:
     return ohlc(rows, ["symbol", "dt", "minuto"]).drop("ts_open", "ts_close")
 
 
-M1_DAY = DAY.orderBy("minuto")
 
 # ---- A: scans --------------------------------------------------------------------------------------------------------
 
@@ -50,7 +62,7 @@ def a03_curated_tape(spark, d):
 @R.add(f"SELECT {SQL_SYMBOL} AS symbol, dt, seq, ts_recv_ns, row_number() OVER (PARTITION BY {SQL_SYMBOL}, dt ORDER BY ts_recv_ns, seq, file_id, coalesce(offer_id, -1), coalesce(position, -1), coalesce(action, -1), quantidade) AS ordem FROM book_offer")
 def a04_book_arrival_order(spark, d):
     b = table(spark, d, "book_offer", "symbol", "dt", "seq", "ts_recv_ns", "file_id", "offer_id", "position", "action", "quantidade")
-    w = DAY.orderBy("ts_recv_ns", "seq", "file_id", *(F.coalesce(F.col(c), F.lit(-1)) for c in ("offer_id", "position", "action")), "quantidade")
+    w = in_day().orderBy("ts_recv_ns", "seq", "file_id", *(F.coalesce(F.col(c), F.lit(-1)) for c in ("offer_id", "position", "action")), "quantidade")
     return b.select("symbol", "dt", "seq", "ts_recv_ns", F.row_number().over(w).cast("bigint").alias("ordem"))
 
 
@@ -271,16 +283,21 @@ def d11_fixed_bins(spark, d):
     return tape(spark, d).groupBy("symbol", F.when(q <= 1, "<=1").when(q <= 10, "<=10").when(q <= 100, "<=100").otherwise(">100").alias("faixa")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@R.add(f"WITH {SQL_M1} SELECT symbol, CASE WHEN count(*) >= 10 THEN round(corr(volume, high - low), 5) END AS correlacao, CASE WHEN count(*) >= 10 THEN round(regr_slope(high - low, volume), 9) END AS inclinacao, CASE WHEN count(*) >= 10 THEN round(regr_r2(high - low, volume), 5) END AS r2 FROM m1 GROUP BY symbol")
+_BOTH_VARY = "count(*) >= 10 AND var_pop(volume) > 0 AND var_pop(high - low) > 1e-18"
+
+
+@R.add(f"WITH {SQL_M1} SELECT symbol, CASE WHEN {_BOTH_VARY} THEN round(corr(volume, high - low), 5) + 0.0 END AS correlacao, CASE WHEN {_BOTH_VARY} THEN round(regr_slope(high - low, volume), 9) + 0.0 END AS inclinacao, CASE WHEN {_BOTH_VARY} THEN round(regr_r2(high - low, volume), 5) END AS r2 FROM m1 GROUP BY symbol")
 def d12_correlation_ols(spark, d):
+    """Correlation of range and volume, and the line through them, from one pass of mergeable moments."""
     y, x = F.col("high") - F.col("low"), F.col("volume").cast("double")
-    enough = lambda c: F.when(F.count(F.lit(1)) >= 10, c)
-    return m1(spark, d).groupBy("symbol").agg(enough(r6(F.corr(x, y), 5)).alias("correlacao"), enough(r6(F.regr_slope(y, x), 9)).alias("inclinacao"), enough(r6(F.regr_r2(y, x), 5)).alias("r2"))
+    usable = (F.count(F.lit(1)) >= 10) & (F.var_pop(x) > 0) & (F.var_pop(y) > 1e-18)
+    r = correlation(x, y)
+    return m1(spark, d).groupBy("symbol").agg(F.when(usable, r6(r, 5)).alias("correlacao"), F.when(usable, r6(F.try_divide(F.covar_pop(x, y), F.var_pop(x)), 9)).alias("inclinacao"), F.when(usable, r6(r * r, 5)).alias("r2"))
 
 
 @R.add(f"WITH {SQL_M1}, r AS (SELECT symbol, close - lag(close) OVER (PARTITION BY symbol, dt ORDER BY minuto) AS r FROM m1) SELECT symbol, count(*) AS n, round(100.0 * count(*) FILTER (WHERE r > 0) / count(*), 6) AS acerto, round(sum(r) FILTER (WHERE r > 0), 4) AS ganho, round(sum(r) FILTER (WHERE r < 0), 4) AS perda, max(round(r, 6)) AS melhor, min(round(r, 6)) AS pior FROM r WHERE r IS NOT NULL GROUP BY symbol")
 def d16_profit_stats(spark, d):
-    rows = m1(spark, d).withColumn("r", F.col("close") - F.lag("close").over(M1_DAY)).where("r is not null")
+    rows = m1(spark, d).withColumn("r", F.col("close") - F.lag("close").over(in_minutes())).where("r is not null")
     return rows.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n"), r6(100.0 * F.count_if(F.col("r") > 0) / F.count(F.lit(1))).alias("acerto"), r6(F.sum(F.when(F.col("r") > 0, F.col("r"))), 4).alias("ganho"),
         r6(F.sum(F.when(F.col("r") < 0, F.col("r"))), 4).alias("perda"), F.max(r6("r")).alias("melhor"), F.min(r6("r")).alias("pior"),
@@ -335,7 +352,7 @@ _M1W = "PARTITION BY symbol, dt ORDER BY minuto"
 
 @R.add(f"WITH {SQL_M1} SELECT symbol, dt, minuto, round({sql_z('volume', _M1W, 20, 10)}, 5) AS z, round({sql_z('volume', _M1W, 20, 20)}, 5) AS z_cheio FROM m1")
 def e01_strict_past_z(spark, d):
-    return m1(spark, d).select("symbol", "dt", "minuto", r6(strict_past_z(F.col("volume").cast("double"), M1_DAY, 20), 5).alias("z"), r6(strict_past_z(F.col("volume").cast("double"), M1_DAY, 20, 20), 5).alias("z_cheio"))
+    return m1(spark, d).select("symbol", "dt", "minuto", r6(strict_past_z(F.col("volume").cast("double"), in_minutes(), 20), 5).alias("z"), r6(strict_past_z(F.col("volume").cast("double"), in_minutes(), 20, 20), 5).alias("z_cheio"))
 
 
 @R.add(f"WITH {SQL_M1}, x AS (SELECT symbol, dt, minuto, CASE WHEN high > low THEN volume / (high - low) END AS esforco FROM m1), v AS (SELECT *, {sql_z('esforco', _M1W, 10, 10)} AS z FROM x WHERE esforco IS NOT NULL) SELECT symbol, dt, minuto, round(z, 4) + 0.0 AS z FROM v UNION ALL SELECT symbol, dt, minuto, NULL FROM x WHERE esforco IS NULL")
@@ -346,15 +363,15 @@ def e03_valid_only_z(spark, d):
 
 @R.add(f"WITH {SQL_TAPE} SELECT symbol, dt, trade_id, coalesce(sum(quantidade) OVER ({SQL_ORD} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::bigint AS antes, row_number() OVER ({SQL_ORD}) AS ordem, row_number() OVER (PARTITION BY symbol, dt ORDER BY ts_ns DESC, ts_recv_ns DESC, trade_id DESC) AS do_fim FROM tape")
 def e05_exclusive_cumulative(spark, d):
-    back = DAY.orderBy(F.desc("ts_ns"), F.desc("ts_recv_ns"), F.desc("trade_id"))
-    before = F.coalesce(F.sum("quantidade").over(ORDERED.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return tape(spark, d).select("symbol", "dt", "trade_id", before.alias("antes"), F.row_number().over(ORDERED).cast("bigint").alias("ordem"), F.row_number().over(back).cast("bigint").alias("do_fim"))
+    back = in_day().orderBy(F.desc("ts_ns"), F.desc("ts_recv_ns"), F.desc("trade_id"))
+    before = F.coalesce(F.sum("quantidade").over(in_order().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return tape(spark, d).select("symbol", "dt", "trade_id", before.alias("antes"), F.row_number().over(in_order()).cast("bigint").alias("ordem"), F.row_number().over(back).cast("bigint").alias("do_fim"))
 
 
 @R.add(f"WITH {SQL_TAPE}, f AS (SELECT *, CASE WHEN lag(trade_type) OVER w IS DISTINCT FROM trade_type OR ts_ns - lag(ts_ns) OVER w > 30000000000 THEN 1 ELSE 0 END AS s FROM tape WINDOW w AS ({SQL_ORD})), g AS (SELECT *, sum(s) OVER ({SQL_ORD} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::bigint AS ilha FROM f) SELECT symbol, dt, ilha, min(trade_type) AS trade_type, count(*) AS n, max(ts_ns) - min(ts_ns) AS duracao FROM g GROUP BY ALL")
 def e06_runs(spark, d):
     """Runs of one trade type without a gap above 30 s."""
-    starts = ~F.lag("trade_type").over(ORDERED).eqNullSafe(F.col("trade_type")) | (F.col("ts_ns") - F.lag("ts_ns").over(ORDERED) > 30_000_000_000)
+    starts = ~F.lag("trade_type").over(in_order()).eqNullSafe(F.col("trade_type")) | (F.col("ts_ns") - F.lag("ts_ns").over(in_order()) > 30_000_000_000)
     runs = islands(tape(spark, d), ["symbol", "dt"], ["ts_ns", "ts_recv_ns", "trade_id"], starts)
     return runs.groupBy("symbol", "dt", "ilha").agg(F.min("trade_type").alias("trade_type"), F.count(F.lit(1)).alias("n"), (F.max("ts_ns") - F.min("ts_ns")).alias("duracao"))
 
@@ -377,8 +394,8 @@ def e09_rolling_and_forward(spark, d):
     """Rolling mean and deviation with the current row, forward extremes and return inside the day; NULL where truncated."""
     c = F.col("close")
     return m1(spark, d).select(
-        "symbol", "dt", "minuto", r6(full_window(F.avg("close"), c, M1_DAY, -8, 0)).alias("media"), r6(full_window(F.stddev_pop("close"), c, M1_DAY, -8, 0), 5).alias("desvio"),
-        full_window(F.max("high"), F.col("high"), M1_DAY, 1, 5).alias("maxima_5"), full_window(F.min("low"), F.col("low"), M1_DAY, 1, 5).alias("minima_5"), r6(F.lead("close", 5).over(M1_DAY) / c - 1, 9).alias("retorno_5"),
+        "symbol", "dt", "minuto", r6(full_window(F.avg("close"), c, in_minutes(), -8, 0)).alias("media"), r6(full_window(F.stddev_pop("close"), c, in_minutes(), -8, 0), 5).alias("desvio"),
+        full_window(F.max("high"), F.col("high"), in_minutes(), 1, 5).alias("maxima_5"), full_window(F.min("low"), F.col("low"), in_minutes(), 1, 5).alias("minima_5"), r6(F.lead("close", 5).over(in_minutes()) / c - 1, 9).alias("retorno_5"),
     )
 
 
@@ -391,8 +408,8 @@ def e12_drawdown(spark, d):
 @R.add(f"WITH {SQL_TAPE}, c AS (SELECT *, round((price - first_value(price) OVER ({SQL_ORD})) * 100)::hugeint AS dev, first_value(price) OVER ({SQL_ORD}) AS p0 FROM tape), s AS (SELECT symbol, dt, trade_id, p0, sum(quantidade) OVER w AS qi, sum(quantidade * dev) OVER w AS qdi, sum(quantidade) OVER w::double AS q, sum(quantidade * dev) OVER w::double AS qd, sum(quantidade * dev * dev) OVER w::double AS qdd FROM c WINDOW w AS ({SQL_ORD} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT symbol, dt, trade_id, ((round(p0 * 100)::hugeint * qi + qdi) * 1000 // qi)::double / 100000 AS vwap, round(sqrt(greatest(qdd / q - (qd / q) * (qd / q), 0)) / 100, 4) AS desvio FROM s")
 def e13_session_vwap(spark, d):
     """Running session VWAP and volume-weighted deviation, centred on the day's first price, in whole hundredths so that sums are exact."""
-    run = ORDERED.rowsBetween(Window.unboundedPreceding, 0)
-    rows = tape(spark, d).withColumn("_p0", F.first("price").over(ORDERED)).withColumn("_d", F.round((F.col("price") - F.col("_p0")) * 100).cast("decimal(19,0)"))
+    run = in_order().rowsBetween(Window.unboundedPreceding, 0)
+    rows = tape(spark, d).withColumn("_p0", F.first("price").over(in_order())).withColumn("_d", F.round((F.col("price") - F.col("_p0")) * 100).cast("decimal(19,0)"))
     qi, qdi, qddi = (F.sum(F.col("quantidade") * x).over(run) for x in (F.lit(1), F.col("_d"), F.col("_d") * F.col("_d")))
     q, qd, qdd = (x.cast("double") for x in (qi, qdi, qddi))
     sd = F.sqrt(F.greatest(qdd / q - (qd / q) * (qd / q), F.lit(0.0))) / 100
@@ -405,15 +422,15 @@ def e14_carried_side(spark, d):
     """The last signed bar before this one, and whether this is the day's first rising bar."""
     side = F.when(F.col("close") > F.col("open"), 1).when(F.col("close") < F.col("open"), -1).cast("bigint")
     rows = m1(spark, d).withColumn("lado", side)
-    first = F.min(F.when(F.col("lado") == 1, F.col("minuto"))).over(DAY)
-    return rows.select("symbol", "dt", "minuto", carried(F.col("lado"), M1_DAY, strictly=True).alias("lado_antes"), F.coalesce(F.col("minuto") == first, F.lit(False)).alias("primeira_alta"))
+    first = F.min(F.when(F.col("lado") == 1, F.col("minuto"))).over(in_day())
+    return rows.select("symbol", "dt", "minuto", carried(F.col("lado"), in_minutes(), strictly=True).alias("lado_antes"), F.coalesce(F.col("minuto") == first, F.lit(False)).alias("primeira_alta"))
 
 
 @R.add(f"WITH {SQL_M1}, x AS (SELECT *, rank() OVER (PARTITION BY symbol, dt ORDER BY volume) + (count(*) OVER (PARTITION BY symbol, dt, volume) - 1) / 2.0 AS a, rank() OVER (PARTITION BY symbol, dt ORDER BY n_trades) + (count(*) OVER (PARTITION BY symbol, dt, n_trades) - 1) / 2.0 AS b FROM m1) SELECT symbol, dt, count(*) AS n, round(CASE WHEN count(*) >= 10 AND stddev_samp(a) > 0 AND stddev_samp(b) > 0 THEN corr(a, b) END, 6) AS spearman FROM x GROUP BY ALL")
 def e16_spearman(spark, d):
     x = m1(spark, d).withColumns({"a": average_rank(F.col("volume"), ["symbol", "dt"]), "b": average_rank(F.col("n_trades"), ["symbol", "dt"])})
     usable = (F.count(F.lit(1)) >= 10) & (F.stddev_samp("a") > 0) & (F.stddev_samp("b") > 0)
-    return x.groupBy("symbol", "dt").agg(F.count(F.lit(1)).alias("n"), r6(F.when(usable, F.corr("a", "b"))).alias("spearman"))
+    return x.groupBy("symbol", "dt").agg(F.count(F.lit(1)).alias("n"), r6(F.when(usable, correlation(F.col("a"), F.col("b")))).alias("spearman"))
 
 
 @R.add(f"WITH {SQL_M1} SELECT symbol, dt, minuto, round(CASE WHEN stddev_samp(volume) OVER w > 1e-12 THEN (volume - avg(volume) OVER w) / stddev_samp(volume) OVER w END, 5) AS padrao FROM m1 WINDOW w AS (PARTITION BY symbol, minuto % 1440)")
@@ -432,13 +449,13 @@ def e20_carried_sides(spark, d):
 
 @R.add(f"WITH {SQL_M1}, i AS (SELECT *, minuto - row_number() OVER ({_M1W}) AS g FROM m1) SELECT symbol, dt, min(minuto) AS de, max(minuto) AS ate, count(*) AS minutos FROM i GROUP BY symbol, dt, g")
 def e21_minute_islands(spark, d):
-    rows = m1(spark, d).withColumn("_g", F.col("minuto") - F.row_number().over(M1_DAY))
+    rows = m1(spark, d).withColumn("_g", F.col("minuto") - F.row_number().over(in_minutes()))
     return rows.groupBy("symbol", "dt", "_g").agg(F.min("minuto").alias("de"), F.max("minuto").alias("ate"), F.count(F.lit(1)).alias("minutos")).drop("_g")
 
 
 @R.add(f"WITH r AS (SELECT {SQL_SYMBOL} AS symbol, dt, ts_recv_ns, lead(ts_recv_ns) OVER (PARTITION BY {SQL_SYMBOL}, dt ORDER BY ts_recv_ns) AS prox FROM trades) SELECT symbol, dt, count(*) AS silencios, max(prox - ts_recv_ns) AS maior FROM r WHERE prox - ts_recv_ns >= 300000000000 GROUP BY ALL")
 def e22_silences(spark, d):
-    w = DAY.orderBy("ts_recv_ns")
+    w = in_day().orderBy("ts_recv_ns")
     rows = table(spark, d, "trades", "symbol", "dt", "ts_recv_ns").withColumn("_g", F.lead("ts_recv_ns").over(w) - F.col("ts_recv_ns"))
     return rows.where(f"_g >= {5 * MINUTE}").groupBy("symbol", "dt").agg(F.count(F.lit(1)).alias("silencios"), F.max("_g").alias("maior"))
 
@@ -465,7 +482,7 @@ def f02_top_brokers(spark, d):
 
 @R.add(f"WITH {SQL_TAPE}, r AS (SELECT symbol, dt, quantidade, row_number() OVER (PARTITION BY symbol, dt ORDER BY quantidade DESC, trade_id) AS k FROM tape) SELECT symbol, dt, round(sum(quantidade) FILTER (WHERE k <= 5) / sum(quantidade), 6) AS concentracao FROM r GROUP BY ALL")
 def f03_concentration(spark, d):
-    rows = tape(spark, d).withColumn("_k", F.row_number().over(DAY.orderBy(F.desc("quantidade"), "trade_id")))
+    rows = tape(spark, d).withColumn("_k", F.row_number().over(in_day().orderBy(F.desc("quantidade"), "trade_id")))
     return rows.groupBy("symbol", "dt").agg(r6(F.sum(F.when(F.col("_k") <= 5, F.col("quantidade"))) / F.sum("quantidade")).alias("concentracao"))
 
 
