@@ -39,14 +39,19 @@ def first_hit(events: DataFrame, path: DataFrame, keys: Sequence[str], event_id:
 
 
 def has_within(a: DataFrame, b: DataFrame, keys: Sequence[str], at: str, tolerance: int) -> DataFrame:
-    """Rows of ``a`` with a row of ``b`` of the same keys at most ``tolerance`` away on either side: neighbours on the merged line, no pairs."""
-    b1 = b.select(*keys, at).distinct().withColumn("_b", F.col(at))
-    lefts = a.withColumns({"_b": F.lit(None).cast(dict(a.dtypes)[at])})
+    """Rows of ``a`` with a row of ``b`` of the same keys at most ``tolerance`` away on either side.
+
+    Both sides meet in buckets of the tolerance (``b`` in its own and both neighbours), and inside one the nearest ``b`` on
+    either side is read off the merged line: no pairs, and a hot key spreads over its buckets.
+    """
+    bucket = lambda c: F.floor(F.col(c) / F.lit(max(tolerance, 1)))
+    near = F.array(bucket(at) - 1, bucket(at), bucket(at) + 1)
+    b1 = b.select(*keys, at).distinct().select(*keys, at, F.col(at).alias("_b"), F.explode(near).alias("_k"))
     kinds = dict(a.dtypes)
-    rights = b1.withColumns({c: F.lit(None).cast(kinds[c]) for c in a.columns if c not in (*keys, at)})
-    both = lefts.withColumn("_l", F.lit(1)).unionByName(rights.withColumn("_l", F.lit(0)).select(*lefts.columns, "_l"))
-    w = Window.partitionBy(*keys).orderBy(at)
+    lefts = a.withColumns({"_b": F.lit(None).cast(kinds[at]), "_k": bucket(at), "_l": F.lit(1)})
+    rights = b1.withColumns({c: F.lit(None).cast(kinds[c]) for c in a.columns if c not in (*keys, at)} | {"_l": F.lit(0)})
+    w = Window.partitionBy(*keys, "_k").orderBy(at)
     before = F.last("_b", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0))
     after = F.first("_b", ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing))
-    near = F.coalesce(F.col(at) - before <= tolerance, F.lit(False)) | F.coalesce(after - F.col(at) <= tolerance, F.lit(False))
-    return both.withColumn("_n", near).where("_l = 1 and _n").select(*a.columns)
+    close = F.coalesce(F.col(at) - before <= tolerance, F.lit(False)) | F.coalesce(after - F.col(at) <= tolerance, F.lit(False))
+    return lefts.unionByName(rights.select(*lefts.columns)).withColumn("_n", close).where("_l = 1 and _n").select(*a.columns)

@@ -10,9 +10,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tape import AUCTION, BUY, RETAIL, SELL, TAPE_ORDER, aggressor_sign, is_aggressor
+from .windows import sliced_running_sum
 
 _DAY = ("symbol", "dt")
 
+#: Running sums are cut into slices of this length.
+SLICE_NS = 300_000_000_000
+
 
 def _aggr(c: str = "quantidade") -> Column:
     return F.when(is_aggressor(F.col("trade_type")), F.col(c)).otherwise(0)
@@ -36,13 +40,11 @@ def volume_bars(tape: DataFrame, threshold: int | Column, offset: str | None = "
     A trade that crosses belongs to the bar it completes, others stay in the bar in formation, the day's last incomplete
     bar is dropped, and no bar crosses days. ``offset`` makes ids global per symbol: ``"completed"`` adds the earlier days'
     total div threshold, ``"last"`` one more than the highest id those days really have, None keeps them local.
-    The window holds one symbol and day.
+    The sums run in two levels, so no task holds a whole day of one symbol.
     """
     t = threshold if isinstance(threshold, Column) else F.lit(threshold)
-    w = Window.partitionBy(*_DAY).orderBy(*TAPE_ORDER)
-    before = F.coalesce(F.sum(_aggr()).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = F.sum(_aggr()).over(Window.partitionBy(*_DAY))
-    rows = tape.withColumns({"_l": F.floor(before / t).cast("bigint"), "_n": F.floor(total / t).cast("bigint")})
+    rows = sliced_running_sum(tape, _DAY, "ts_ns", SLICE_NS, TAPE_ORDER, {"_cum": _aggr()})
+    rows = rows.withColumns({"_l": F.floor(F.col("_cum") / t).cast("bigint"), "_n": F.floor(F.col("_cum_all") / t).cast("bigint")}).drop("_cum", "_cum_all")
     rows = rows.where(F.col("_l") < F.col("_n"))
     if offset is None:
         return rows.withColumnRenamed("_l", "bar_id").drop("_n")

@@ -9,8 +9,8 @@ from .windows import carried, islands
 
 
 def top_of_book(quotes: DataFrame, order: tuple[str, ...] = ("ts_recv_ns", "topo_id")) -> DataFrame:
-    """Adds ``bid``, ``ask`` and their sizes, each side carried forward; a price of 0 clears its side."""
-    w = Window.partitionBy("symbol").orderBy(*order)
+    """Adds ``bid``, ``ask`` and their sizes, each side carried forward; a price of 0 clears its side. Every ``dia`` starts empty."""
+    w = Window.partitionBy("symbol", "dia").orderBy(*order)
     side = lambda p, q, out: {out: F.nullif(carried(F.col(p), w), F.lit(0.0)), f"{out}_qtd": carried(F.when(F.col(p).isNotNull(), F.col(q)), w)}
     return quotes.withColumns(side("preco_bid", "qtd_bid", "bid") | side("preco_ask", "qtd_ask", "ask"))
 
@@ -25,7 +25,7 @@ def usability(bid: Column, ask: Column, bid_size: Column, ask_size: Column, age_
 
 def crossed_episodes(top: DataFrame) -> DataFrame:
     """Runs of crossed quotes by symbol: how many quotes and how long until the first uncrossed one."""
-    w = Window.partitionBy("symbol").orderBy("ts_recv_ns", "topo_id")
+    w = Window.partitionBy("symbol", "dia").orderBy("ts_recv_ns", "topo_id")
     rows = top.withColumns({"_c": F.coalesce(F.col("bid") >= F.col("ask"), F.lit(False)), "_next": F.lead("ts_recv_ns").over(w)})
-    runs = islands(rows, ["symbol"], ["ts_recv_ns", "topo_id"], F.lag("_c").over(w) != F.col("_c")).where("_c")
-    return runs.groupBy("symbol", "ilha").agg(F.min("ts_recv_ns").alias("de"), F.count(F.lit(1)).alias("n"), (F.max(F.coalesce("_next", "ts_recv_ns")) - F.min("ts_recv_ns")).alias("duracao_ns"))
+    runs = islands(rows, ["symbol", "dia"], ["ts_recv_ns", "topo_id"], F.lag("_c").over(w) != F.col("_c")).where("_c")
+    return runs.groupBy("symbol", "dia", "ilha").agg(F.min("ts_recv_ns").alias("de"), F.count(F.lit(1)).alias("n"), (F.max(F.coalesce("_next", "ts_recv_ns")) - F.min("ts_recv_ns")).alias("duracao_ns"))

@@ -27,10 +27,11 @@ def tape(spark: SparkSession, d: str) -> DataFrame:
 
 
 def quotes(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "topo_livro").where("ts_recv_ns > 0")
+    """Quotes with their day (days since 1970): books start empty each day, so windows are bounded by it."""
+    return table(spark, d, "topo_livro").where("ts_recv_ns > 0").withColumn("dia", F.expr("ts_recv_ns div 86400000000000"))
 
 
-SQL_QUOTES = f"quotes AS (SELECT topo_id, {SQL_SYMBOL} AS symbol, preco_bid, qtd_bid, preco_ask, qtd_ask, ts_recv_ns FROM topo_livro WHERE ts_recv_ns > 0)"
+SQL_QUOTES = f"quotes AS (SELECT topo_id, {SQL_SYMBOL} AS symbol, preco_bid, qtd_bid, preco_ask, qtd_ask, ts_recv_ns, ts_recv_ns // 86400000000000 AS dia FROM topo_livro WHERE ts_recv_ns > 0)"
 
 
 def r6(c: Column | str, digits: int = 6) -> Column:

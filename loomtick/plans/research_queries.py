@@ -380,9 +380,9 @@ def m15_summary(spark, d):
 
 # ---- N: book ---------------------------------------------------------------------------------------------------------
 
-SQL_TOP = f"""{SQL_QUOTES}, tp AS (SELECT symbol, topo_id, ts_recv_ns, nullif(last_value(preco_bid IGNORE NULLS) OVER w, 0) AS bid, last_value(CASE WHEN preco_bid IS NOT NULL THEN qtd_bid END IGNORE NULLS) OVER w AS bid_qtd,
+SQL_TOP = f"""{SQL_QUOTES}, tp AS (SELECT symbol, dia, topo_id, ts_recv_ns, nullif(last_value(preco_bid IGNORE NULLS) OVER w, 0) AS bid, last_value(CASE WHEN preco_bid IS NOT NULL THEN qtd_bid END IGNORE NULLS) OVER w AS bid_qtd,
   nullif(last_value(preco_ask IGNORE NULLS) OVER w, 0) AS ask, last_value(CASE WHEN preco_ask IS NOT NULL THEN qtd_ask END IGNORE NULLS) OVER w AS ask_qtd
-  FROM quotes WINDOW w AS (PARTITION BY symbol ORDER BY ts_recv_ns, topo_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+  FROM quotes WINDOW w AS (PARTITION BY symbol, dia ORDER BY ts_recv_ns, topo_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
 
 
 @R.add(f"WITH {SQL_TOP} SELECT symbol, round((ask - bid) / 0.01)::bigint AS passos, count(*) AS n FROM tp WHERE bid < ask GROUP BY ALL")
@@ -391,15 +391,15 @@ def n05_spread_histogram(spark, d):
     return top.groupBy("symbol", F.round((F.col("ask") - F.col("bid")) / 0.01).cast("bigint").alias("passos")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@R.add(f"WITH {SQL_TOP}, c AS (SELECT *, coalesce(bid >= ask, false) AS c, lead(ts_recv_ns) OVER w AS nx FROM tp WINDOW w AS (PARTITION BY symbol ORDER BY ts_recv_ns, topo_id)), s AS (SELECT *, CASE WHEN coalesce(lag(c) OVER w <> c, true) THEN 1 ELSE 0 END AS s FROM c WINDOW w AS (PARTITION BY symbol ORDER BY ts_recv_ns, topo_id)), i AS (SELECT *, sum(s) OVER (PARTITION BY symbol ORDER BY ts_recv_ns, topo_id)::bigint AS ilha FROM s) SELECT symbol, ilha, min(ts_recv_ns) AS de, count(*) AS n, max(coalesce(nx, ts_recv_ns)) - min(ts_recv_ns) AS duracao_ns FROM i WHERE c GROUP BY ALL")
+@R.add(f"WITH {SQL_TOP}, c AS (SELECT *, coalesce(bid >= ask, false) AS c, lead(ts_recv_ns) OVER w AS nx FROM tp WINDOW w AS (PARTITION BY symbol, dia ORDER BY ts_recv_ns, topo_id)), s AS (SELECT *, CASE WHEN coalesce(lag(c) OVER w <> c, true) THEN 1 ELSE 0 END AS s FROM c WINDOW w AS (PARTITION BY symbol, dia ORDER BY ts_recv_ns, topo_id)), i AS (SELECT *, sum(s) OVER (PARTITION BY symbol, dia ORDER BY ts_recv_ns, topo_id)::bigint AS ilha FROM s) SELECT symbol, dia, ilha, min(ts_recv_ns) AS de, count(*) AS n, max(coalesce(nx, ts_recv_ns)) - min(ts_recv_ns) AS duracao_ns FROM i WHERE c GROUP BY ALL")
 def n04_crossed_episodes(spark, d):
     return crossed_episodes(top_of_book(quotes(spark, d)))
 
 
-@R.add(f"WITH {SQL_TOP}, a AS (SELECT *, coalesce(ts_recv_ns - lag(ts_recv_ns) OVER (PARTITION BY symbol ORDER BY ts_recv_ns, topo_id), 0) AS idade FROM tp), k AS (SELECT a.symbol, CASE WHEN bid IS NULL OR ask IS NULL THEN 'sem_livro' WHEN bid >= ask THEN 'cruzado' WHEN idade > 5000000000 THEN 'velho' WHEN ask - bid > 5 * tick + 1e-9 THEN 'largo' WHEN least(bid_qtd, ask_qtd) < 1 THEN 'fino' ELSE 'ok' END AS uso FROM a JOIN (SELECT {SQL_SYMBOL} AS symbol, tick FROM ativos) t USING (symbol)) SELECT symbol, uso, count(*) AS n FROM k GROUP BY ALL")
+@R.add(f"WITH {SQL_TOP}, a AS (SELECT *, coalesce(ts_recv_ns - lag(ts_recv_ns) OVER (PARTITION BY symbol, dia ORDER BY ts_recv_ns, topo_id), 0) AS idade FROM tp), k AS (SELECT a.symbol, CASE WHEN bid IS NULL OR ask IS NULL THEN 'sem_livro' WHEN bid >= ask THEN 'cruzado' WHEN idade > 5000000000 THEN 'velho' WHEN ask - bid > 5 * tick + 1e-9 THEN 'largo' WHEN least(bid_qtd, ask_qtd) < 1 THEN 'fino' ELSE 'ok' END AS uso FROM a JOIN (SELECT {SQL_SYMBOL} AS symbol, tick FROM ativos) t USING (symbol)) SELECT symbol, uso, count(*) AS n FROM k GROUP BY ALL")
 def n06_usability(spark, d):
     top = top_of_book(quotes(spark, d))
-    w = Window.partitionBy("symbol").orderBy("ts_recv_ns", "topo_id")
+    w = Window.partitionBy("symbol", "dia").orderBy("ts_recv_ns", "topo_id")
     top = top.withColumn("idade", F.coalesce(F.col("ts_recv_ns") - F.lag("ts_recv_ns").over(w), F.lit(0))).join(table(spark, d, "ativos", "symbol", "tick"), "symbol")
     use = usability(F.col("bid"), F.col("ask"), F.col("bid_qtd"), F.col("ask_qtd"), F.col("idade"), F.col("tick"))
     return top.groupBy("symbol", use.alias("uso")).agg(F.count(F.lit(1)).alias("n"))

@@ -155,11 +155,11 @@ def c03_reconcile_streams(spark, d):
     return both.withColumn("lado", F.when(F.col("livro").isNull(), "so_negocios").when(F.col("negocios").isNull(), "so_livro").otherwise("ambos"))
 
 
-@R.add(f"WITH {SQL_TAPE}, {SQL_QUOTES}, q AS (SELECT symbol, ts_recv_ns AS ts_ns, max({{'topo_id': topo_id, 'b': coalesce(preco_bid, -1), 'a': coalesce(preco_ask, -1)}}) AS w FROM quotes GROUP BY ALL) SELECT t.symbol, t.dt, t.trade_id, q.w['topo_id'] AS topo_id FROM tape t ASOF LEFT JOIN q ON t.symbol = q.symbol AND t.ts_ns >= q.ts_ns")
+@R.add(f"WITH {SQL_TAPE}, {SQL_QUOTES}, q AS (SELECT symbol, dia, ts_recv_ns AS ts_ns, max({{'topo_id': topo_id, 'b': coalesce(preco_bid, -1), 'a': coalesce(preco_ask, -1)}}) AS w FROM quotes GROUP BY ALL) SELECT t.symbol, t.dt, t.trade_id, q.w['topo_id'] AS topo_id FROM tape t ASOF LEFT JOIN q ON t.symbol = q.symbol AND t.ts_ns // 86400000000000 = q.dia AND t.ts_ns >= q.ts_ns")
 def c04_asof_quote(spark, d):
-    """Each trade with the last quote at or before it."""
-    q = quotes(spark, d).select("symbol", F.col("ts_recv_ns").alias("ts_ns"), "topo_id", "preco_bid", "preco_ask")
-    return asof_backward(tape(spark, d).select("symbol", "dt", "trade_id", "ts_ns"), q, ["symbol"], "ts_ns", ["topo_id"]).select("symbol", "dt", "trade_id", "topo_id")
+    """Each trade with the day's last quote at or before it."""
+    q = quotes(spark, d).select("symbol", "dia", F.col("ts_recv_ns").alias("ts_ns"), "topo_id", "preco_bid", "preco_ask")
+    return asof_backward(tape(spark, d).select("symbol", "dt", "trade_id", "ts_ns", F.expr("ts_ns div 86400000000000").alias("dia")), q, ["symbol", "dia"], "ts_ns", ["topo_id"]).select("symbol", "dt", "trade_id", "topo_id")
 
 
 _P = "p AS (SELECT symbol, dt, ts_ns, max({'a': ts_recv_ns, 'b': trade_id, 'p': price}) AS w FROM tape GROUP BY ALL)"
@@ -440,10 +440,10 @@ def e18_time_of_day_score(spark, d):
     return m1(spark, d).select("symbol", "dt", "minuto", r6(F.when(sd > 1e-12, (v - F.avg(v).over(w)) / sd), 5).alias("padrao"))
 
 
-@R.add(f"WITH {SQL_QUOTES}, s AS (SELECT symbol, ts_recv_ns, topo_id, last_value(preco_bid IGNORE NULLS) OVER w AS b, last_value(preco_ask IGNORE NULLS) OVER w AS a FROM quotes WINDOW w AS (PARTITION BY symbol ORDER BY ts_recv_ns, topo_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT symbol, topo_id, nullif(b, 0) AS bid, nullif(a, 0) AS ask FROM s")
+@R.add(f"WITH {SQL_QUOTES}, s AS (SELECT symbol, ts_recv_ns, topo_id, last_value(preco_bid IGNORE NULLS) OVER w AS b, last_value(preco_ask IGNORE NULLS) OVER w AS a FROM quotes WINDOW w AS (PARTITION BY symbol, dia ORDER BY ts_recv_ns, topo_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT symbol, topo_id, nullif(b, 0) AS bid, nullif(a, 0) AS ask FROM s")
 def e20_carried_sides(spark, d):
     """Each side of the book carried forward; a price of 0 clears it, so carrying comes before the zero turns NULL."""
-    w = Window.partitionBy("symbol").orderBy("ts_recv_ns", "topo_id")
+    w = Window.partitionBy("symbol", "dia").orderBy("ts_recv_ns", "topo_id")
     return quotes(spark, d).select("symbol", "topo_id", F.nullif(carried(F.col("preco_bid"), w), F.lit(0.0)).alias("bid"), F.nullif(carried(F.col("preco_ask"), w), F.lit(0.0)).alias("ask"))
 
 
