@@ -456,7 +456,7 @@ def o11_value_at_risk(spark, d):
 
 
 @R.add(f"WITH {SQL_M1}, f AS (SELECT *, row_number() OVER (PARTITION BY symbol, dt ORDER BY minuto DESC) AS k, sum(volume) OVER (PARTITION BY symbol, dt) AS tot FROM m1) SELECT symbol, k, count(*) AS dias, round(median(volume / tot), 6) AS parte FROM f WHERE k <= 5 GROUP BY ALL")
-def p_fechamento(spark, d):
+def mk02_closing_share(spark, d):
     """Volume share of the session's last five bars, counted from the end; the median over days."""
     end = Window.partitionBy("symbol", "dt").orderBy(F.desc("minuto"))
     rows = m1(spark, d).withColumns({"k": F.row_number().over(end).cast("bigint"), "tot": F.sum("volume").over(Window.partitionBy("symbol", "dt"))})
@@ -464,13 +464,13 @@ def p_fechamento(spark, d):
 
 
 @R.add(f"WITH {SQL_TAPE} SELECT DISTINCT agente FROM (SELECT agente_comprador AS agente FROM tape UNION ALL SELECT agente_vendedor FROM tape) WHERE agente > 0")
-def p17_brokers(spark, d):
+def mk17_brokers(spark, d):
     t = tape(spark, d)
     return t.select(F.explode(F.array("agente_comprador", "agente_vendedor")).alias("agente")).where("agente > 0").distinct()
 
 
 @R.add("SELECT upper(trim(status)) AS situacao, count(*) AS n, count(DISTINCT profit_id) AS ordens, count(*) FILTER (WHERE executada > 0) AS com_execucao FROM evento_ordem GROUP BY ALL")
-def p14_order_diary(spark, d):
+def mk14_order_diary(spark, d):
     e = table(spark, d, "evento_ordem", "status", "profit_id", "executada")
     return e.groupBy(F.upper(F.trim("status")).alias("situacao")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("profit_id").alias("ordens"), F.count_if(F.col("executada") > 0).alias("com_execucao"))
 
