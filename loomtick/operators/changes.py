@@ -107,42 +107,64 @@ def replay_segment(length: int, actions: Sequence[int], positions: Sequence[int]
     return book, set_to
 
 
-def _runs(batches: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
-    """Whole groups of a partition that is sorted by ``keys``; a group may span batches."""
-    held: list[pd.DataFrame] = []
+Columns = dict[str, np.ndarray]
+
+
+def _runs(batches: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator[tuple[tuple, Columns]]:
+    """Whole groups of a partition that is sorted by ``keys``, as arrays; a group may span batches."""
+    held: list[Columns] = []
     key: tuple | None = None
+    joined = lambda: held[0] if len(held) == 1 else {c: np.concatenate([h[c] for h in held]) for c in held[0]}
     for pdf in batches:
         if pdf.empty:
             continue
-        code = pdf[list(keys)]
-        cut = np.flatnonzero((code.ne(code.shift()) & ~(code.isna() & code.shift().isna())).any(axis=1).to_numpy())
-        for lo, hi in zip([*cut] if len(cut) and cut[0] == 0 else [0, *cut], [*(cut[1:] if len(cut) and cut[0] == 0 else cut), len(pdf)]):
-            part = pdf.iloc[lo:hi]
-            now = tuple(None if pd.isna(v) else v for v in part.iloc[0][list(keys)])
+        cols = {c: pdf[c].to_numpy() for c in pdf.columns}
+        new = np.zeros(len(pdf), bool)
+        new[0] = True
+        for k in keys:
+            v, gap = cols[k], pd.isna(cols[k])
+            new[1:] |= (v[1:] != v[:-1]) & ~(gap[1:] & gap[:-1])
+        cut = [*np.flatnonzero(new).tolist(), len(pdf)]
+        for lo, hi in zip(cut, cut[1:]):
+            now = tuple(None if pd.isna(v) else v for v in (cols[k][lo] for k in keys))
             if held and now != key:
-                yield key, pd.concat(held) if len(held) > 1 else held[0]
+                yield key, joined()
                 held = []
             key = now
-            held.append(part)
+            held.append({c: v[lo:hi] for c, v in cols.items()})
     if held:
-        yield key, pd.concat(held) if len(held) > 1 else held[0]
+        yield key, joined()
+
 
+def _grouped(df: DataFrame, keys: Sequence[str], order: Sequence[str], each: Callable[[tuple, Columns], dict], schema: str) -> DataFrame:
+    """``each`` for every group, streamed through sorted partitions: many small groups share a task and its Arrow batches.
 
-def _grouped(df: DataFrame, keys: Sequence[str], order: Sequence[str], each: Callable[[tuple, pd.DataFrame], pd.DataFrame | None], schema: str) -> DataFrame:
-    """``each`` for every group, streamed through sorted partitions: many small groups share a task and its Arrow batches."""
+    It answers with equally long columns beside the key's; a key column it names itself is taken from it.
+    """
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def frame(parts: dict[str, list]) -> pd.DataFrame:
+        return pd.DataFrame({c: np.concatenate(v) for c, v in parts.items()})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out, rows = [], 0
-        for key, pdf in _runs(batches, keys):
-            got = each(key, pdf)
-            if got is not None and len(got):
-                out.append(got)
-                rows += len(got)
+        out, rows = {c: [] for c in names}, 0
+        for key, cols in _runs(batches, keys):
+            got = each(key, cols)
+            n = len(next(iter(got.values())))
+            for c in names:
+                if c in got:
+                    v = got[c]
+                    out[c].append(v if isinstance(v, np.ndarray) else np.array(v, dtype=object))
+                else:
+                    v = np.empty(n, object)
+                    v[:] = key[keys.index(c)]
+                    out[c].append(v)
+            rows += n
             if rows > 50_000:
-                yield pd.concat(out)
-                out, rows = [], 0
-        if out:
-            yield pd.concat(out)
+                yield frame(out)
+                out, rows = {c: [] for c in names}, 0
+        if rows:
+            yield frame(out)
 
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
 
@@ -183,61 +205,56 @@ def positional_changes(changes: DataFrame, book: Sequence[str], seq: str, action
         )
     )
 
-    def named(key: tuple, n: int, **columns: object) -> pd.DataFrame:
-        return pd.DataFrame({k: [v] * n for k, v in zip(keys, key)} | columns)
-
-    def lengths(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        f = Lengths().replay(pdf.a.tolist(), pdf.p.tolist())
-        return named(key[:-1], 1, seg=[key[-1]], base=[f.base], flat=[_ints(f.flat)])
+    def lengths(_: tuple, c: Columns) -> dict:
+        f = Lengths().replay(c["a"].tolist(), c["p"].tolist())
+        return {"base": [f.base], "flat": [_ints(f.flat)]}
 
-    def starts(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    def starts(_: tuple, c: Columns) -> dict:
         at, out = 0, []
-        for base, flat in zip(pdf.base, pdf.flat):
+        for base, flat in zip(c["base"].tolist(), c["flat"]):
             out.append(at)
             at = length_after(at, base, np.frombuffer(flat, dtype=np.int64))
-        return named(key, len(out), seg=pdf.seg.to_numpy(), seq=-1, a=-1, p=out, q=0, o=0)
+        n = len(out)
+        return {"seg": c["seg"], "seq": np.full(n, -1), "a": np.full(n, -1), "p": np.array(out, np.int64), "q": np.zeros(n, np.int64), "o": np.zeros(n, np.int64)}
 
     row_ddl = f"{key_ddl}, seg bigint, seq bigint, a bigint, p bigint, q bigint, o bigint"
     effects = _grouped(rows, [*keys, "seg"], ["seq"], lengths, f"{key_ddl}, seg bigint, base bigint, flat binary")
     markers = _grouped(effects, keys, ["seg"], starts, row_ddl)
 
-    def replay(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        length = int(pdf.p.iloc[0]) if pdf.a.iloc[0] == -1 else 0
-        pdf = pdf[pdf.a >= 0]
-        seqs, offers, quantities = pdf.seq.tolist(), pdf.o.tolist(), pdf.q.tolist()
-        left, set_to = replay_segment(length, pdf.a.tolist(), pdf.p.tolist(), quantities)
-        own = [j >= 0 for j in left]
-        return named(
-            key[:-1], 1, seg=[key[-1]],
-            ref=[_ints([-1 - j if not mine else -1 for j, mine in zip(left, own)])],
-            seqs=[_ints([seqs[j] if mine else 0 for j, mine in zip(left, own)])],
-            offers=[_ints([offers[j] if mine else 0 for j, mine in zip(left, own)])],
-            edited=[_ints([j in set_to for j in left])],
-            quantities=[_ints([set_to[j] if j in set_to else quantities[j] if mine else 0 for j, mine in zip(left, own)])],
-        )
+    def replay(_: tuple, c: Columns) -> dict:
+        marked = int(c["a"][0]) == -1
+        length = int(c["p"][0]) if marked else 0
+        seqs, offers, quantities = c["seq"][marked:], c["o"][marked:], c["q"][marked:].tolist()
+        left, set_to = replay_segment(length, c["a"][marked:].tolist(), c["p"][marked:].tolist(), quantities)
+        at = np.array(left, np.int64)
+        own = at >= 0
+        mine = lambda x: np.where(own, x[np.where(own, at, 0)] if len(x) else 0, 0)
+        return {
+            "ref": [_ints(np.where(own, -1, -1 - at))], "seqs": [_ints(mine(seqs))], "offers": [_ints(mine(offers))], "edited": [_ints([j in set_to for j in left])],
+            "quantities": [_ints([set_to[j] if j in set_to else quantities[j] if j >= 0 else 0 for j in left])],
+        }
 
     net = _grouped(rows.unionByName(markers), [*keys, "seg"], ["seq"], replay, f"{key_ddl}, seg bigint, ref binary, seqs binary, offers binary, edited binary, quantities binary")
 
-    def compose(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        now: dict[str, np.ndarray] = {c: np.empty(0, np.int64) for c in ("s", "o", "q")}
+    def compose(_: tuple, c: Columns) -> dict:
+        now: Columns = {k: np.empty(0, np.int64) for k in ("s", "o", "q")}
         out: list[np.ndarray] = []
-        for r in pdf.itertuples(index=False):
-            ref, seqs, offers, edited, quantities = (np.frombuffer(getattr(r, c), np.int64) for c in ("ref", "seqs", "offers", "edited", "quantities"))
+        for i in range(len(c["seg"])):
+            ref, seqs, offers, edited, quantities = (np.frombuffer(c[k][i], np.int64) for k in ("ref", "seqs", "offers", "edited", "quantities"))
             old, safe = ref >= 0, np.where(ref >= 0, ref, 0)
-            take = lambda c, own: np.where(old, now[c][safe] if len(now[c]) else 0, own)  # noqa: E731, B023
-            after = {"s": take("s", seqs), "o": take("o", offers), "q": np.where(edited == 1, quantities, take("q", quantities))}
-            same = np.zeros(len(now["s"]), bool)
-            unchanged = old & (after["q"] == take("q", quantities))
-            same[ref[unchanged]] = True
-            gone, come = ~same, ~unchanged
-            for mult, book_, which in ((-1, now, gone), (1, after, come)):
-                if which.any():
-                    out.append(np.stack([book_["s"][which], book_["o"][which], book_["q"][which], np.full(which.sum(), mult), np.full(which.sum(), -1)]))
+            before = {k: v[safe] if len(v) else np.zeros(len(ref), np.int64) for k, v in now.items()}
+            after = {"s": np.where(old, before["s"], seqs), "o": np.where(old, before["o"], offers), "q": np.where(old & (edited != 1), before["q"], quantities)}
+            unchanged = old & (after["q"] == before["q"])
+            gone = np.ones(len(now["s"]), bool)
+            gone[ref[unchanged]] = False
+            for mult, book_, which in ((-1, now, gone), (1, after, ~unchanged)):
+                n = int(which.sum())
+                if n:
+                    out.append(np.stack([book_["s"][which], book_["o"][which], book_["q"][which], np.full(n, mult), np.full(n, -1)]))
             now = after
         n = len(now["s"])
         out.append(np.stack([now["s"], now["o"], now["q"], np.zeros(n, np.int64), np.arange(n)]))
-        s, o, q, mult, place = np.concatenate(out, axis=1)
-        return named(key, len(s), oferta_seq=s, offer_id=o, quantidade=q, mult=mult, place=place)
+        return dict(zip(("oferta_seq", "offer_id", "quantidade", "mult", "place"), np.concatenate(out, axis=1)))
 
     signed = _grouped(net, keys, ["seg"], compose, f"{key_ddl}, oferta_seq bigint, offer_id bigint, quantidade bigint, mult bigint, place bigint")
     known = lambda c: F.when(F.col(c) != F.lit(-(2**62)), F.col(c)).alias(c)
