@@ -302,12 +302,16 @@ _PASS = "CASE trade_type WHEN 2 THEN agente_vendedor WHEN 3 THEN agente_comprado
 @R.add(f"WITH {SQL_TAPE}, p AS (SELECT *, {_PASS} AS passivo FROM tape), a AS (SELECT * FROM p WHERE passivo > 0), f AS (SELECT *, CASE WHEN coalesce(ts_ns - lag(ts_ns) OVER w <= 30000000000, false) THEN 0 ELSE 1 END AS s FROM a WINDOW w AS (PARTITION BY symbol, dt, price, quantidade, passivo ORDER BY ts_ns, ts_recv_ns, trade_id)), g AS (SELECT *, sum(s) OVER (PARTITION BY symbol, dt, price, quantidade, passivo ORDER BY ts_ns, ts_recv_ns, trade_id)::bigint AS ilha FROM f) SELECT symbol, dt, price, quantidade, passivo, ilha, count(*) AS n, min(ts_ns) AS de, max(ts_ns) AS ate FROM g GROUP BY ALL HAVING count(*) >= 2")
 def l18_iceberg_runs(spark, d):
     """Repeated equal lots of one passive broker at one price, no more than 30 s apart."""
+    return iceberg_runs(tape(spark, d))
+
+
+def iceberg_runs(t: DataFrame, gap_ns: int = 30_000_000_000, least: int = 2) -> DataFrame:
     keys = ["symbol", "dt", "price", "quantidade", "passivo"]
-    rows = tape(spark, d).withColumn("passivo", passive_broker(F.col("trade_type"), F.col("agente_comprador"), F.col("agente_vendedor")).cast("bigint")).where("passivo > 0")
+    rows = t.withColumn("passivo", passive_broker(F.col("trade_type"), F.col("agente_comprador"), F.col("agente_vendedor")).cast("bigint")).where("passivo > 0")
     order = ["ts_ns", "ts_recv_ns", "trade_id"]
-    fresh = ~F.coalesce(F.col("ts_ns") - F.lag("ts_ns").over(Window.partitionBy(*keys).orderBy(*order)) <= 30_000_000_000, F.lit(False))
+    fresh = ~F.coalesce(F.col("ts_ns") - F.lag("ts_ns").over(Window.partitionBy(*keys).orderBy(*order)) <= gap_ns, F.lit(False))
     runs = islands(rows, keys, order, fresh)
-    return runs.groupBy(*keys, "ilha").agg(F.count(F.lit(1)).alias("n"), F.min("ts_ns").alias("de"), F.max("ts_ns").alias("ate")).where("n >= 2")
+    return runs.groupBy(*keys, "ilha").agg(F.count(F.lit(1)).alias("n"), F.min("ts_ns").alias("de"), F.max("ts_ns").alias("ate")).where(F.col("n") >= least)
 
 
 @R.add(f"WITH {SQL_M1}, top AS (SELECT symbol FROM m1 GROUP BY symbol ORDER BY count(*) DESC, symbol LIMIT 1), r AS (SELECT symbol, dt, minuto, ln(close / lag(close) OVER ({_M1W})) AS r FROM m1), l AS (SELECT r.dt, r.minuto, r.r FROM r JOIN top USING (symbol)), p AS (SELECT r.symbol, a.atraso, l.r AS x, r.r AS y FROM r, (SELECT unnest([-2, -1, 0, 1, 2]) AS atraso) a, l WHERE l.dt = r.dt AND l.minuto = r.minuto - a.atraso AND r.symbol NOT IN (SELECT symbol FROM top) AND l.r IS NOT NULL AND r.r IS NOT NULL) SELECT symbol, atraso::bigint AS atraso, count(*) AS n, round(CASE WHEN count(*) >= 30 AND stddev_samp(x) > 0 AND stddev_samp(y) > 0 THEN corr(x, y) END, 5) + 0.0 AS correlacao FROM p GROUP BY ALL")

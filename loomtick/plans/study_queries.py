@@ -10,11 +10,13 @@ from ..operators import bars as B
 from ..operators.asof import asof_backward, first_hit, range_join
 from ..operators.indicators import stochastic
 from ..operators.labels import excursions
+from ..operators.resample import matched_control, permuted, persistence, random_walk_tape, sign_flip_test
+from ..operators.stats import information_coefficient
 from ..operators.tape import aggressor_sign, is_aggressor
 from ..operators.windows import carried, correlation, full_window, strict_past_z
 from ..sources.tables import table
 from .registry import SQL_SYMBOL, SQL_TAPE, Registry, r6, tape
-from .research_queries import _M5, SQL_FLOW, by_bar, flow, resolved
+from .research_queries import _M5, SQL_FLOW, by_bar, flow, iceberg_runs, resolved
 from .tape_queries import _BIG, _M1W, MINUTE, SQL_HHMM, SQL_M1, SQL_ORD, big_buys, in_day, in_minutes, in_order, m1, sql_full, sql_z
 
 R = Registry()
@@ -346,4 +348,53 @@ def mk19_rows_by_hour(spark, d):
     return table(spark, d, "trades", "ts_recv_ns", "is_edit").groupBy(hour.alias("hora")).agg(F.count(F.lit(1)).alias("linhas"), F.count_if("is_edit").alias("edicoes"))
 
 
+@R.add(f"WITH {SQL_TAPE}, l AS (SELECT dt, agente_comprador AS agente, quantidade AS q FROM tape WHERE agente_comprador <> agente_vendedor UNION ALL SELECT dt, agente_vendedor, -quantidade FROM tape WHERE agente_comprador <> agente_vendedor), g AS (SELECT dt, agente, sum(q)::bigint AS v FROM l WHERE agente > 0 GROUP BY ALL), v AS (SELECT *, dense_rank() OVER (ORDER BY dt) AS k FROM g), p AS (SELECT a.agente, b.k, least(abs(a.v), abs(b.v)) * sign(a.v) * sign(b.v) AS casado FROM v a JOIN v b ON a.agente = b.agente AND b.k = a.k + 1) SELECT agente, k, casado::double AS casado FROM p")
+def o12_matched_flows(spark, d):
+    """Each broker's net flow matched with the next session's: the statistic of the persistence test."""
+    return persistence(net_flows(spark, d), [], "agente", "dt", "v")
+
+
+def net_flows(spark, d):
+    """Signed flow per broker and day, without trades a broker did with itself."""
+    t = tape(spark, d).where("agente_comprador <> agente_vendedor")
+    legs = F.array(F.struct(F.col("agente_comprador").alias("a"), F.col("quantidade").alias("q")), F.struct(F.col("agente_vendedor").alias("a"), (-F.col("quantidade")).alias("q")))
+    return t.select("dt", F.explode(legs).alias("l")).where("l.a > 0").groupBy("dt", F.col("l.a").alias("agente")).agg(F.sum("l.q").alias("v"))
+
+
+@R.add()
+def o12_sign_flip(spark, d):
+    """The persistence test itself, against 500 sign draws."""
+    return sign_flip_test(persistence(net_flows(spark, d), [], "agente", "dt", "v"), [], "agente", 500)
+
+
+@R.add()
+def l20_permuted_runs(spark, d):
+    """Repeated equal lots, really and with size and brokers permuted, and the smoothed ratio of both."""
+    keys, order = ["symbol", "dt"], ["ts_ns", "ts_recv_ns", "trade_id"]
+    t = tape(spark, d)
+    shuffled = permuted(t, keys, order, ["quantidade", "agente_comprador", "agente_vendedor"])
+    n = lambda rows, name: iceberg_runs(rows).groupBy("symbol").agg(F.count(F.lit(1)).alias(name))
+    both = n(t, "observadas").join(n(shuffled, "base"), "symbol", "full_outer").fillna(0)
+    return both.withColumn("razao", r6((F.col("observadas") + 1) / (F.col("base") + 1)))
+
+
+@R.add()
+def l25_matched_direction(spark, d):
+    """The next minute's return after a jump against time-matched minutes without one."""
+    move = F.col("close") / F.lag("close").over(in_minutes()) - 1
+    rows = m1(spark, d).withColumns({"sinal": F.coalesce(F.abs(move) >= 0.0003, F.lit(False)), "ret": F.abs(F.lead("close").over(in_minutes()) / F.col("close") - 1), "hora": F.expr("minuto % 1440 div 60")}).where("ret is not null")
+    both = matched_control(rows, ["symbol", "hora"], "sinal", ["symbol", "dt", "minuto"])
+    return both.groupBy("symbol", "grupo").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("ret"), 9).alias("media"))
+
+
+@R.add()
+def o13_honesty_gate(spark, d):
+    """The flow pipeline over a tape without information: the coefficient with the next return, and whether noise is refused."""
+    t = random_walk_tape(spark, 10, 3000)
+    f = B.flow_features(B.volume_bars(t, 200), ["symbol", "bar_id"], 5.0)
+    x = f.withColumn("ret", F.lead("close").over(by_bar()) / F.col("close") - 1).where("ret is not null")
+    ic = information_coefficient(x, ["symbol"], "imbalance", "ret")
+    return ic.select("symbol", "n", r6("ic").alias("ic"), (F.abs("ic") < 2 / F.sqrt("n") * 1.5).alias("recusado"))
+
+
 QUERIES, ORACLES = R.queries, R.sql
