@@ -89,3 +89,10 @@ def t_critical(p: float, df: int) -> float:
 def deflated_threshold(trials: int, level: float = 0.05) -> float:
     """Two-sided normal threshold after ``trials`` tests (Bonferroni)."""
     return normal_quantile(1 - level / (2 * max(trials, 1)))
+
+
+def nearest_wednesday(month: Column) -> Column:
+    """The Wednesday nearest the 15th of a date's month."""
+    middle = F.date_add(F.trunc(month, "month"), 14)
+    ahead = F.pmod(F.lit(4) - F.dayofweek(middle) + 3, F.lit(7)) - 3  # −3 to 3; dayofweek counts from Sunday
+    return F.date_add(middle, ahead.cast("int"))

@@ -75,6 +75,30 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return book_at_close(changes, ["symbol", "dt"])
 
 
+#: The same replay in SQL: one recursion step per change of a side, the book a list.
+_P2_BOOK = f"""
+WITH RECURSIVE copies AS (
+  SELECT {SQL_SYMBOL} AS symbol, dt, seq, max({{'r': ts_recv_ns, 'a': action::bigint, 's': side::bigint, 'p': position::bigint, 'o': offer_id, 'q': quantidade}}) AS w
+  FROM book_offer WHERE seq IS NOT NULL GROUP BY ALL),
+ch AS (
+  SELECT symbol, dt, w['s'] AS side, w['a'] AS a, w['p'] AS p, w['o'] AS o, w['q'] AS q, row_number() OVER (PARTITION BY symbol, dt, w['s'] ORDER BY seq) AS i
+  FROM copies WHERE w['a'] IN (0, 1, 2, 3) AND w['p'] >= 0),
+last AS (SELECT symbol, dt, side, max(i) AS n FROM ch GROUP BY ALL),
+r AS (
+  SELECT symbol, dt, side, 0::bigint AS i, []::STRUCT(o BIGINT, q BIGINT)[] AS b FROM last
+  UNION ALL
+  SELECT r.symbol, r.dt, r.side, ch.i,
+    CASE WHEN a = 0 THEN list_concat(list_concat(b[1:p], [{{'o': ch.o, 'q': ch.q}}]), b[p + 1:])
+         WHEN a = 1 AND p < len(b) THEN list_concat(list_concat(b[1:p], [{{'o': b[p + 1].o, 'q': ch.q}}]), b[p + 2:])
+         WHEN a = 2 AND p < len(b) THEN list_concat(b[1:p], b[p + 2:])
+         WHEN a = 3 THEN b[p + 2:] ELSE b END
+  FROM r JOIN ch ON ch.symbol = r.symbol AND ch.dt = r.dt AND ch.side = r.side AND ch.i = r.i + 1),
+book AS (
+  SELECT symbol, dt, side, unnest(range(0, len(b))) AS position, unnest(b) AS w FROM r JOIN last USING (symbol, dt, side) WHERE r.i = last.n)"""
+P2_FOUND_SQL = f"{_P2_BOOK} SELECT symbol, dt, side, position, w.o AS offer_id, w.q AS quantidade FROM book"
+P2_DEPTH_SQL = f"{_P2_BOOK} SELECT symbol, dt, side, count(*) AS ofertas, sum(w.q)::bigint AS quantidade FROM book GROUP BY ALL"
+
+
 def p2_depth(spark: SparkSession, d: str) -> DataFrame:
     """Offers and quantity left by side."""
     return p2_found(spark, d).groupBy("symbol", "dt", "side").agg(F.count(F.lit(1)).alias("ofertas"), F.sum("quantidade").alias("quantidade"))
@@ -193,6 +217,8 @@ QUERIES = {f.__name__: f for f in (p1_found, p1_series, p2_found, p2_depth, p4_f
 ORACLES = {
     "p1_found": P1_FOUND_SQL,
     "p1_series": P1_SERIES_SQL,
+    "p2_found": P2_FOUND_SQL,
+    "p2_depth": P2_DEPTH_SQL,
     "p4_found": P4_FOUND_SQL,
     "p4_sizes": P4_SIZES_SQL,
     "p5_found": P5_FOUND_SQL,
