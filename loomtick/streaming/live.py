@@ -115,6 +115,43 @@ def live_momentum(stream: DataFrame, span_ns: int = 60_000_000_000, limit: float
     return rows.groupBy("symbol", "dt").transformWithStateInPandas(_Momentum(span_ns, limit, rest_ns), "symbol string, dt string, ts_ns bigint, price double, movimento double", "append", "none")
 
 
+# ---- stateful: a condition that lasts --------------------------------------------------------------------------------
+
+
+class _Lasting(StatefulProcessor):
+    """One key: since when the condition has held, and whether this run has fired."""
+
+    def __init__(self, at_least: int) -> None:
+        self.at_least = at_least
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.run = handle.getValueState("run", "since bigint, fired boolean")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        batch = pd.concat(list(rows)).sort_values(["at", "seq"], kind="stable")
+        since, fired = self.run.get() if self.run.exists() else (None, False)
+        out = []
+        for at, holds in zip(batch["at"].tolist(), batch["holds"].tolist()):
+            if not holds:
+                since, fired = None, False
+                continue
+            since = at if since is None else since
+            if not fired and at - since >= self.at_least:
+                out.append((*key, since, at))
+                fired = True
+        self.run.update((since, fired))
+        yield pd.DataFrame(out, columns=["symbol", "desde", "disparo"])
+
+    def close(self) -> None:
+        pass
+
+
+def live_lasting(stream: DataFrame, at: str, seq: str, condition: str, at_least_ns: int) -> DataFrame:
+    """Fires once per run of rows on which ``condition`` (SQL; NULL is false) has held for at least ``at_least_ns``, at the first row that shows it."""
+    rows = stream.select("symbol", F.col(at).alias("at"), F.col(seq).alias("seq"), F.coalesce(F.expr(condition), F.lit(False)).alias("holds"))
+    return rows.groupBy("symbol").transformWithStateInPandas(_Lasting(at_least_ns), "symbol string, desde bigint, disparo bigint", "append", "none")
+
+
 # ---- declarative ------------------------------------------------------------------------------------------------------
 
 

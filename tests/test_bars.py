@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from loomtick.functions.scalars import brazilian_number, chart_date, normal_cdf, normal_quantile, t_critical
+from loomtick.functions.scalars import brazilian_number, chart_date, checked_expression, content_hash, normal_cdf, normal_quantile, t_critical
 from loomtick.operators import bars as B
 from loomtick.operators.fold import by_series, greedy_keep, wilder
 from loomtick.operators.labels import triple_barrier
@@ -96,3 +96,12 @@ def test_scalars(spark):
     got = df.select(brazilian_number(F.col("t")).alias("n"), chart_date(F.col("d")).cast("string").alias("d")).collect()
     assert [r.n for r in got] == [1234.5, 12.5, None] and got[0].d == "2018-01-08" and got[1].d is None
     assert normal_cdf(normal_quantile(0.975)) == pytest.approx(0.975) and t_critical(0.975, 10) == pytest.approx(2.228, abs=2e-3)
+
+
+def test_user_expressions(spark):
+    df = spark.createDataFrame([(1, 2.0), (3, None)], "a int, b double")
+    assert [r.a for r in df.where(checked_expression("a >= 1 and (b * 2 > 3 or b is null and a = 9)", df.columns)).collect()] == [1]
+    for bad in ("", "c > 1", "exec(a)", "a; drop", "a = 'x'", "java_method(a)"):
+        with pytest.raises(ValueError):
+            checked_expression(bad, df.columns)
+    assert df.select(content_hash("a", "b").alias("h")).distinct().count() == 2

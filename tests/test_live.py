@@ -48,6 +48,15 @@ def test_live_momentum_rests(spark, stored_tape, rocks):
         assert (s, d) != (t, e) or b - a >= 600 * 10**9
 
 
+def test_lasting_condition_fires_once_per_run(spark, rocks):
+    marks = [(0, 1), (5, 1), (11, 1), (20, 1), (21, 0), (30, 1), (35, None), (40, 1), (49, 1), (50, 1)]
+    whole = spark.createDataFrame([("A", t, i, v) for i, (t, v) in enumerate(marks)], "symbol string, t bigint, seq bigint, v int")
+    one = work_folder(spark, "t")
+    whole.coalesce(1).write.parquet(one)
+    out = spark.read.parquet(live.run_once(live.live_lasting(live.tape_stream(spark, one), "t", "seq", "v = 1", 10), work_folder(spark, "t")))
+    assert sorted(map(tuple, out.collect())) == [("A", 0, 11), ("A", 40, 50)]
+
+
 def test_declarative_streams_equal_batch(spark, stored_tape):
     batch = spark.read.parquet(stored_tape)
     out = spark.read.parquet(live.run_once(live.live_time_bars(live.tape_stream(spark, stored_tape, 1), lateness="2 days"), work_folder(spark, "t"), "complete"))
