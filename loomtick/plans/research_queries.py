@@ -16,7 +16,7 @@ from ..operators.tape import is_aggressor, local_hhmm, passive_broker
 from ..operators.windows import correlation, islands, strict_past_z
 from ..sources.tables import table, valid_ts
 from .registry import SQL_QUOTES, SQL_SYMBOL, SQL_TAPE, SQL_VALID, Registry, quotes, r6, tape
-from .tape_queries import _M1W, MINUTE, SQL_HHMM, SQL_M1, SQL_ORD, in_minutes, m1, sql_full, sql_z
+from .tape_queries import _M1W, _P, MINUTE, SQL_HHMM, SQL_M1, SQL_ORD, in_minutes, m1, sql_full, sql_z
 
 R = Registry()
 PER_DAY = 20
@@ -275,6 +275,28 @@ def l01_ignitions(spark, d):
     return greedy_keep(e, ["symbol", "dt"], "minuto", 10)
 
 
+@R.add(f"""WITH RECURSIVE {SQL_TAPE}, {_P}, c AS (SELECT symbol, dt, ts_ns, ts_recv_ns, trade_id, price, ts_ns - {MINUTE} AS antes FROM tape),
+e AS (SELECT c.symbol, c.dt, c.ts_ns, arg_min({{'trade_id': c.trade_id, 'price': c.price, 'mov': round(c.price - p.w['p'], 6)}}, {{'a': c.ts_recv_ns, 'b': c.trade_id}}) AS x
+  FROM c ASOF JOIN p ON c.symbol = p.symbol AND c.dt = p.dt AND c.antes >= p.ts_ns WHERE abs(c.price - p.w['p']) >= 0.0003 * p.w['p'] - 1e-9 GROUP BY ALL),
+r AS (SELECT symbol, dt, min(ts_ns) AS ts_ns FROM e GROUP BY ALL UNION ALL SELECT r.symbol, r.dt, min(e.ts_ns) FROM r JOIN e ON e.symbol = r.symbol AND e.dt = r.dt AND e.ts_ns >= r.ts_ns + {10 * MINUTE} GROUP BY r.symbol, r.dt)
+SELECT symbol, dt, ts_ns, e.x['trade_id'] AS trade_id, e.x['price'] AS price, e.x['mov'] AS movimento FROM r JOIN e USING (symbol, dt, ts_ns)""")
+def l01b_trade_ignitions(spark, d):
+    """Trades at least 0.03 % away from the price as of a minute before, with ten minutes of rest after each kept one.
+
+    The whole of L1: l01_ignitions looks at closes of existing bars only.
+    """
+    return ignitions(tape(spark, d))
+
+
+def ignitions(t: DataFrame, window_ns: int = MINUTE, limit: float = 0.0003, gap_ns: int = 10 * MINUTE) -> DataFrame:
+    probe = t.select("symbol", "dt", "trade_id", "ts_recv_ns", "price", F.col("ts_ns").alias("em"), (F.col("ts_ns") - window_ns).alias("ts_ns"))
+    path = t.select("symbol", "dt", "ts_ns", "ts_recv_ns", F.col("trade_id").alias("_id"), F.col("price").alias("antes"))
+    e = asof_backward(probe, path, ["symbol", "dt"], "ts_ns", ["antes"], tie=["ts_recv_ns", "_id"])
+    e = e.where(F.abs(F.col("price") - F.col("antes")) >= limit * F.col("antes") - 1e-9).drop("ts_ns").withColumnRenamed("em", "ts_ns")
+    e = e.select("symbol", "dt", "ts_ns", "ts_recv_ns", "trade_id", "price", r6(F.col("price") - F.col("antes")).alias("movimento"))
+    return greedy_keep(e, ["symbol", "dt"], "ts_ns", gap_ns, ["ts_recv_ns", "trade_id"]).drop("ts_recv_ns")
+
+
 @R.add(f"WITH {SQL_M1}, x AS (SELECT *, lag(high, 1) OVER w AS h1, lag(low, 1) OVER w AS l1, lag(low, 2) OVER w AS l2, lead(high) OVER w AS hn FROM m1 WINDOW w AS ({_M1W})) SELECT symbol, dt, minuto, high AS gatilho, hn > high AS acionou FROM x WHERE l1 < l2 AND l1 < low AND hn IS NOT NULL")
 def l09_reversal_123(spark, d):
     """Three bars with the lowest low in the middle; triggered if the next bar passes the last high."""
