@@ -306,6 +306,48 @@ def l09_reversal_123(spark, d):
     return rows.where("_p and _n is not null").select("symbol", "dt", "minuto", h.alias("gatilho"), (F.col("_n") > h).alias("acionou"))
 
 
+@R.add(f"""WITH RECURSIVE {SQL_M1}, b AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY dt, minuto) AS i FROM m1),
+em AS (SELECT symbol, i, close AS ema FROM b WHERE i = 1 UNION ALL SELECT em.symbol, b.i, 2.0 / 81 * b.close + (1 - 2.0 / 81) * em.ema FROM em JOIN b ON b.symbol = em.symbol AND b.i = em.i + 1),
+x AS (SELECT b.*, round(ema, 5) AS e, lag(high, 1) OVER w AS h1, lag(high, 2) OVER w AS h2, lag(low, 1) OVER w AS l1, lag(low, 2) OVER w AS l2, lead(high) OVER w AS hn, lead(low) OVER w AS ln FROM b JOIN em USING (symbol, i) WINDOW w AS ({_M1W}))
+SELECT symbol, dt, minuto, 'compra' AS lado, high AS gatilho, e AS ema_80, close > e AS regime_ok, coalesce(hn > high, false) AS acionou FROM x WHERE l1 < l2 AND l1 < low
+UNION ALL SELECT symbol, dt, minuto, 'venda', low, e, close < e, coalesce(ln < low, false) FROM x WHERE h1 > h2 AND h1 > high""")
+def l09b_reversal_123_sides(spark, d):
+    """The 123 on both sides: the lowest low (or highest high) in the middle of three bars of a day, whether the close is on the
+    right side of the 80-bar average, and whether the next bar of the day passes the trigger.
+
+    The whole of L9: l09_reversal_123 has buys only, without the regime and without a day's last bar.
+    """
+    return reversals_123(m1(spark, d))
+
+
+def reversals_123(bars: DataFrame, n: int = 80) -> DataFrame:
+    h, low, c = F.col("high"), F.col("low"), F.col("close")
+    x = bars.select("symbol", "dt", "minuto", "high", "low", *(f(v, k).over(in_minutes()).alias(f"_{v[0]}{k}{s}") for v in ("high", "low") for f, k, s in ((F.lag, 1, ""), (F.lag, 2, ""), (F.lead, 1, "n"))))
+    side = lambda name, at, regime, after: F.struct(F.lit(name).alias("lado"), at.alias("gatilho"), regime.alias("regime_ok"), F.coalesce(after, F.lit(False)).alias("acionou"))
+    buy, sell = F.expr("_l1 < _l2 and _l1 < low"), F.expr("_h1 > _h2 and _h1 > high")
+    x = x.join(carried_ema(bars, n), ["symbol", "dt", "minuto"]).withColumn("ema_80", r6("ema", 5))
+    sides = F.array(F.when(buy, side("compra", h, c > F.col("ema_80"), F.col("_h1n") > h)), F.when(sell, side("venda", low, c < F.col("ema_80"), F.col("_l1n") < low)))
+    x = x.where(buy | sell).withColumn("_s", F.explode(F.filter(sides, lambda s: s.isNotNull())))
+    return x.select("symbol", "dt", "minuto", "_s.lado", "_s.gatilho", "ema_80", "_s.regime_ok", "_s.acionou")
+
+
+def carried_ema(bars: DataFrame, n: int) -> DataFrame:
+    """The average of n bars' span over all of a symbol's days, seeded by its first close.
+
+    Each day is folded alone from 0; what the days before left over decays by (1 − α) a bar, so only one number a day is
+    carried on.
+    """
+    a = 2 / (n + 1)
+    from_zero = F.slice(ema(F.concat(F.array(F.lit(0.0)), F.col("_v")), a), 2, F.greatest(F.size("_v"), F.lit(1)))
+    own = by_series(bars, ["symbol", "dt"], "minuto", "close", {"_own": from_zero}).withColumn("_n", F.row_number().over(in_minutes()))
+    day = own.groupBy("symbol", "dt").agg(F.max("_n").alias("n"), F.max_by("_own", "_n").alias("end"), F.min_by("close", "_n").alias("first"))
+    listed = day.groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("dt", "n", "end", "first"))).alias("days"))
+    state = F.struct(F.element_at("days", 1)["first"].alias("at"), F.array().cast("array<struct<dt:string,at:double>>").alias("starts"))
+    step = lambda s, x: F.struct((F.pow(F.lit(1 - a), x["n"]) * s["at"] + x["end"]).alias("at"), F.concat(s["starts"], F.array(F.struct(x["dt"].alias("dt"), s["at"].alias("at")))).alias("starts"))
+    starts = listed.select("symbol", F.explode(F.aggregate("days", state, step)["starts"]).alias("s")).select("symbol", "s.dt", F.col("s.at").alias("_start"))
+    return own.join(starts, ["symbol", "dt"]).select("symbol", "dt", "minuto", "close", (F.pow(F.lit(1 - a), F.col("_n")) * F.col("_start") + F.col("_own")).alias("ema"))
+
+
 @R.add(f"WITH {SQL_M1}, a AS (SELECT symbol, dt, min(minuto) AS m0 FROM m1 GROUP BY ALL), ab AS (SELECT m1.symbol, m1.dt, max(high) AS topo, min(low) AS fundo, any_value(m0) AS m0 FROM m1 JOIN a USING (symbol, dt) WHERE minuto < m0 + 15 GROUP BY ALL), t AS (SELECT m1.symbol, m1.dt, min(minuto) FILTER (WHERE high > topo) AS alta, min(minuto) FILTER (WHERE low < fundo) AS baixa FROM m1 JOIN ab USING (symbol, dt) WHERE minuto >= m0 + 15 GROUP BY ALL) SELECT symbol, dt, CASE WHEN alta IS NULL AND baixa IS NULL THEN 'nenhum' WHEN alta = baixa THEN 'duplo' WHEN baixa IS NULL OR alta < baixa THEN 'alta' ELSE 'baixa' END AS rompimento FROM t")
 def l11_opening_range(spark, d):
     """Break-out of the first fifteen minutes: the first side triggered; both in one bar count apart."""

@@ -1,6 +1,8 @@
 """Event detectors on planted tapes."""
 
-from loomtick.plans.research_queries import ignitions
+import pytest
+
+from loomtick.plans.research_queries import carried_ema, ignitions, reversals_123
 
 S = 1_000_000_000
 
@@ -21,3 +23,26 @@ def test_ignitions_see_moves_inside_a_minute_and_not_across_gaps(spark):
 def test_ignitions_rest_from_the_last_kept(spark):
     t = _tape(spark, [("A", 0, 100)] + [("A", 60 + 300 * i, 100 + i + 1) for i in range(5)])
     assert sorted(r.ts_ns // S for r in ignitions(t).collect()) == [60, 660, 1260]
+
+
+def _bars(spark, rows, dt="2026-01-05"):
+    """(high, low, close[, day]) by minute."""
+    rows = [("A", r[3] if len(r) > 3 else dt, i, *map(float, (r[2], r[0], r[1], r[2]))) for i, r in enumerate(rows)]
+    return spark.createDataFrame(rows, "symbol string, dt string, minuto long, open double, high double, low double, close double")
+
+
+def test_reversals_on_both_sides_with_regime_and_last_bar(spark):
+    rows = [(12, 10, 11), (11, 9, 10), (12, 10, 12), (13, 11, 12), (12, 8, 8), (11, 7, 8), (12, 8, 12)]
+    got = sorted(tuple(r)[2:5] + tuple(r)[6:] for r in reversals_123(_bars(spark, rows)).collect())
+    # the last bar closes a pattern that nothing can trigger any more
+    assert got == [(2, "compra", 12.0, True, True), (4, "venda", 8.0, True, True), (6, "compra", 12.0, True, False)]
+
+
+def test_ema_goes_on_over_days(spark):
+    closes = [10.0, 11, 9, 14, 15, 13, 20]
+    days = ["2026-01-05"] * 3 + ["2026-01-06"] * 2 + ["2026-01-07"] * 2
+    got = [r.ema for r in carried_ema(_bars(spark, [(c, c, c, d) for c, d in zip(closes, days, strict=True)]), 4).orderBy("minuto").collect()]
+    want = [closes[0]]
+    for c in closes[1:]:
+        want.append(0.4 * c + 0.6 * want[-1])
+    assert got == pytest.approx(want)
