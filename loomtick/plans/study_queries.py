@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import minimum_effect
 from ..operators import bars as B
 from ..operators.asof import asof_backward, first_hit, range_join
+from ..operators.fold import greedy_keep
 from ..operators.indicators import stochastic
 from ..operators.labels import excursions
 from ..operators.resample import matched_control, permuted, persistence, random_walk_tape, sign_flip_test
@@ -17,7 +22,7 @@ from ..operators.windows import carried, correlation, full_window, strict_past_z
 from ..sources.tables import table
 from .registry import SQL_SYMBOL, SQL_TAPE, Registry, r6, tape
 from .research_queries import _M5, SQL_FLOW, by_bar, flow, iceberg_runs, resolved
-from .tape_queries import _BIG, _M1W, MINUTE, SQL_HHMM, SQL_M1, SQL_ORD, big_buys, in_day, in_minutes, in_order, m1, sql_full, sql_z
+from .tape_queries import _BIG, _M1W, _P, MINUTE, SQL_HHMM, SQL_M1, SQL_ORD, big_buys, in_day, in_minutes, in_order, m1, sql_full, sql_z
 
 R = Registry()
 _ORD = "{'a': ts_ns, 'b': ts_recv_ns, 'c': trade_id}"
@@ -181,6 +186,79 @@ def l05_leader_events(spark, d):
     return e.groupBy("symbol").agg(F.count(F.lit(1)).alias("eventos"), r6(F.avg(F.col("lado") * F.col("r")), 8).alias("junto"), F.count("r1").alias("seguidos"), r6(F.avg(F.col("lado") * F.col("r1")), 8).alias("depois"))
 
 
+_MS = 1_000_000
+_LEAD = {"ticks": 2, "window_ms": 500, "horizons_ms": (250, 500, 1000, 5000, 30000), "rest_ms": 2000}
+_LAGS = [-_LEAD["window_ms"], 0, *_LEAD["horizons_ms"]]
+
+
+@R.add(f"""WITH RECURSIVE {SQL_TAPE}, {_P}, tk AS (SELECT {SQL_SYMBOL} AS symbol, tick FROM ativos), top AS (SELECT symbol FROM tape GROUP BY symbol ORDER BY count(*) DESC, symbol LIMIT 1),
+c AS (SELECT symbol, dt, ts_ns, price, tick, ts_ns - {_LEAD['window_ms'] * _MS} AS antes FROM tape JOIN top USING (symbol) JOIN tk USING (symbol)),
+e AS (SELECT DISTINCT c.dt, c.ts_ns, sign(c.price - p.w['p'])::bigint AS lado FROM c ASOF JOIN p ON c.symbol = p.symbol AND c.dt = p.dt AND c.antes >= p.ts_ns WHERE abs(c.price - p.w['p']) >= {_LEAD['ticks']} * tick - 1e-9),
+r AS (SELECT dt, lado, min(ts_ns) AS ts_ns FROM e GROUP BY ALL UNION ALL SELECT r.dt, r.lado, min(e.ts_ns) FROM r JOIN e ON e.dt = r.dt AND e.lado = r.lado AND e.ts_ns >= r.ts_ns + {_LEAD['rest_ms'] * _MS} GROUP BY r.dt, r.lado),
+f AS (SELECT DISTINCT symbol, dt FROM tape WHERE symbol NOT IN (SELECT symbol FROM top)),
+a AS (SELECT f.symbol, f.dt, r.lado, r.ts_ns, ms, r.ts_ns + ms::bigint * {_MS} AS alvo FROM f JOIN r ON r.dt = f.dt, (SELECT unnest({_LAGS}) AS ms)),
+v AS (SELECT a.symbol, a.dt, a.lado, a.ts_ns, a.ms, p.w['p'] AS preco FROM a ASOF JOIN p ON a.symbol = p.symbol AND a.dt = p.dt AND a.alvo >= p.ts_ns),
+b AS (SELECT symbol, dt, lado, ts_ns, max(preco) FILTER (WHERE ms = 0) AS agora, round((max(preco) FILTER (WHERE ms = 0) - max(preco) FILTER (WHERE ms < 0)) * lado * 1e6)::bigint AS pre FROM v GROUP BY symbol, dt, lado, ts_ns HAVING count(*) FILTER (WHERE ms < 0) > 0),
+m AS (SELECT b.symbol, v.ms, pre, round((preco - agora) * b.lado * 1e6)::bigint AS pos, coalesce(abs(pre) < tick * 1e6 - 1e-3, false) AS parado FROM b JOIN v USING (symbol, dt, lado, ts_ns) LEFT JOIN tk ON tk.symbol = b.symbol WHERE v.ms > 0),
+s AS (SELECT 'todos' AS subconjunto, * FROM m UNION ALL SELECT 'parado', * FROM m WHERE parado)
+SELECT symbol, subconjunto, ms::bigint AS horizonte_ms, count(*) AS n, sum(pre)::bigint / 1e6 / count(*) AS pre_media, sum(pos)::bigint / 1e6 / count(*) AS media, 100.0::double * count(*) FILTER (WHERE pos > 0) / count(*) AS pct_a_favor, 100.0::double * count(*) FILTER (WHERE pos < 0) / count(*) AS pct_contra FROM s GROUP BY ALL""")
+def l05b_leader_trade_events(spark, d):
+    """Moves of the most traded symbol by two ticks within 500 ms, resting two seconds a side: how far each other symbol had gone
+    the same way before and goes after, by horizon; for all events and for those of a still follower.
+
+    The whole of L5: l05_leader_events looks at whole minutes.
+    """
+    t, ticks = tape(spark, d), table(spark, d, "ativos", "symbol", "tick")
+    top = t.groupBy("symbol").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "symbol").limit(1).select("symbol")
+    events = leader_moves(t.join(top, "symbol", "left_semi").join(ticks, "symbol"), _LEAD["ticks"], _LEAD["window_ms"], _LEAD["rest_ms"])
+    return followers(events, t.join(top, "symbol", "left_anti"), ticks, _LEAD["window_ms"], _LEAD["horizons_ms"])
+
+
+def leader_moves(t: DataFrame, ticks: int, window_ms: int, rest_ms: int) -> DataFrame:
+    """Instants (dt, lado, ts_ns) at which a leader's trade is that many ticks away from its price as of the window before."""
+    probe = t.select("symbol", "dt", "price", "tick", F.col("ts_ns").alias("em"), (F.col("ts_ns") - window_ms * _MS).alias("ts_ns"))
+    path = t.select("symbol", "dt", "ts_ns", "ts_recv_ns", F.col("trade_id").alias("_id"), F.col("price").alias("antes"))
+    move = F.col("price") - F.col("antes")
+    e = asof_backward(probe, path, ["symbol", "dt"], "ts_ns", ["antes"], tie=["ts_recv_ns", "_id"]).where(F.abs(move) >= ticks * F.col("tick") - 1e-9)
+    e = e.select("dt", F.signum(move).cast("bigint").alias("lado"), F.col("em").alias("ts_ns")).distinct()
+    return greedy_keep(e, ["dt", "lado"], "ts_ns", rest_ms * _MS)
+
+
+def followers(events: DataFrame, t: DataFrame, ticks: DataFrame, window_ms: int, horizons_ms: Sequence[int]) -> DataFrame:
+    """As-of moves of each symbol of ``t`` around the events, in their direction.
+
+    A symbol's day meets the day's events once and is searched as sorted arrays, so no probe per event, symbol and horizon
+    is shuffled; sums are of millionths, thus exact in any order.
+    """
+    path = t.groupBy("symbol", "dt", "ts_ns").agg(F.max(F.struct("ts_recv_ns", "trade_id", "price")).alias("w")).select(F.col("symbol").alias("quem"), F.col("dt").alias("dia"), "ts_ns", "w.price")
+    pairs = t.select("symbol", "dt").distinct().join(ticks, "symbol", "left").join(events.withColumnRenamed("ts_ns", "em"), "dt").select("symbol", "dt", "tick", "lado", "em")
+
+    def day(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = []
+        if left.num_rows and right.num_rows:
+            ts, px = right["ts_ns"].to_numpy(), right["price"].to_numpy()
+            order = np.argsort(ts)
+            ts, px = ts[order], px[order]
+            at, side = left["em"].to_numpy(), left["lado"].to_numpy()
+            tick = left["tick"][0].as_py()
+            first = np.searchsorted(ts, at - window_ms * _MS, side="right") - 1
+            at, side, first = at[first >= 0], side[first >= 0], first[first >= 0]
+            now = px[np.searchsorted(ts, at, side="right") - 1]
+            pre = np.rint((now - px[first]) * side * 1e6).astype(np.int64)
+            still = np.abs(pre) < tick * 1e6 - 1e-3 if tick is not None else np.zeros(len(pre), bool)
+            for h in horizons_ms:
+                pos = np.rint((px[np.searchsorted(ts, at + h * _MS, side="right") - 1] - now) * side * 1e6).astype(np.int64)
+                for name, of in (("todos", np.ones(len(pre), bool)), ("parado", still)):
+                    if of.any():
+                        rows.append((left["symbol"][0].as_py(), name, h, int(of.sum()), int(pre[of].sum()), int(pos[of].sum()), int((pos[of] > 0).sum()), int((pos[of] < 0).sum())))
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 8, (pa.string(), pa.string(), *[pa.int64()] * 6), strict=True)], ["symbol", "subconjunto", "horizonte_ms", "n", "pre", "pos", "favor", "contra"])
+
+    per = pairs.groupBy("symbol", "dt").cogroup(path.groupBy("quem", "dia")).applyInArrow(day, "symbol string, subconjunto string, horizonte_ms long, n long, pre long, pos long, favor long, contra long")
+    s = per.groupBy("symbol", "subconjunto", "horizonte_ms").agg(*(F.sum(c).alias(c) for c in ("n", "pre", "pos", "favor", "contra")))
+    n = F.col("n")
+    return s.select("symbol", "subconjunto", "horizonte_ms", "n", (F.col("pre") / 1e6 / n).alias("pre_media"), (F.col("pos") / 1e6 / n).alias("media"), (100.0 * F.col("favor") / n).alias("pct_a_favor"), (100.0 * F.col("contra") / n).alias("pct_contra"))
+
+
 @R.add(f"WITH {SQL_M1}, h AS (SELECT symbol, dt, minuto, volume, CASE WHEN count(volume) OVER w >= 2 THEN quantile_cont(volume::double, 0.5) OVER w END AS med FROM m1 WINDOW w AS (PARTITION BY symbol, minuto % 1440 ORDER BY dt ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)) SELECT symbol, count(*) FILTER (WHERE volume >= med) AS passa, count(*) FILTER (WHERE volume < med) AS complemento, count(*) FILTER (WHERE med IS NULL) AS indefinido FROM h GROUP BY symbol")
 def l10_volume_gate(spark, d):
     """Bars against the trailing median volume of their minute of day; undefined ones are counted."""

@@ -1,8 +1,10 @@
 """Event detectors on planted tapes."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from loomtick.plans.research_queries import carried_ema, ignitions, reversals_123
+from loomtick.plans.study_queries import followers, leader_moves
 
 S = 1_000_000_000
 
@@ -46,3 +48,25 @@ def test_ema_goes_on_over_days(spark):
     for c in closes[1:]:
         want.append(0.4 * c + 0.6 * want[-1])
     assert got == pytest.approx(want)
+
+
+def test_leader_moves_rest_by_side(spark):
+    rows = [("L", 0, 100), ("L", 1.0, 102), ("L", 1.2, 100), ("L", 1.4, 102), ("L", 3.5, 104), ("L", 9, 104)]
+    t = _tape(spark, rows).withColumn("tick", F.lit(1.0))
+    # at 1.2 s the price as of 0.7 s is 100 still; 1.4 s goes up again within the rest
+    assert sorted((r.ts_ns / S, r.lado) for r in leader_moves(t, 2, 500, 2000).collect()) == [(1.0, 1), (3.5, 1)]
+    down = [("L", 0, 100), ("L", 1.0, 102), ("L", 1.6, 100), ("L", 2.2, 102)]
+    t = _tape(spark, down).withColumn("tick", F.lit(1.0))
+    assert sorted((r.ts_ns / S, r.lado) for r in leader_moves(t, 2, 500, 2000).collect()) == [(1.0, 1), (1.6, -1)]
+
+
+def test_followers_are_read_as_of_and_still_ones_apart(spark):
+    events = spark.createDataFrame([("2026-01-05", 1, 100 * S), ("2026-01-05", -1, 200 * S)], "dt string, lado long, ts_ns long")
+    # A has no trade in the events' minutes; B moves before the first and after the second; C opens too late for the first
+    rows = [("A", 1, 10), ("B", 1, 20), ("B", 99.8, 22), ("B", 200.9, 21), ("C", 150, 5)]
+    ticks = spark.createDataFrame([("A", 1.0), ("B", 1.0), ("C", 1.0)], "symbol string, tick double")
+    got = {(r.symbol, r.subconjunto): tuple(r)[3:] for r in followers(events, _tape(spark, rows), ticks, 500, [1000]).collect()}
+    assert got == {
+        ("A", "todos"): (2, 0.0, 0.0, 0.0, 0.0), ("A", "parado"): (2, 0.0, 0.0, 0.0, 0.0), ("B", "todos"): (2, 1.0, 0.5, 50.0, 0.0),
+        ("B", "parado"): (1, 0.0, 1.0, 100.0, 0.0), ("C", "todos"): (1, 0.0, 0.0, 0.0, 0.0), ("C", "parado"): (1, 0.0, 0.0, 0.0, 0.0),
+    }
