@@ -13,7 +13,7 @@ from ..functions.scalars import minimum_effect
 from ..operators import bars as B
 from ..operators.asof import asof_backward, first_hit, range_join
 from ..operators.fold import greedy_keep
-from ..operators.indicators import stochastic
+from ..operators.indicators import bollinger, stochastic
 from ..operators.labels import excursions
 from ..operators.resample import matched_control, permuted, persistence, random_walk_tape, sign_flip_test
 from ..operators.stats import information_coefficient
@@ -288,6 +288,44 @@ def l14_band_return(spark, d):
     return b.where("fora and volta").select("symbol", "dt", "minuto")
 
 
+_SCALP_WIDTH = 0.38
+_BARW = "PARTITION BY symbol ORDER BY dt, minuto"
+
+
+@R.add(f"""WITH {SQL_M1}, b AS (SELECT *, {sql_full('avg(close)', 'close', _BARW, '20 PRECEDING', 'CURRENT ROW', 21)} AS m, {sql_full('stddev_pop(close)', 'close', _BARW, '20 PRECEDING', 'CURRENT ROW', 21)} AS s FROM m1),
+k AS (SELECT *, close > round(m + {_SCALP_WIDTH} * s, 6) AS acima, close < round(m - {_SCALP_WIDTH} * s, 6) AS abaixo FROM b),
+x AS (SELECT *, lag(close < open AND acima, 2) OVER w AND lag(close > open AND acima, 1) OVER w AS compra, lag(close > open AND abaixo, 2) OVER w AND lag(close < open AND abaixo, 1) OVER w AS venda,
+  lag(high, 2) OVER w AS h2, lag(high, 1) OVER w AS h1, lag(low, 2) OVER w AS l2, lag(low, 1) OVER w AS l1, row_number() OVER w > 21 AS quente FROM k WINDOW w AS ({_M1W})),
+v AS (SELECT symbol, dt, minuto, 'compra' AS lado, 'retorno' AS variante, h2 AS limite, open, high, low FROM x WHERE quente AND compra UNION ALL SELECT symbol, dt, minuto, 'compra', 'rompimento', h1, open, high, low FROM x WHERE quente AND compra
+  UNION ALL SELECT symbol, dt, minuto, 'venda', 'retorno', l2, open, high, low FROM x WHERE quente AND venda UNION ALL SELECT symbol, dt, minuto, 'venda', 'rompimento', l1, open, high, low FROM x WHERE quente AND venda)
+SELECT symbol, dt, minuto, lado, variante, limite, CASE WHEN lado = 'compra' THEN low <= limite ELSE high >= limite END AS tocou,
+  CASE WHEN lado = 'compra' AND low <= limite THEN CASE WHEN open <= limite THEN 'abertura' ELSE 'recuo' END WHEN lado = 'venda' AND high >= limite THEN CASE WHEN open >= limite THEN 'abertura' ELSE 'recuo' END END AS tipo FROM v""")
+def l14b_band_scalp(spark, d):
+    """Two bars of opposite colours that both close outside one band, then the entry bar: the limit at the extreme of the first
+    ("retorno") or second ("rompimento") one, whether it was touched, and if so at the open or on a pull-back.
+
+    The whole clause of L14 but for stops and targets; l14_band_return is another pattern. Bands go on over days, the three
+    bars are of one day, and its first 21 bars give no entry.
+    """
+    return band_scalp(m1(spark, d))
+
+
+def band_scalp(bars: DataFrame, n: int = 21, width: float = _SCALP_WIDTH) -> DataFrame:
+    c, o = F.col("close"), F.col("open")
+    lower, _, upper = bollinger(c, Window.partitionBy("symbol").orderBy("dt", "minuto"), n, width)
+    above, below = c > F.round(upper, 6), c < F.round(lower, 6)
+    was = lambda x, k: F.coalesce(F.lag(x, k).over(in_minutes()), F.lit(False))
+    x = bars.withColumns({"_ra": (c < o) & above, "_wa": (c > o) & above, "_wb": (c > o) & below, "_rb": (c < o) & below})
+    x = x.withColumns({"_buy": was("_ra", 2) & was("_wa", 1), "_sell": was("_wb", 2) & was("_rb", 1)} | {f"_{v[0]}{k}": F.lag(v, k).over(in_minutes()) for v in ("high", "low") for k in (1, 2)} | {"_i": F.row_number().over(in_minutes())})
+    entry = lambda side, kind, at: F.struct(F.lit(side).alias("lado"), F.lit(kind).alias("variante"), F.col(at).alias("limite"))
+    both = lambda side, v: F.array(entry(side, "retorno", f"_{v}2"), entry(side, "rompimento", f"_{v}1"))
+    x = x.where((F.col("_buy") | F.col("_sell")) & (F.col("_i") > n)).withColumn("_e", F.explode(F.when(F.col("_buy"), both("compra", "h")).otherwise(both("venda", "l")))).select("symbol", "dt", "minuto", "open", "high", "low", "_e.*")
+    buy, at = F.col("lado") == "compra", F.col("limite")
+    x = x.withColumn("tocou", F.when(buy, F.col("low") <= at).otherwise(F.col("high") >= at))
+    kind = F.when(F.when(buy, o <= at).otherwise(o >= at), "abertura").otherwise("recuo")
+    return x.select("symbol", "dt", "minuto", "lado", "variante", "limite", "tocou", F.when(F.col("tocou"), kind).alias("tipo"))
+
+
 @R.add(f"WITH {SQL_M1}, z AS (SELECT *, round({sql_z('volume', _M1W, 15, 15)}, 6) AS zv, round({sql_z('(high - low)', _M1W, 15, 15)}, 6) AS za, close - lag(close, 6) OVER ({_M1W}) AS ctx FROM m1) SELECT symbol, dt, minuto, round(lag(ctx) OVER ({_M1W}), 6) + 0.0 AS contexto FROM z QUALIFY zv >= 1.5 AND za <= 0.5")
 def l16_absorption_bars(spark, d):
     """Much volume in a small range, with the move of the six bars before."""

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomtick.plans.research_queries import carried_ema, ignitions, reversals_123
-from loomtick.plans.study_queries import followers, leader_moves
+from loomtick.plans.study_queries import band_scalp, followers, leader_moves
 
 S = 1_000_000_000
 
@@ -70,3 +70,24 @@ def test_followers_are_read_as_of_and_still_ones_apart(spark):
         ("A", "todos"): (2, 0.0, 0.0, 0.0, 0.0), ("A", "parado"): (2, 0.0, 0.0, 0.0, 0.0), ("B", "todos"): (2, 1.0, 0.5, 50.0, 0.0),
         ("B", "parado"): (1, 0.0, 1.0, 100.0, 0.0), ("C", "todos"): (1, 0.0, 0.0, 0.0, 0.0), ("C", "parado"): (1, 0.0, 0.0, 0.0, 0.0),
     }
+
+
+@pytest.mark.parametrize("side", ["compra", "venda"])
+def test_band_scalp_on_both_sides_with_both_limits(spark, side):
+    flat = [(100.0, 101.0, 99.0, 100.0)] * 25
+    # open, high, low, close: red and white above the band, then the entry bar
+    up = [(112.0, 113.0, 109.0, 110.0), (112.0, 116.0, 111.0, 115.0), (115.0, 117.0, 114.0, 116.0)]
+    bars = flat + (up if side == "compra" else [(200 - o, 200 - low, 200 - h, 200 - c) for o, h, low, c in up])
+    df = spark.createDataFrame([("A", "2026-01-05", i, *b) for i, b in enumerate(bars)], "symbol string, dt string, minuto long, open double, high double, low double, close double")
+    price = (lambda p: p) if side == "compra" else (lambda p: 200 - p)
+    got = sorted(tuple(r)[2:] for r in band_scalp(df).collect())
+    assert got == [(27, side, "retorno", price(113.0), False, None), (27, side, "rompimento", price(116.0), True, "abertura")]
+
+
+def test_band_scalp_goes_on_over_days_after_a_warm_up(spark):
+    up = [(112.0, 113.0, 109.0, 110.0), (112.0, 116.0, 111.0, 115.0), (115.0, 117.0, 114.0, 116.0)]
+    kinds = "symbol string, dt string, minuto long, open double, high double, low double, close double"
+    for before, entries in ((18, 0), (19, 2)):
+        bars = [("A", "2026-01-05", i, 100.0, 101.0, 99.0, 100.0) for i in range(9)]
+        bars += [("A", "2026-01-06", i, *b) for i, b in enumerate([(100.0, 101.0, 99.0, 100.0)] * before + up)]
+        assert band_scalp(spark.createDataFrame(bars, kinds)).count() == entries
