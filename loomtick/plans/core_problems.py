@@ -108,7 +108,7 @@ def p2_depth(spark: SparkSession, d: str) -> DataFrame:
 
 
 def compactor(spark: SparkSession, d: str) -> StreamingCompactor:
-    streams = {name: table(spark, d, name).withColumn("symbol", F.col("symbol")) for name in ("trades", "book_offer")}
+    streams = {name: table(spark, d, name) for name in ("trades", "book_offer")}
     return StreamingCompactor(spark, work_folder(spark, "compactador"), streams).run(f"{d}/capture_files.parquet")
 
 
@@ -147,13 +147,24 @@ P4_SIZES_SQL = f"""{_P4_CASES} SELECT fluxo, count(*) AS arquivos, sum(linhas)::
 _P5_IDENT, _P5_KEEP = ["symbol", "dt", "trade_id"], ["ts_ns", "price", "quantidade", "agente_comprador", "agente_vendedor", "trade_type", "is_edit", "file_id"]
 
 
+#: Deliveries that the capture files are fed in. A file belongs to one of them, and one without a number to the first.
+DELIVERIES = 3
+
+
 def delivered(spark: SparkSession, d: str) -> DeliveryStore:
-    """Two deliveries: what was received by the end of the session's day, then what came on later days."""
+    """The capture files (``file_id`` is the batch of delivery) in three groups, one merge each, over the whole table.
+
+    Numbers of files tell nothing of the order in which they came within a day (measured), and the store needs none: a copy of
+    a message from another file may meet its partition in any of the later merges. ``overwritten`` on the store says how
+    many historical partitions each merge replaced.
+    """
     rows = table(spark, d, "trades", *_P5_IDENT, "ts_recv_ns", *_P5_KEEP).where(F.col("trade_id") > 0)
-    store = DeliveryStore(spark, work_folder(spark, "entregas"), rows.schema, _P5_IDENT, "dt", ["ts_recv_ns"], _P5_KEEP, slices=4)
-    later = F.coalesce(F.col("ts_recv_ns") >= (day_number(F.col("dt")) + 1) * F.lit(DAY_NS), F.lit(False))
-    store.merge("0", rows.where(~later))
-    store.merge("1", rows.where(later))
+    store = DeliveryStore(spark, work_folder(spark, "entregas"), rows.schema, _P5_IDENT, "dt", ["ts_recv_ns"], _P5_KEEP)
+    group = F.coalesce(F.pmod("file_id", F.lit(DELIVERIES)), F.lit(0))
+    store.overwritten = []
+    for k in range(DELIVERIES):
+        store.overwritten.append(store.merge(f"entrega/{k}", rows.where(group == k)))
+        store.data.vacuum()  # nobody else reads this store
     return store
 
 

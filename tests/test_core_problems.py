@@ -109,7 +109,7 @@ def test_deliveries_keep_one_copy_across_batches_and_retries(spark):
     df = lambda rows: spark.createDataFrame(rows, MESSAGES)
     first = df([("A", "d1", 1, 10, 1.0, "x", None), ("A", "d1", 1, 10, 1.0, None, None), ("A", "d1", 2, 5, None, None, None), (None, "d1", 3, 1, 1.0, None, None), ("B", "d2", 1, 7, 2.0, None, None)])
     late = df([("A", "d1", 1, 30, 3.0, None, None), ("A", "d1", 9, 1, 9.0, None, None)])
-    store = DeliveryStore(spark, work_folder(spark, "t"), first.schema, ["symbol", "dt", "trade_id"], "dt", ["ts_recv_ns"], ["price"], slices=2)
+    store = DeliveryStore(spark, work_folder(spark, "t"), first.schema, ["symbol", "dt", "trade_id"], "dt", ["ts_recv_ns"], ["price"], rows_per_slice=2)
     assert store.merge("0", first) == 0
     before = store.data.manifest()["parts"]
     assert store.merge("1", late) == 1  # only the partition that holds trade 1 of A
@@ -120,6 +120,44 @@ def test_deliveries_keep_one_copy_across_batches_and_retries(spark):
     assert got == [("A", "d1", 1, 30, 3.0, 3), ("A", "d1", 2, 5, None, 1), ("A", "d1", 9, 1, 9.0, 1), ("B", "d2", 1, 7, 2.0, 1)]
 
 
+@pytest.mark.parametrize("ids", [("in_0", "in_1", "in_2"), ("a/b", "a:b", "a b"), ("", "0_x_1", "lote=0")])
+def test_deliveries_of_any_names(spark, ids):
+    days = ["d_1", "x:1", "p/q", "", " ", "d1%", "__HIVE_DEFAULT_PARTITION__"]
+    df = lambda rows: spark.createDataFrame(rows, MESSAGES)
+    root = work_folder(spark, "t")
+    new = lambda: DeliveryStore(spark, root, df([]).schema, ["symbol", "dt", "trade_id"], "dt", ["ts_recv_ns"], ["price"], rows_per_slice=3)
+    for k, batch in enumerate(ids):  # every message comes again in every batch; one is new
+        rows = [("A", day, i, 100 + k, float(k), None, None) for day in days for i in range(8 + k)]
+        hit = new().merge(batch, df(rows))
+        assert (hit > 0) == (k > 0)
+        assert new().merge(batch, df(rows)) == 0
+    got = {(r.dt, r.trade_id): (r.ts_recv_ns, r.price, r.copias) for r in new().read().collect()}
+    assert new().read().count() == len(got) == 10 * len(days)
+    assert all(got[day, i] == (102, 2.0, 3 if i < 8 else 2 if i == 8 else 1) for day in days for i in range(10))
+    before = new().read().count()
+    assert new().data.vacuum() > 0 and new().data.vacuum() == 0 and new().read().count() == before
+
+
+def test_a_delivery_that_stopped_half_way_is_completed(spark, monkeypatch):
+    df = lambda rows: spark.createDataFrame(rows, MESSAGES)
+    root = work_folder(spark, "t")
+    new = lambda: DeliveryStore(spark, root, df([]).schema, ["symbol", "dt", "trade_id"], "dt", ["ts_recv_ns"], ["price"])
+    store = new()
+    monkeypatch.setattr(store.index, "commit", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        store.merge("0", df([("A", "d", 1, 1, 1.0, None, None)]))
+    new().merge("0", df([("A", "d", 1, 1, 1.0, None, None)]))
+    assert new().merge("1", df([("A", "d", 1, 2, 2.0, None, None)])) == 1
+    assert [(r.price, r.copias) for r in new().read().collect()] == [(2.0, 2)]
+
+
+def test_the_query_overwrites_historical_partitions(spark, data):
+    from loomtick.plans.core_problems import DELIVERIES, delivered
+
+    store = delivered(spark, data)
+    assert len(store.overwritten) == DELIVERIES and store.overwritten[0] == 0 and sum(store.overwritten) > 0  # at scales 0.01 and 0.1: [0, 2, 4] and [0, 5, 10]
+
+
 def test_late_rows_correct_until_the_cut_off(spark):
     rows = [("A", 1, 5, 8), ("A", 1, 5, 90), ("A", 2, 7, 25), ("A", 3, 8, 200), ("A", None, 8, 11), ("A", 0, 9, None), ("A", 4, None, 3)]
     df = spark.createDataFrame(rows, "s string, id bigint, e bigint, r bigint").withColumn("janela", F.lit("clash"))
@@ -149,5 +187,9 @@ def test_compactor_merges_each_row_once_and_goes_on(spark):
     assert sorted(r.file_id for r in c.merged_files().collect()) == [1, 2, 3, 4, 6]
     got = sorted((r.file_id, r.v) for r in c.compacted("t").collect())
     assert got == sorted((f, i) for f, n in ((1, 3), (2, 2), (3, 1), (4, 5), (6, 2)) for i in range(n))
+    whole = [(r.symbol, r.file_id, r.v) for r in c.current("t").collect()]
+    assert sorted(whole, key=str) == sorted(((r.symbol, r.file_id, r.v) for r in rows.collect()), key=str)
+    files = {r.parte for r in c.output["t"].read().select("parte").collect()}
+    assert len({x["group"] for x in c.output["t"].manifest()["parts"].values()}) == 1 and len(files) > 1  # one symbol and day, cut at four rows
     c._batch(spark.read.parquet(listing).limit(0), 1)  # a retried micro-batch changes nothing
     assert sorted((r.file_id, r.v) for r in c.compacted("t").collect()) == got
