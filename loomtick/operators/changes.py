@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 ADD, EDIT, DELETE, DELETE_FROM = 0, 1, 2, 3
 
 #: Changes that one task replays at a time. Longer feeds are cut here and the pieces composed.
@@ -53,24 +56,37 @@ def apply_changes(base: DataFrame | None, changes: DataFrame, change_id: Sequenc
 
 
 class Lengths:
-    """The length of a book after some changes as a function of its length before: rising by steps of 0 or 1, held as
-    its value at 0 and the sorted steps that rise by 0. Closed under composition, so pieces of a feed are independent."""
+    """The length of a book after some changes as a function of its length before: rising by steps of 0 or 1, held as its
+    value at 0 and the steps that rise by 0, which are all below ``cleared`` and those in ``flat`` (sorted). Closed under
+    composition, so pieces of a feed are independent."""
 
-    def __init__(self) -> None:
-        self.base, self.flat = 0, []
+    def __init__(self, base: int = 0, cleared: int = 0, flat: Sequence[int] = ()) -> None:
+        self.base, self.cleared, self.flat = base, cleared, list(flat)
 
-    def delete(self, position: int) -> None:
-        if position < self.base:
-            self.base -= 1
-            return
-        k, lo, hi = position - self.base, 0, len(self.flat)  # the k-th step (from 0) that still rises
+    def _rising(self, k: int) -> tuple[int, int]:
+        """The k-th step (from 0) that still rises, and how many steps of ``flat`` lie before it."""
+        lo, hi = 0, len(self.flat)
         while lo < hi:
             mid = (lo + hi) // 2
-            if self.flat[mid] - mid <= k:
+            if self.flat[mid] - self.cleared - mid <= k:
                 lo = mid + 1
             else:
                 hi = mid
-        insort(self.flat, k + lo)
+        return self.cleared + k + lo, lo
+
+    def delete(self, position: int) -> None:
+        if position < self.base:
+            self.base -= 1
+        else:
+            insort(self.flat, self._rising(position - self.base)[0])
+
+    def delete_from(self, position: int) -> None:
+        """Removes 0 to ``position`` in one step, however far beyond the end it lies."""
+        own = min(position + 1, self.base)
+        self.base -= own
+        if position + 1 > own:
+            last, before = self._rising(position - own)
+            self.cleared, self.flat = last + 1, self.flat[before:]
 
     def replay(self, actions: Sequence[int], positions: Sequence[int]) -> Lengths:
         for a, p in zip(actions, positions):
@@ -79,32 +95,41 @@ class Lengths:
             elif a == DELETE:
                 self.delete(p)
             elif a == DELETE_FROM:
-                for _ in range(p + 1):
-                    self.delete(0)
+                self.delete_from(p)
         return self
 
+    def after(self, before: int) -> int:
+        return self.base + before - min(before, self.cleared) - bisect_left(self.flat, before)
+
 
-def length_after(before: int, base: int, flat: Sequence[int]) -> int:
-    return base + before - bisect_left(flat, before)
+#: The quantity that an offer of the book before a segment has there, not known inside it; and a NULL among integers.
+KEPT, NULL = -(2**61), -(2**62)
 
 
-def replay_segment(length: int, actions: Sequence[int], positions: Sequence[int], quantities: Sequence[int]) -> tuple[list[int], dict[int, int]]:
-    """The book after a segment that starts from ``length`` unknown offers: a list of −1−i (offer i of the book before) or j
-    (the offer that the segment's change j added), and the quantities set, by the same names."""
-    book, set_to = list(range(-1, -length - 1, -1)), {}
+def replay_segment(length: int, actions: Sequence[int], positions: Sequence[int], quantities: Sequence[int]) -> tuple[list[int], list[tuple[int, int, int]], dict[int, int]]:
+    """A segment's replay from ``length`` unknown offers: the book after it, the images of every effective change in order, and
+    the quantities set.
+
+    Offers are named −1−i (offer i of the book before) or j (added by the segment's change j). An image is (name, quantity
+    or KEPT, −1 before or +1 after): an insert has the one after, a removal the one before, an edit both.
+    """
+    book, images, now = list(range(-1, -length - 1, -1)), [], {}
     for j, (a, p, q) in enumerate(zip(actions, positions, quantities)):
         if a == ADD:
             book.insert(p, j)
-        elif p < len(book):
-            if a == EDIT:
-                set_to[book[p]] = q
-            elif a == DELETE:
-                del book[p]
-            elif a == DELETE_FROM:
-                del book[: p + 1]
+            now[j] = q
+            images.append((j, q, 1))
         elif a == DELETE_FROM:
-            book.clear()
-    return book, set_to
+            images.extend((n, now.get(n, KEPT), -1) for n in book[: p + 1])
+            del book[: p + 1]
+        elif p < len(book) and a == EDIT:
+            n = book[p]
+            images += ((n, now.get(n, KEPT), -1), (n, q, 1))
+            now[n] = q
+        elif p < len(book) and a == DELETE:
+            n = book.pop(p)
+            images.append((n, now.get(n, KEPT), -1))
+    return book, images, now
 
 
 Columns = dict[str, np.ndarray]
@@ -169,12 +194,8 @@ def _grouped(df: DataFrame, keys: Sequence[str], order: Sequence[str], each: Cal
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
 
 
-def _ints(values: Sequence[int]) -> bytes:
-    return np.asarray(values, dtype=np.int64).tobytes()
-
-
 def positional_changes(changes: DataFrame, book: Sequence[str], seq: str, action: str, position: str, quantity: str, offer: str, segment: int = SEGMENT) -> DataFrame:
-    """Resolves changes by position into signed before- and after-images of the offers they meet.
+    """Resolves changes by position into the signed before- and after-images of the offers they meet.
 
     ``changes`` holds each change once; ``seq`` orders those of a ``book`` (its columns: strings or integers) and is
     near gapless from 1. Every book starts empty; position 0 is the best. ADD inserts (beyond the end: at the end), EDIT
@@ -182,12 +203,15 @@ def positional_changes(changes: DataFrame, book: Sequence[str], seq: str, action
     NULL ``seq``, and edits and deletes beyond the last offer change nothing.
 
     Columns out: the book's, ``oferta_seq`` (the change that added the offer: its identity), ``offer_id``, ``quantidade``,
-    ``mult`` (±1) and ``place`` (final position, only on rows of offers that stay).
+    ``mult`` and ``place``. Every effective change gives its images: −1 the offer as it was, +1 as it is after; the sum
+    over a feed leaves the offers that stay. Beside them, with ``mult`` 0, the offers of the last book tell their
+    ``place``, which follows from the order of a book and not from any one change.
 
     Scale: a feed is cut every ``segment`` changes. Segments are replayed in parallel, each from a book of known length
     but unknown offers; the lengths come from composing step functions that the segments yield without knowing where they
-    start. What is composed book by book is one net effect per segment, at most the book's depth, never the feed. So a
-    book with a third of all changes costs one task only its segments' effects.
+    start. Images name unknown offers by their place in the book before the segment, and a join with that book resolves
+    them. Composed book by book are the books between segments, each at most the book's depth, never the feed. So a book
+    with a third of all changes costs one task only its books at the cuts.
     """
     keys = [f"k{i}" for i in range(len(book))]
     kinds = dict(changes.dtypes)
@@ -200,65 +224,75 @@ def positional_changes(changes: DataFrame, book: Sequence[str], seq: str, action
             F.col(seq).cast("bigint").alias("seq"),
             F.col(action).cast("bigint").alias("a"),
             F.col(position).cast("bigint").alias("p"),
-            F.coalesce(F.col(quantity).cast("bigint"), F.lit(-(2**62))).alias("q"),
-            F.coalesce(F.col(offer).cast("bigint"), F.lit(-(2**62))).alias("o"),
+            F.coalesce(F.col(quantity).cast("bigint"), F.lit(NULL)).alias("q"),
+            F.coalesce(F.col(offer).cast("bigint"), F.lit(NULL)).alias("o"),
         )
     )
 
+    def same(left: str, right: str, *more: str) -> Column:
+        on = [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys] + [F.col(f"{left}.{c}") == F.col(f"{right}.{c}") for c in more]
+        return reduce(Column.__and__, on)
+
+    # the length of a book at each cut: only segments that another one follows are asked
+    cuts = rows.select(*keys, "seg").distinct().withColumn("nxt", F.lead("seg").over(Window.partitionBy(*keys).orderBy("seg"))).where("nxt is not null")
+    followed = rows.alias("r").join(cuts.alias("c"), same("r", "c", "seg")).select("r.*", "c.nxt")
+
     def lengths(_: tuple, c: Columns) -> dict:
         f = Lengths().replay(c["a"].tolist(), c["p"].tolist())
-        return {"base": [f.base], "flat": [_ints(f.flat)]}
+        return {"nxt": c["nxt"][:1], "base": [f.base], "cleared": [f.cleared], "flat": [np.asarray(f.flat, np.int64).tobytes()]}
 
     def starts(_: tuple, c: Columns) -> dict:
         at, out = 0, []
-        for base, flat in zip(c["base"].tolist(), c["flat"]):
+        for base, cleared, flat in zip(c["base"].tolist(), c["cleared"].tolist(), c["flat"]):
+            at = Lengths(base, cleared, np.frombuffer(flat, np.int64)).after(at)
             out.append(at)
-            at = length_after(at, base, np.frombuffer(flat, dtype=np.int64))
         n = len(out)
-        return {"seg": c["seg"], "seq": np.full(n, -1), "a": np.full(n, -1), "p": np.array(out, np.int64), "q": np.zeros(n, np.int64), "o": np.zeros(n, np.int64)}
+        return {"seg": c["nxt"], "seq": np.full(n, -1), "a": np.full(n, -1), "p": np.array(out, np.int64), "q": np.zeros(n, np.int64), "o": np.zeros(n, np.int64)}
 
-    row_ddl = f"{key_ddl}, seg bigint, seq bigint, a bigint, p bigint, q bigint, o bigint"
-    effects = _grouped(rows, [*keys, "seg"], ["seq"], lengths, f"{key_ddl}, seg bigint, base bigint, flat binary")
-    markers = _grouped(effects, keys, ["seg"], starts, row_ddl)
+    effects = _grouped(followed, [*keys, "seg"], ["seq"], lengths, f"{key_ddl}, seg bigint, nxt bigint, base bigint, cleared bigint, flat binary")
+    markers = _grouped(effects, keys, ["seg"], starts, f"{key_ddl}, seg bigint, seq bigint, a bigint, p bigint, q bigint, o bigint")
 
     def replay(_: tuple, c: Columns) -> dict:
+        """Images (mult ±1), then the book at the segment's end (mult 0 with its places), then one row that says the segment is there."""
         marked = int(c["a"][0]) == -1
-        length = int(c["p"][0]) if marked else 0
-        seqs, offers, quantities = c["seq"][marked:], c["o"][marked:], c["q"][marked:].tolist()
-        left, set_to = replay_segment(length, c["a"][marked:].tolist(), c["p"][marked:].tolist(), quantities)
-        at = np.array(left, np.int64)
-        own = at >= 0
-        mine = lambda x: np.where(own, x[np.where(own, at, 0)] if len(x) else 0, 0)
-        return {
-            "ref": [_ints(np.where(own, -1, -1 - at))], "seqs": [_ints(mine(seqs))], "offers": [_ints(mine(offers))], "edited": [_ints([j in set_to for j in left])],
-            "quantities": [_ints([set_to[j] if j in set_to else quantities[j] if j >= 0 else 0 for j in left])],
-        }
-
-    net = _grouped(rows.unionByName(markers), [*keys, "seg"], ["seq"], replay, f"{key_ddl}, seg bigint, ref binary, seqs binary, offers binary, edited binary, quantities binary")
+        seqs, offers = c["seq"][marked:], c["o"][marked:]
+        left, images, now = replay_segment(int(c["p"][0]) if marked else 0, c["a"][marked:].tolist(), c["p"][marked:].tolist(), c["q"][marked:].tolist())
+        images += [(n, now.get(n, KEPT), 0) for n in left]
+        names, quantities, mult = (np.array(x, np.int64) for x in (zip(*images) if images else ((), (), ())))
+        own = names >= 0
+        mine = lambda x: np.where(own, x[np.where(own, names, 0)] if len(x) else 0, 0)
+        place = np.concatenate([np.full(len(names) - len(left), -1), np.arange(len(left))])
+        out = {"ref": np.where(own, -1, -1 - names), "s": mine(seqs), "o": mine(offers), "q": quantities, "mult": mult, "place": place}
+        return {k: np.append(v, -1 if k in ("ref", "place") else 0) for k, v in out.items()}
+
+    image_ddl = f"{key_ddl}, seg bigint, ref bigint, s bigint, o bigint, q bigint, mult bigint, place bigint"
+    replayed = stored(_grouped(rows.unionByName(markers), [*keys, "seg"], ["seq"], replay, image_ddl), "imagens")
 
     def compose(_: tuple, c: Columns) -> dict:
+        """The book before each later segment (mult 2, ``ref`` its places) and the last one (mult 0, ``place``)."""
         now: Columns = {k: np.empty(0, np.int64) for k in ("s", "o", "q")}
         out: list[np.ndarray] = []
-        for i in range(len(c["seg"])):
-            ref, seqs, offers, edited, quantities = (np.frombuffer(c[k][i], np.int64) for k in ("ref", "seqs", "offers", "edited", "quantities"))
-            old, safe = ref >= 0, np.where(ref >= 0, ref, 0)
-            before = {k: v[safe] if len(v) else np.zeros(len(ref), np.int64) for k, v in now.items()}
-            after = {"s": np.where(old, before["s"], seqs), "o": np.where(old, before["o"], offers), "q": np.where(old & (edited != 1), before["q"], quantities)}
-            unchanged = old & (after["q"] == before["q"])
-            gone = np.ones(len(now["s"]), bool)
-            gone[ref[unchanged]] = False
-            for mult, book_, which in ((-1, now, gone), (1, after, ~unchanged)):
-                n = int(which.sum())
-                if n:
-                    out.append(np.stack([book_["s"][which], book_["o"][which], book_["q"][which], np.full(n, mult), np.full(n, -1)]))
-            now = after
+        cut = np.flatnonzero(np.diff(c["seg"])) + 1
+        for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(c["seg"])]):
+            if lo:
+                n = len(now["s"])
+                out.append(np.stack([np.full(n, c["seg"][lo]), np.arange(n), now["s"], now["o"], now["q"], np.full(n, 2), np.full(n, -1)]))
+            lo += 1  # the row without a place, which sorts first
+            ref, own = c["ref"][lo:hi], {k: c[k][lo:hi] for k in now}
+            old = ref >= 0
+            before = {k: v[np.where(old, ref, 0)] if len(v) else np.zeros(len(ref), np.int64) for k, v in now.items()}
+            now = {k: np.where(old if k != "q" else old & (own["q"] == KEPT), before[k], own[k]) for k in now}
         n = len(now["s"])
-        out.append(np.stack([now["s"], now["o"], now["q"], np.zeros(n, np.int64), np.arange(n)]))
-        return dict(zip(("oferta_seq", "offer_id", "quantidade", "mult", "place"), np.concatenate(out, axis=1)))
-
-    signed = _grouped(net, keys, ["seg"], compose, f"{key_ddl}, oferta_seq bigint, offer_id bigint, quantidade bigint, mult bigint, place bigint")
-    known = lambda c: F.when(F.col(c) != F.lit(-(2**62)), F.col(c)).alias(c)
-    return signed.select(*(F.col(k).alias(b) for b, k in zip(book, keys)), "oferta_seq", known("offer_id"), known("quantidade"), "mult", F.when(F.col("place") >= 0, F.col("place")).alias("place"))
+        out.append(np.stack([np.full(n, c["seg"][-1]), np.full(n, -1), now["s"], now["o"], now["q"], np.zeros(n, np.int64), np.arange(n)]))
+        return dict(zip(("seg", "ref", "s", "o", "q", "mult", "place"), np.concatenate(out, axis=1)))
+
+    books = _grouped(replayed.where("mult = 0"), keys, ["seg", "place"], compose, image_ddl)
+    images = replayed.where("mult <> 0")
+    resolved = images.where("ref >= 0").alias("i").join(books.where("mult = 2").alias("b"), same("i", "b", "seg", "ref"))
+    resolved = resolved.select(*(F.col(f"i.{k}").alias(k) for k in keys), "i.seg", "i.ref", "b.s", "b.o", F.when(F.col("i.q") == KEPT, F.col("b.q")).otherwise(F.col("i.q")).alias("q"), "i.mult", "i.place")
+    signed = images.where("ref < 0").unionByName(resolved).unionByName(books.where("mult = 0"))
+    known = lambda c, name: F.when(F.col(c) != NULL, F.col(c)).alias(name)
+    return signed.select(*(F.col(k).alias(b) for b, k in zip(book, keys)), F.col("s").alias("oferta_seq"), known("o", "offer_id"), known("q", "quantidade"), "mult", F.when(F.col("place") >= 0, F.col("place")).alias("place"))
 
 
 def book_at_close(changes: DataFrame, day: Sequence[str], side: str = "side", seq: str = "seq", received: str = "ts_recv_ns", segment: int = SEGMENT) -> DataFrame:
