@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OBSERVED, INTERPOLATED, GAP = "observado", "interpolado", "lacuna"
@@ -29,8 +29,9 @@ def regular_grid(
 
     Columns out: the source's, ``cell``, ``n`` (readings in the cell), for each ``interpolate`` column c ``c_grid`` (value
     at ``k*step``) and ``c_last`` (last in the cell, NULL in an empty one), for each ``add`` column ``c_sum`` (NULL in an
-    empty cell), and ``state``: ``observado`` (cell has a reading), ``interpolado`` (none, but the neighbours are within
-    the limit) or ``lacuna``.
+    empty cell), ``state``: ``observado`` (cell has a reading), ``interpolado`` (none, but the neighbours are within
+    the limit) or ``lacuna``, and the as-of pair itself: ``anterior`` (instant of the last reading before ``k*step``, NULL if
+    there is none) and ``seguinte`` (of the first one at or after it), which tells whether the cell is empty.
 
     Defined cases: rows with a NULL ``at`` are no readings; a NULL source value is a source of its own; a NULL value of an
     interpolated column is no neighbour of any grid point but counts in ``n``; readings of one instant are ordered by
@@ -43,7 +44,7 @@ def regular_grid(
     span (a symbol and a day, not a symbol).
     """
     source, t = list(source), F.col(at)
-    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs = [F.count(F.lit(1)).alias("n"), F.min(t).alias("_f"), F.max(t).alias("_l")]
     for c in interpolate:
         reading = F.when(F.col(c).isNotNull(), F.struct(t.alias("at"), *(F.col(o).alias(f"o{i}") for i, o in enumerate(order)), F.col(c).cast("double").alias("v")))
         aggs += [F.min(reading).alias(f"_f_{c}"), F.max(reading).alias(f"_l_{c}")]
@@ -54,12 +55,12 @@ def regular_grid(
     upto = w.rowsBetween(Window.unboundedPreceding, -1)
     onward = w.rowsBetween(0, Window.unboundedFollowing)
     merged = cells.withColumns(
-        {"_from": F.coalesce(F.lag("_c").over(w) + 1, F.col("_c"))}
+        {"_from": F.coalesce(F.lag("_c").over(w) + 1, F.col("_c")), "anterior": F.last("_l").over(upto), "seguinte": F.first("_f").over(onward)}
         | {f"_b_{c}": F.last(f"_l_{c}", ignorenulls=True).over(upto) for c in interpolate}
         | {f"_a_{c}": F.first(f"_f_{c}", ignorenulls=True).over(onward) for c in interpolate}
     )
     points = merged.withColumn("cell", F.explode(F.sequence("_from", "_c")))
-    here = F.col("cell") == F.col("_c")
+    here = ~_between(F.col("anterior"), F.col("seguinte"), step)
     out, near = [], F.lit(True)
     for c in interpolate:
         b, a, g = F.col(f"_b_{c}"), F.col(f"_a_{c}"), F.col("cell") * F.lit(step)
@@ -71,9 +72,14 @@ def regular_grid(
         near = near & within
     out += [F.when(here, F.col(f"{c}_sum")).alias(f"{c}_sum") for c in add]
     state = F.when(here, OBSERVED).when(near, INTERPOLATED).otherwise(GAP)
-    return points.select(*source, "cell", F.when(here, F.col("n")).otherwise(0).cast("bigint").alias("n"), *out, state.alias("state"))
+    return points.select(*source, "cell", F.when(here, F.col("n")).otherwise(0).cast("bigint").alias("n"), *out, state.alias("state"), "anterior", "seguinte")
 
 
-def missing_cells(grid: DataFrame) -> DataFrame:
-    """The grid's cells without any reading."""
-    return grid.where(F.col("n") == 0)
+def _between(before: Column, after: Column, step: int) -> Column:
+    """Whether the as-of pair of a grid instant leaves its cell empty: the last reading before it and the first one not before the next instant."""
+    return F.coalesce((before < F.col("cell") * F.lit(step)) & (after >= (F.col("cell") + 1) * F.lit(step)), F.lit(False))
+
+
+def missing_cells(grid: DataFrame, step: int) -> DataFrame:
+    """The grid's cells without any reading, by their as-of neighbours."""
+    return grid.where(_between(F.col("anterior"), F.col("seguinte"), step))

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..operators.changes import book_at_close
 from ..operators.dedupe import DeliveryStore
 from ..operators.grid import missing_cells, regular_grid
-from ..operators.late import arrival_partials, first_received, merge_partials
-from ..session import stored, work_folder
+from ..operators.late import LateAggregates
+from ..session import work_folder
 from ..sources.tables import DAY_NS, MINUTE_NS, day_number, table, valid_ts
 from ..streaming.compactor import StreamingCompactor
 
@@ -33,7 +33,7 @@ def minute_grid(spark: SparkSession, d: str, gap_minutes: int = 30) -> DataFrame
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return missing_cells(minute_grid(spark, d)).select("symbol", F.col("cell").alias("minuto"))
+    return missing_cells(minute_grid(spark, d), MINUTE_NS).select("symbol", F.col("cell").alias("minuto"))
 
 
 def p1_series(spark: SparkSession, d: str) -> DataFrame:
@@ -184,20 +184,24 @@ P5_SINGLE_SQL = _P5.format(", count(*) AS copias")
 
 # ---- p6: late rows ---------------------------------------------------------------------------------------------------
 
-WINDOW_NS, CORRECT_NS, CUT_NS, ARRIVAL_NS = 300 * SECOND_NS, 30 * SECOND_NS, 600 * SECOND_NS, 3600 * SECOND_NS
+WINDOW_NS, CORRECT_NS, CUT_NS = 300 * SECOND_NS, 30 * SECOND_NS, 600 * SECOND_NS
+
+#: The second arrival batch of each day begins at this instant of it.
+NOON_NS = 17 * 3600 * SECOND_NS
 
 
 def five_minutes(spark: SparkSession, d: str) -> DataFrame:
-    """Five-minute sums of both streams: partials by arrival hour are stored, then merged on read."""
+    """Five-minute sums of both streams from two arrival batches: what came in the first half of each session, then the rest."""
     rows = None
     for name, ident in (("trades", "trade_id"), ("book_offer", "seq")):
         t = table(spark, d, name, "ts_ns", "ts_recv_ns", "symbol", "dt", ident, "quantidade")
-        t = t.where(valid_ts(F.col("ts_ns"), F.col("dt"))).withColumnRenamed(ident, "ident")
-        t = first_received(t, ["symbol", "dt", "ident"], "ts_recv_ns", ["ts_ns", "quantidade"], F.col("ident") > 0)
-        t = t.withColumn("fluxo", F.lit(name))
+        t = t.where(valid_ts(F.col("ts_ns"), F.col("dt"))).withColumnRenamed(ident, "ident").withColumn("fluxo", F.lit(name))
         rows = t if rows is None else rows.unionByName(t)
-    partials = arrival_partials(rows, ["fluxo", "symbol"], "ts_ns", "ts_recv_ns", WINDOW_NS, CORRECT_NS, CUT_NS, {"quantidade": F.col("quantidade")}, ARRIVAL_NS)
-    return merge_partials(stored(partials, "parciais"), ["fluxo", "symbol"], ["quantidade"]).withColumn("janela", F.expr(f"janela div {SECOND_NS}"))
+    store = LateAggregates(spark, work_folder(spark, "atrasos"), rows.schema, ["fluxo", "symbol"], ["fluxo", "symbol", "dt", "ident"], "dt", "ts_ns", "ts_recv_ns", WINDOW_NS, CORRECT_NS, CUT_NS, ["quantidade"])
+    second = F.coalesce(F.col("ts_recv_ns") >= day_number(F.col("dt")) * F.lit(DAY_NS) + F.lit(NOON_NS), F.lit(False))
+    store.merge("chegada/0", rows.where(~second), F.col("ident") > 0)
+    store.merge("chegada/1", rows.where(second), F.col("ident") > 0)
+    return store.read().withColumn("janela", F.expr(f"janela div {SECOND_NS}"))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

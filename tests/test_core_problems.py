@@ -5,10 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from loomtick.operators.changes import Lengths, apply_changes, book_at_close, length_after, merge_signed, replay_segment
+from loomtick.operators.changes import Lengths, apply_changes, book_at_close, merge_signed, positional_changes, replay_segment
 from loomtick.operators.dedupe import DeliveryStore
-from loomtick.operators.grid import regular_grid
-from loomtick.operators.late import arrival_partials, first_received, merge_partials
+from loomtick.operators.grid import missing_cells, regular_grid
+from loomtick.operators.late import LateAggregates, arrival_partials, first_received, merge_partials
 from loomtick.session import work_folder
 from loomtick.streaming.compactor import StreamingCompactor
 
@@ -38,6 +38,14 @@ def test_grid_gap_limit_exact_points_ties_and_nulls(spark):
     assert grid(spark, []) == {}
 
 
+def test_missing_cells_follow_from_the_neighbours(spark):
+    df = spark.createDataFrame([("a", 9, 1.0, 1, None, None), ("a", 10, 1.0, 1, None, None), ("a", 49, None, 1, None, None), (None, 0, 1.0, 1, None, None)], READINGS)
+    out = regular_grid(df, ["s"], "at", 10, ["v"], ["q"])
+    assert sorted((r.cell, r.anterior, r.seguinte) for r in missing_cells(out, 10).collect()) == [(2, 10, 49), (3, 10, 49)]
+    plan = missing_cells(out, 10).select("s", "cell")._jdf.queryExecution().optimizedPlan().toString()
+    assert "last(_l" in plan and "first(_f" in plan  # the as-of pair decides, nothing else
+
+
 def brute_book(changes):
     books = {}
     for side, action, position, offer, quantity in changes:
@@ -86,8 +94,35 @@ def test_lengths_compose():
         ops = [(rnd.choice([0, 1, 2, 3]), rnd.randrange(6)) for _ in range(rnd.randrange(25))]
         f = Lengths().replay([a for a, _ in ops], [p for _, p in ops])
         for before in range(12):
-            book, _ = replay_segment(before, [a for a, _ in ops], [p for _, p in ops], [0] * len(ops))
-            assert length_after(before, f.base, f.flat) == len(book)
+            book, _, _ = replay_segment(before, [a for a, _ in ops], [p for _, p in ops], [0] * len(ops))
+            assert f.after(before) == len(book)
+
+
+def test_removal_far_beyond_the_book_is_one_step():
+    f = Lengths().replay([0, 3, 0, 2], [0, 2**31 - 1, 0, 5])
+    assert (f.base, f.cleared, len(f.flat)) == (1, 2**31 - 1, 1)
+    assert [f.after(n) for n in (0, 9, 2**31 - 1, 2**31 + 9)] == [1, 1, 1, 10]
+    assert replay_segment(3, [3, 0], [2**31 - 1, 0], [0, 5])[0] == [1]
+
+
+@pytest.mark.parametrize("segment", [2, 1000])
+def test_every_effective_change_gives_its_images(spark, segment):
+    rows = [("A", 1, 0, 0, 7, 5), ("A", 2, 0, 0, 8, 6), ("A", 3, 1, 1, None, 9), ("A", 4, 1, 7, None, 1), ("A", 5, 2, 0, None, None), ("A", 6, 2, 5, None, None), ("A", 7, 0, 2**31 - 1, 9, 4), ("A", 8, 4, 0, 1, 1), ("A", 9, 3, 2**31 - 1, None, None), (None, 1, 0, 0, 1, None)]
+    df = spark.createDataFrame(rows, "symbol string, seq bigint, action bigint, position bigint, offer_id bigint, quantidade bigint")
+    got = positional_changes(df, ["symbol"], "seq", "action", "position", "quantidade", "offer_id", segment).where("mult <> 0").collect()
+    got = sorted((str(r.symbol), r.oferta_seq, r.offer_id, r.quantidade, r.mult) for r in got)
+    want = [("A", 1, 7, 5, 1), ("A", 1, 7, 5, -1), ("A", 1, 7, 9, 1), ("A", 1, 7, 9, -1), ("A", 2, 8, 6, 1), ("A", 2, 8, 6, -1), ("A", 7, 9, 4, 1), ("A", 7, 9, 4, -1), ("None", 1, 1, None, 1)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_the_query_sums_before_images(spark, data):
+    from loomtick.operators.changes import latest_copies
+    from loomtick.sources.tables import table
+
+    changes = table(spark, data, "book_offer", "ts_recv_ns", "symbol", "seq", "action", "side", "position", "offer_id", "quantidade", "dt")
+    single = latest_copies(changes, ["symbol", "dt", "seq"], "ts_recv_ns", ["action", "side", "position", "offer_id", "quantidade"])
+    mult = {r.mult: r["count"] for r in positional_changes(single, ["symbol", "dt", "side"], "seq", "action", "position", "quantidade", "offer_id").groupBy("mult").count().collect()}
+    assert mult[-1] > mult[0] > 0 and mult[1] - mult[-1] == mult[0]  # what stays is what came less what went
 
 
 def test_keyed_changes(spark):
@@ -169,6 +204,40 @@ def test_late_rows_correct_until_the_cut_off(spark):
     assert merge_partials(arrival_partials(single.where("false"), ["s"], "e", "r", 10, 10, 100, {}, 50), ["s"], []).count() == 0
 
 
+LATE = "s string, d string, id bigint, e bigint, r bigint, q bigint, janela string, n string"
+
+
+def test_late_batches_in_any_order_equal_one_pass(spark):
+    rnd = random.Random(5)
+    rows = [(rnd.choice("AB"), rnd.choice(["d_1", "", None]), rnd.choice([None, 0, *range(12)]), rnd.choice([None, *range(40)]), rnd.choice([None, *range(300)]), rnd.choice([None, 1, 2, 3]), "x", "y") for _ in range(300)]
+    cut = [rows[:100], rows[100:250], [], rows[250:]]
+    df = lambda r: spark.createDataFrame(r, LATE)
+    single = first_received(df(rows), ["s", "d", "id"], "r", ["e", "q"], F.col("id") > 0)
+    parts = arrival_partials(single, ["s"], "e", "r", 10, 10, 100, {"q": F.col("q")}, 50)
+    want = {(r.s, r.janela): (r.n, r.n_corrigida, r.n_cortada, r.q or 0) for r in merge_partials(parts, ["s"], ["q"]).collect()}
+    store = lambda root: LateAggregates(spark, root, df([]).schema, ["s"], ["s", "d", "id"], "d", "e", "r", 10, 10, 100, ["q"])
+    for order in ((0, 1, 2, 3), (3, 2, 1, 0)):
+        root = work_folder(spark, "t")
+        for k in order:
+            store(root).merge(f"b/{k}", df(cut[k]), F.col("id") > 0)
+            store(root).merge(f"b/{k}", df(cut[k]), F.col("id") > 0)
+        got = {(r.s, r.janela): (r.n, r.n_corrigida, r.n_cortada, r.q or 0) for r in store(root).read().collect()}
+        assert {k: v for k, v in got.items() if any(v)} == want
+
+
+def test_a_second_arrival_batch_reads_no_old_rows(spark):
+    import shutil
+
+    root, raw = work_folder(spark, "t"), work_folder(spark, "t")
+    spark.createDataFrame([("A", "d", 1, 5, 8, 2, None, None), ("A", "d", 2, 6, 9, 3, None, None)], LATE).write.parquet(raw)
+    store = LateAggregates(spark, root, spark.read.parquet(raw).schema, ["s"], ["s", "d", "id"], "d", "e", "r", 10, 10, 100, ["q"])
+    store.merge("0", spark.read.parquet(raw), F.col("id") > 0)
+    shutil.rmtree(raw.removeprefix("file://"))  # gone, and not missed
+    late = [("A", "d", 1, 5, 60, 2, None, None), ("A", "d", 3, 7, 50, 4, None, None), ("A", "d", 4, 7, 500, 9, None, None), ("A", "d", 2, 6, 7, 8, None, None)]
+    store.merge("1", spark.createDataFrame(late, LATE), F.col("id") > 0)
+    assert [(r.n, r.n_corrigida, r.n_cortada, r.q, r.lotes) for r in store.read().collect()] == [(3, 1, 1, 14, 2)]
+
+
 def test_compactor_merges_each_row_once_and_goes_on(spark):
     root = work_folder(spark, "t")
     listing = f"{root}/listing"
