@@ -164,3 +164,47 @@ def test_subjects_on_held_out_documents(spark):
     assert len(got & want) >= 0.98 * len(want) and len(got - want) <= 0.02 * len(want)
     empty = S.train(docs, labels.where("false"), sorted(vocabulary), [])
     assert S.assign_subjects(docs, empty).count() == 0
+
+
+def test_few_labels_reach_a_whole_vocabulary(spark):
+    rnd = random.Random(9)
+    vocabulary = {a: [f"{a}{c}{c}{d}" for c in "bcdfg" for d in "klmnp"] for a in ("art", "sea", "ore", "sky", "zoo", "wax", "tin", "fog")}
+    rows, truth = [], {}
+    for i in range(800):
+        areas = rnd.sample(list(vocabulary), rnd.choice([0, 1, 1, 2]))
+        words = rnd.sample([f"common{c}" for c in "abcdefghijklmno"], 10) + [w for a in areas for w in rnd.sample(vocabulary[a], 6)] + [f"own{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}"]
+        rows.append((i, " ".join(words), None))
+        truth[i] = set(areas)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    given = [i for i in range(800) if truth[i]][:60] + [i for i in range(800) if not truth[i]][:20]
+    labels = spark.createDataFrame([(i, s, "r") for i in given for s in truth[i] or {"none"}], "doc_id bigint, subject string, rater string")
+    model = S.train(docs, labels, sorted(vocabulary), [])
+    want = {w for v in vocabulary.values() for w in v}
+    assert len(want & set(model.terms)) >= 0.97 * len(want) and len(set(model.terms) - want) <= 2
+    known = labels.select("doc_id").collect()
+    seen = set(" ".join(rows[r.doc_id][1] for r in known).split())
+    assert want - seen and (want - seen) & set(model.terms)  # terms that no labelled document holds
+    got = {(r.doc_id, r.subject) for r in S.assign_subjects(docs, model).collect()}
+    assert len(got & {(i, s) for i, t in truth.items() for s in t}) >= 0.97 * sum(map(len, truth.values()))
+
+
+def test_a_word_may_belong_to_two_areas():
+    both = [(1, 30), (2, 28), (0, 2)]  # documents of area 0, of area 1, of neither
+    assert sorted(S._areas_of(both, [100, 100], 1000, None)) == [0, 1]
+    assert S._areas_of([(1, 30), (3, 20), (0, 2)], [100, 400], 1000, None) == [0]
+    assert S._areas_of([(1, 30)], [100, 100], 1000, (10, [1, 9])) == []  # the labelled documents speak against it
+    assert S._areas_of([(0, 50), (1, 4)], [100, 100], 1000, None) == []
+
+
+def test_the_beam_follows_the_chain():
+    rnd = np.random.default_rng(3)
+    n = 4000
+    first = rnd.random(n) < 0.5
+    second = np.where(first, rnd.random(n) < 0.9, rnd.random(n) < 0.05)
+    total = np.stack([np.where(first, 6, 0), np.full(n, 2)], axis=1)  # the second area's own terms say nothing
+    own, y = S.own_features(np.minimum(total, 3), total), np.stack([first, second], axis=1).astype(float)
+    shared = np.ones((n, 1))
+    with_chain = S.fit_chain(S.Chain(["a", "b"]), own, shared, y)
+    without = S.fit_chain(S.Chain(["a", "b"]), own, shared, y, chained=False)
+    right = lambda m: (S.decode(m, own, shared, miss_cost=1.0)[0] == y.astype(bool)).all(axis=1).mean()
+    assert right(with_chain) > 0.9 and right(without) < 0.7
