@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 
 import pandas as pd
@@ -113,62 +112,63 @@ def point_of_control(profile: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(best.alias("poc"), F.max("volume").alias("volume"), F.min(F.when(top, F.col("faixa"))).alias("plato_de"), F.max(F.when(top, F.col("faixa"))).alias("plato_ate"))
 
 
-def _area(bins: list[tuple[int, float]], centre: int, share: float) -> tuple[int, int, float]:
-    """Bounds and volume of the value area over (bin, volume) pairs; empty bins count as 0 and are passed in one step."""
-    volume = dict(bins)
-    filled = sorted(volume)
-    total, lo, hi = sum(volume.values()), filled[0], filled[-1]
-    a = b = centre
-    got = volume[centre]
-    while got < total * share - 1e-9 and (a > lo or b < hi):
-        up, down = volume.get(b + 1, 0.0) if b < hi else None, volume.get(a - 1, 0.0) if a > lo else None
-        if up is not None and (down is None or up >= down):
-            if up == 0.0 and not down:  # nothing on either side: up to just below the next filled bin
-                b = filled[bisect_right(filled, b)] - 1
-            else:
-                b, got = b + 1, got + up
-        elif down == 0.0:  # only empty bins below, none above
-            a = filled[bisect_left(filled, a) - 1] + 1
-            a, got = a - 1, got + volume[a - 1]
+def _area(volumes: Sequence[float], centre: int, share: float, step: int) -> tuple[int, int, float]:
+    """First and last place and volume of the value area over the volumes of filled bins in order of price."""
+    goal, lo, hi, got = share * sum(volumes), centre, centre + 1, volumes[centre]
+    while got < goal and (lo or hi < len(volumes)):
+        below, above = volumes[max(0, lo - step) : lo], volumes[hi : hi + step]
+        if above and (not below or sum(above) >= sum(below)):
+            hi, got = hi + len(above), got + sum(above)
         else:
-            a, got = a - 1, got + down
-    return a, b, got
+            lo, got = lo - len(below), got + sum(below)
+    return lo, hi - 1, got
 
 
-def value_area(profile: DataFrame, keys: Sequence[str], bin_size: float, share: float = 0.7) -> DataFrame:
-    """The value area: from the POC one bin at a time towards the larger neighbour (ties up) until ``share`` of the volume is in.
+def value_area(profile: DataFrame, keys: Sequence[str], bin_size: float, share: float = 0.7, mode: str = "bin") -> DataFrame:
+    """The value area: from the POC towards the larger neighbour (ties up) until ``share`` of the volume is in.
 
-    Greedy and sequential, so each key's profile (filled bins only, however wide its price range) goes to one task.
+    A neighbour is the next *filled* bin; ``mode`` "bin" takes one at a time, "pares" two, comparing the sums of both.
+    ``de`` and ``ate`` are outer edges. Greedy and sequential, so each key's profile (filled bins only, however wide its
+    price range) goes to one task.
     """
-    kinds = dict(profile.dtypes)
+    if mode not in ("bin", "pares"):
+        raise ValueError(f"{mode!r} is no mode of the value area")
+    kinds, step = dict(profile.dtypes), 1 if mode == "bin" else 2
     poc = point_of_control(profile, keys).select(*keys, "poc")
-    rows = profile.join(poc, list(keys)).select(*keys, F.round(F.col("faixa") / bin_size).cast("bigint").alias("k"), F.col("volume").cast("double").alias("v"), F.round(F.col("poc") / bin_size).cast("bigint").alias("c"))
+    rows = profile.join(poc, list(keys)).select(*keys, "faixa", F.col("volume").cast("double").alias("v"), "poc")
 
     def area(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        c = int(pdf.c.iloc[0])
-        a, b, got = _area(list(zip(pdf.k.tolist(), pdf.v.tolist())), c, share)
-        return pd.DataFrame([(*key, c * bin_size, a * bin_size, b * bin_size, got, float(pdf.v.sum()))])
+        pdf = pdf.sort_values("faixa")
+        at, v, poc = pdf.faixa.tolist(), pdf.v.tolist(), pdf.poc.iloc[0]
+        a, b, got = _area(v, at.index(poc), share, step)
+        return pd.DataFrame([(*key, poc, at[a], at[b] + bin_size, got, sum(v))])
 
     ddl = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", poc double, de double, ate double, dentro double, total double"
     return rows.groupBy(*keys).applyInPandas(area, ddl)
 
 
-def volume_nodes(profile: DataFrame, keys: Sequence[str], bin_size: float) -> DataFrame:
-    """Low- and high-volume nodes: a bin below or above both neighbours on each side of it, bins without trades counting as 0.
+def volume_nodes(profile: DataFrame, keys: Sequence[str], bin_size: float, low: float = 0.3, high: float = 0.5) -> DataFrame:
+    """Low- and high-volume nodes (``no``: lvn, hvn) on the grid between the lowest and the highest filled bin, empty bins counting as 0.
 
-    Only bins within two of a filled one are laid out: elsewhere all volumes are 0 and nothing stands out.
+    A low node has less than ``low`` times the mean of up to two neighbours on each side (fewer at the ends), a high node
+    is not below either neighbour and has at least ``high`` times the POC's volume. Profiles of fewer than three filled
+    bins have no nodes. Only bins within two of a filled one are laid out: elsewhere all volumes are 0 and nothing stands out.
     """
     span = Window.partitionBy(*keys)
-    b = profile.withColumn("_k", F.round(F.col("faixa") / bin_size).cast("bigint")).withColumns({"_lo": F.min("_k").over(span), "_hi": F.max("_k").over(span)})
+    b = profile.withColumn("_k", F.round(F.col("faixa") / bin_size).cast("bigint"))
+    b = b.withColumns({"_lo": F.min("_k").over(span), "_hi": F.max("_k").over(span), "_top": F.max("volume").over(span), "_bins": F.count(F.lit(1)).over(span)}).where("_bins >= 3")
     near = b.withColumn("_o", F.explode(F.array(*(F.lit(i) for i in range(-2, 3)))))
-    near = near.groupBy(*keys, (F.col("_k") + F.col("_o")).alias("k"), "_lo", "_hi").agg(F.sum(F.when(F.col("_o") == 0, F.col("volume")).otherwise(0)).alias("volume"))
+    near = near.groupBy(*keys, (F.col("_k") + F.col("_o")).alias("k"), "_lo", "_hi", "_top").agg(F.sum(F.when(F.col("_o") == 0, F.col("volume")).otherwise(0)).alias("volume"))
+    near = near.where("k between _lo and _hi")
     w = span.orderBy("k")
     v, k = F.col("volume"), F.col("k")
     at = lambda step, i: F.when(step("k", 1).over(w) == k + i, step("volume", 1).over(w)).when(step("k", 2).over(w) == k + i, step("volume", 2).over(w)).otherwise(0)
-    sides = [at(F.lag, -1), at(F.lag, -2), at(F.lead, 1), at(F.lead, 2)]
-    kind = F.when(v < F.least(*sides), "lvn").when(v > F.greatest(*sides), "hvn")
-    out = near.withColumn("no", kind).where("no is not null and k - 2 >= _lo and k + 2 <= _hi")
-    return out.select(*keys, (k * bin_size).alias("faixa"), "volume", "no")
+    a1, a2, d1, d2 = at(F.lag, -1), at(F.lag, -2), at(F.lead, 1), at(F.lead, 2)
+    near = near.withColumns({"_a1": a1, "_d1": d1, "_all": a1 + a2 + d1 + d2})
+    beside = F.least(k - F.col("_lo"), F.lit(2)) + F.least(F.col("_hi") - k, F.lit(2))
+    mean = F.col("_all").cast("double") / beside
+    kind = F.when((mean > 0) & (v < low * mean), "lvn").when((v > 0) & (v >= F.col("_a1")) & (v >= F.col("_d1")) & (v >= high * F.col("_top")), "hvn")
+    return near.withColumn("no", kind).where("no is not null").select(*keys, (k * bin_size).alias("faixa"), "volume", "no")
 
 
 def infer_tick(tape: DataFrame) -> DataFrame:
@@ -217,3 +217,18 @@ def broker_flow(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def signed_volume() -> Column:
     return F.sum(aggressor_sign(F.col("trade_type")) * F.col("quantidade"))
+
+
+def effort(volume: Column, reach: Column, tick: Column) -> Column:
+    """Contracts per tick of range, without bound; NULL on a flat bar, which is no division but no number either."""
+    return F.when(reach > 0, volume / (reach / tick))
+
+
+def absorption_reading(z_absorption: Column, z_imbalance: Column, limit: float, limit_imbalance: float) -> Column:
+    """The colour of a bar: aggression that was absorbed (A) or a move without aggression (B), on either side; ``nao_pintou`` without a score."""
+    strong = F.abs(z_imbalance) >= limit_imbalance
+    buyers, sellers = z_absorption >= limit, z_absorption <= -limit
+    return (
+        F.when(buyers & strong & (z_imbalance > 0), "A_compra_absorvida").when(buyers, "B_queda_sem_esforco")
+        .when(sellers & strong & (z_imbalance < 0), "A_venda_absorvida").when(sellers, "B_alta_sem_esforco").otherwise("nao_pintou")
+    )

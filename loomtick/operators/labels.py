@@ -31,6 +31,31 @@ def triple_barrier(bars: DataFrame, keys: Sequence[str], order: str, k: float, h
     return out.withColumns({"rotulo": label.cast("bigint"), "ambiguo": F.coalesce(first["u"] & first["d"], F.lit(False))}).drop("_r", "_p", "_u", "_d")
 
 
+def triple_barrier_by_tape(bars: DataFrame, trades: DataFrame, keys: Sequence[str], order: str, k: float, horizon: int, vol_rows: int = 50, vol_least: int = 25) -> DataFrame:
+    """Adds ``rotulo`` and ``desempatado``: barriers at close·exp(±kσ) inside ``keys`` (a day), σ as in :func:`triple_barrier`.
+
+    Bars without a positive σ, or with fewer than ``horizon`` bars left, have a NULL label. Where the deciding bar touches
+    both sides, the first of ``trades`` (keys, ``order`` of its bar, tape order) beyond either barrier decides, and without
+    one the label is 0. Only bars with such a tie meet the tape, by an equi-join on the deciding bar.
+    """
+    w = Window.partitionBy(*keys).orderBy(order)
+    past, ahead = w.rowsBetween(-vol_rows, -1), w.rowsBetween(1, horizon)
+    out = bars.withColumn("_r", F.log(F.col("close") / F.lag("close").over(w)))
+    out = out.withColumn("_s", F.when(F.count("_r").over(past) >= vol_least, F.stddev_samp("_r").over(past)))
+    out = out.withColumns({"_p": F.collect_list(F.struct(F.col(order).alias("o"), "high", "low")).over(ahead), "_u": F.col("close") * F.exp(k * F.col("_s")), "_d": F.col("close") * F.exp(-k * F.col("_s"))})
+    touch = F.expr("filter(transform(_p, x -> struct(x.high >= _u AS u, x.low <= _d AS d, x.o AS o)), x -> x.u OR x.d)")
+    valid = F.coalesce((F.col("_s") > 0) & (F.size("_p") == horizon), F.lit(False))
+    out = out.withColumns({"_ok": valid, "_f": F.try_element_at(touch, F.lit(1))}).drop("_r", "_p", "_s")
+    out = out.withColumn("_tie", F.coalesce(F.col("_ok") & F.col("_f.u") & F.col("_f.d"), F.lit(False)))
+    path = trades.select(*keys, F.col(order).alias("_at"), F.col("price").alias("_price"), F.struct("ts_ns", "ts_recv_ns", "trade_id").alias("_when"))
+    met = out.where("_tie").select(*keys, order, F.col("_f.o").alias("_at"), "_u", "_d").join(path, [*keys, "_at"]).where("_price >= _u or _price <= _d")
+    first = met.groupBy(*keys, order).agg(F.min_by(F.col("_price") >= F.col("_u"), "_when").alias("_up"))
+    out = out.join(first, [*keys, order], "left")
+    tied = F.when(F.col("_up"), 1).when(~F.col("_up"), -1).otherwise(0)
+    label = F.when(F.col("_ok"), F.when(F.col("_f").isNull(), 0).when(F.col("_tie"), tied).when(F.col("_f.u"), 1).otherwise(-1))
+    return out.withColumns({"rotulo": label.cast("bigint"), "desempatado": F.col("_tie")}).drop("_ok", "_f", "_tie", "_u", "_d", "_up")
+
+
 def excursions(bars: DataFrame, keys: Sequence[str], order: str, horizons: Sequence[int]) -> DataFrame:
     """Adds, per horizon h, ``mfe_h`` (at least 0) and ``mae_h`` (at most 0) of a long entry at the close; NULL where the day ends first."""
     w = Window.partitionBy(*keys).orderBy(order)

@@ -24,11 +24,14 @@ R = Registry()
 # ---- J ---------------------------------------------------------------------------------------------------------------
 
 
-@R.add(f"WITH {SQL_TB}, a AS (SELECT symbol, bar_id, sum(quantidade) FILTER (WHERE trade_type = 2) AS vc, sum(quantidade) FILTER (WHERE trade_type = 3) AS vv, coalesce(sum(quantidade) FILTER (WHERE trade_type = 13), 0) AS vr, count(*) FILTER (WHERE trade_type IN (2, 3)) AS n FROM tb GROUP BY ALL), f AS (SELECT symbol, bar_id, (coalesce(vc, 0) - coalesce(vv, 0)) / (coalesce(vc, 0) + coalesce(vv, 0)) AS imbalance, vr / (vr + coalesce(vc, 0) + coalesce(vv, 0)) AS rlp_frac FROM a WHERE n > 0) SELECT symbol, bar_id, round(imbalance, 6) AS imbalance, round(rlp_frac, 6) AS rlp_frac, round({sql_z('imbalance', 'PARTITION BY symbol ORDER BY bar_id', 50, 25)}, 5) + 0.0 AS z_imbalance FROM f")
+@R.add(f"""WITH {SQL_TB}, tk AS (SELECT {SQL_SYMBOL} AS symbol, tick FROM ativos), a AS (SELECT symbol, bar_id, max(price) FILTER (WHERE trade_type IN (2, 3)) AS h, min(price) FILTER (WHERE trade_type IN (2, 3)) AS l, coalesce(sum(quantidade) FILTER (WHERE trade_type = 2), 0) AS vc, coalesce(sum(quantidade) FILTER (WHERE trade_type = 3), 0) AS vv, coalesce(sum(quantidade) FILTER (WHERE trade_type = 13), 0) AS vr, count(*) FILTER (WHERE trade_type IN (2, 3)) AS n FROM tb GROUP BY ALL),
+f AS (SELECT symbol, bar_id, (vc - vv) / (vc + vv) AS imbalance, (vc + vv) / greatest((h - l) / tick, 1.0) AS absorcao, vr / (vr + vc + vv) AS rlp_frac FROM a JOIN tk USING (symbol) WHERE n > 0)
+SELECT symbol, bar_id, round(imbalance, 6) AS imbalance, round(absorcao, 4) AS absorcao, round(rlp_frac, 6) AS rlp_frac, round({sql_z('imbalance', 'PARTITION BY symbol ORDER BY bar_id', 50, 25)}, 5) + 0.0 AS z_imbalance FROM f""")
 def j08_time_bar_features(spark, d):
-    """Flow features of 5-minute bars, with a score over 250 minutes of bars."""
-    f = B.flow_features(B.time_bars(tape(spark, d), _P5), ["symbol", "bar_id"], 0.01)
-    return f.select("symbol", "bar_id", r6("imbalance").alias("imbalance"), r6("rlp_frac").alias("rlp_frac"), r6(strict_past_z(F.col("imbalance"), by_bar(), 50), 5).alias("z_imbalance"))
+    """Flow features of 5-minute bars in the symbol's own tick, with a score over 250 minutes of bars."""
+    rows = B.time_bars(tape(spark, d), _P5).join(table(spark, d, "ativos", "symbol", "tick"), "symbol")
+    f = B.flow_features(rows, ["symbol", "bar_id", "tick"], F.col("tick"))
+    return f.select("symbol", "bar_id", r6("imbalance").alias("imbalance"), r6("absorcao", 4).alias("absorcao"), r6("rlp_frac").alias("rlp_frac"), r6(strict_past_z(F.col("imbalance"), by_bar(), 50), 5).alias("z_imbalance"))
 
 
 _KS = (1.0, 2.0, 3.0)
@@ -120,14 +123,14 @@ def l17_vwap_crossings(spark, d):
     return b.where("g <> 0 and antes <> 0 and g <> antes").select("symbol", "dt", "minuto", F.when(F.col("g") > 0, "acima").otherwise("abaixo").alias("cruzou"))
 
 
-@R.add(f"WITH r AS ({RESEARCH_SQL['l18_iceberg_runs']}), {SQL_TAPE} SELECT r.symbol, r.dt, r.price, r.quantidade, r.passivo, r.ilha, count(*) FILTER (WHERE abs(t.price - r.price) > 0.01 + 1e-9) > 0 AS saiu FROM r JOIN tape t ON t.symbol = r.symbol AND t.dt = r.dt AND t.ts_ns BETWEEN r.de AND r.ate GROUP BY ALL")
+@R.add(f"WITH r AS ({RESEARCH_SQL['l18_iceberg_runs']}), {SQL_TAPE} SELECT r.symbol, r.dt, r.price, r.quantidade, r.passivo, r.ilha, count(*) FILTER (WHERE abs(t.price - r.price) > tick + 1e-9) > 0 AS saiu FROM r JOIN (SELECT {SQL_SYMBOL} AS symbol, tick FROM ativos) k USING (symbol) JOIN tape t ON t.symbol = r.symbol AND t.dt = r.dt AND t.ts_ns BETWEEN r.de AND r.ate GROUP BY ALL")
 def l19_level_left(spark, d):
     """Whether the price left a run's level by more than a tick between its first and last trade."""
     t = tape(spark, d)
-    runs = iceberg_runs(t).withColumn("_m", F.explode(F.sequence(F.expr(f"de div {MINUTE}"), F.expr(f"ate div {MINUTE}"))))
+    runs = iceberg_runs(t).join(table(spark, d, "ativos", "symbol", "tick"), "symbol").withColumn("_m", F.explode(F.sequence(F.expr(f"de div {MINUTE}"), F.expr(f"ate div {MINUTE}"))))
     path = t.select("symbol", "dt", "ts_ns", F.col("price").alias("p"), F.expr(f"ts_ns div {MINUTE}").alias("_m"))
     met = runs.join(path, ["symbol", "dt", "_m"]).where("ts_ns >= de and ts_ns <= ate")
-    return met.groupBy("symbol", "dt", "price", "quantidade", "passivo", "ilha").agg((F.count_if(F.abs(F.col("p") - F.col("price")) > 0.01 + 1e-9) > 0).alias("saiu"))
+    return met.groupBy("symbol", "dt", "price", "quantidade", "passivo", "ilha").agg((F.count_if(F.abs(F.col("p") - F.col("price")) > F.col("tick") + 1e-9) > 0).alias("saiu"))
 
 
 # ---- M, O, P ---------------------------------------------------------------------------------------------------------

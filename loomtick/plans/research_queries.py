@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..operators import bars as B
 from ..operators.asof import asof_backward
+from ..operators.book import undouble
 from ..operators.fold import by_series, ema, greedy_keep, wilder
 from ..operators.indicators import bollinger, rsi, sma, stochastic, true_range
-from ..operators.labels import excursions, one_at_a_time, resolve_target_stop, triple_barrier
+from ..operators.labels import excursions, one_at_a_time, resolve_target_stop, triple_barrier, triple_barrier_by_tape
 from ..operators.quotes import crossed_episodes, top_of_book, usability
 from ..operators.stats import information_coefficient, quantile_bucket, value_at_risk, walk_forward, welch_t
 from ..operators.tape import is_aggressor, local_hhmm, passive_broker
@@ -143,12 +144,35 @@ def i12_point_of_control(spark, d):
     return B.point_of_control(profile(spark, d), ["symbol", "dt"])
 
 
-@R.add()
+def _area_sql(step: int) -> str:
+    below, above = f"list_sum(v[greatest(lo - {step}, 1):lo - 1])", f"list_sum(v[hi + 1:least(hi + {step}, len(v))])"
+    up = f"hi < len(v) AND (lo <= 1 OR {above} >= {below})"
+    return f"""WITH RECURSIVE {SQL_PROFILE}, c AS (SELECT *, (min(faixa) OVER w + max(faixa) OVER w) / 2 AS c FROM pf WINDOW w AS (PARTITION BY symbol, dt)),
+b AS (SELECT symbol, dt, arg_max(faixa, {{'a': volume, 'b': -abs(faixa - c), 'c': -faixa}}) AS poc, list(faixa ORDER BY faixa) AS f, list(volume ORDER BY faixa) AS v FROM c GROUP BY ALL),
+r AS (SELECT symbol, dt, poc, f, v, list_position(f, poc)::bigint AS lo, list_position(f, poc)::bigint AS hi, v[list_position(f, poc)]::hugeint AS got, 0 AS i FROM b
+  UNION ALL SELECT symbol, dt, poc, f, v, CASE WHEN {up} THEN lo ELSE greatest(lo - {step}, 1) END, CASE WHEN {up} THEN least(hi + {step}, len(v)) ELSE hi END, got + CASE WHEN {up} THEN {above} ELSE {below} END, i + 1
+  FROM r WHERE got::double < 0.7::double * list_sum(v)::double AND (lo > 1 OR hi < len(v)))
+SELECT symbol, dt, poc, f[lo] AS de, f[hi] + {_BIN} AS ate, got::double AS dentro, list_sum(v)::double AS total FROM r QUALIFY row_number() OVER (PARTITION BY symbol, dt ORDER BY i DESC) = 1"""
+
+
+@R.add(_area_sql(1))
 def i13_value_area(spark, d):
+    """One filled bin at a time."""
     return B.value_area(profile(spark, d), ["symbol", "dt"], _BIN)
 
 
-@R.add(f"WITH {SQL_PROFILE}, k AS (SELECT symbol, dt, round(faixa / {_BIN})::bigint AS k, volume, round(min(faixa) OVER w / {_BIN})::bigint AS lo, round(max(faixa) OVER w / {_BIN})::bigint AS hi FROM pf WINDOW w AS (PARTITION BY symbol, dt)), c AS (SELECT DISTINCT symbol, dt, k + o AS k, lo, hi FROM k, (SELECT unnest([-2, -1, 0, 1, 2]) AS o)), n AS (SELECT c.*, coalesce(k0.volume, 0) AS volume, coalesce(a1.volume, 0) AS a1, coalesce(a2.volume, 0) AS a2, coalesce(d1.volume, 0) AS d1, coalesce(d2.volume, 0) AS d2 FROM c LEFT JOIN k k0 ON k0.symbol = c.symbol AND k0.dt = c.dt AND k0.k = c.k LEFT JOIN k a1 ON a1.symbol = c.symbol AND a1.dt = c.dt AND a1.k = c.k - 1 LEFT JOIN k a2 ON a2.symbol = c.symbol AND a2.dt = c.dt AND a2.k = c.k - 2 LEFT JOIN k d1 ON d1.symbol = c.symbol AND d1.dt = c.dt AND d1.k = c.k + 1 LEFT JOIN k d2 ON d2.symbol = c.symbol AND d2.dt = c.dt AND d2.k = c.k + 2) SELECT symbol, dt, k * {_BIN} AS faixa, volume, CASE WHEN volume < least(a1, a2, d1, d2) THEN 'lvn' ELSE 'hvn' END AS no FROM n WHERE k - 2 >= lo AND k + 2 <= hi AND (volume < least(a1, a2, d1, d2) OR volume > greatest(a1, a2, d1, d2))")
+@R.add(_area_sql(2))
+def i13b_value_area_pairs(spark, d):
+    """Two filled bins at a time, by the sums of both."""
+    return B.value_area(profile(spark, d), ["symbol", "dt"], _BIN, mode="pares")
+
+
+@R.add(f"""WITH {SQL_PROFILE}, k AS (SELECT symbol, dt, round(faixa / {_BIN})::bigint AS k, volume, round(min(faixa) OVER w / {_BIN})::bigint AS lo, round(max(faixa) OVER w / {_BIN})::bigint AS hi, max(volume) OVER w AS topo FROM pf WINDOW w AS (PARTITION BY symbol, dt) QUALIFY count(*) OVER w >= 3),
+c AS (SELECT DISTINCT symbol, dt, k + o AS k, lo, hi, topo FROM k, (SELECT unnest([-2, -1, 0, 1, 2]) AS o) WHERE k + o BETWEEN lo AND hi),
+n AS (SELECT c.symbol, c.dt, c.k, c.topo, coalesce(max(v.volume) FILTER (WHERE v.k = c.k), 0)::bigint AS volume, coalesce(max(v.volume) FILTER (WHERE v.k = c.k - 1), 0) AS antes, coalesce(max(v.volume) FILTER (WHERE v.k = c.k + 1), 0) AS depois,
+    coalesce(sum(v.volume) FILTER (WHERE v.k <> c.k), 0)::double / (least(c.k - c.lo, 2) + least(c.hi - c.k, 2)) AS media FROM c LEFT JOIN k v ON v.symbol = c.symbol AND v.dt = c.dt AND v.k BETWEEN c.k - 2 AND c.k + 2 GROUP BY c.symbol, c.dt, c.k, c.topo, c.lo, c.hi),
+q AS (SELECT *, CASE WHEN media > 0 AND volume < 0.3::double * media THEN 'lvn' WHEN volume > 0 AND volume >= antes AND volume >= depois AND volume >= 0.5::double * topo THEN 'hvn' END AS no FROM n)
+SELECT symbol, dt, k * {_BIN} AS faixa, volume, no FROM q WHERE no IS NOT NULL""")
 def i14_volume_nodes(spark, d):
     return B.volume_nodes(profile(spark, d), ["symbol", "dt"], _BIN)
 
@@ -199,10 +223,18 @@ def j15_day_shape(spark, d):
     return day.select("symbol", "dt", r6(F.when(F.col("h") > F.col("l"), F.abs(F.col("c") - F.col("o")) / (F.col("h") - F.col("l")))).alias("direcao"))
 
 
-@R.add(f"WITH {SQL_M1} SELECT symbol, dt, minuto, round(volume / greatest((high - low) / 0.01, 1.0), 4) AS esforco, CASE WHEN high = low THEN NULL WHEN close > open THEN 'compra_vence' WHEN close < open THEN 'venda_vence' ELSE 'empate' END AS leitura FROM m1")
+_CORES = (1.75, 1.0)
+_Z20 = lambda c: sql_z(c, "PARTITION BY symbol ORDER BY bar_id", 20, 10)
+
+
+@R.add(f"""WITH {SQL_FLOW}, ft AS (SELECT * FROM flow JOIN tk USING (symbol)), z AS (SELECT symbol, bar_id, (vol_compra + vol_venda) / nullif((high - low) / tick, 0) AS esforco, {_Z20('imbalance - desloc_norm')} AS za, {_Z20('imbalance')} AS zi FROM ft),
+r AS (SELECT symbol, bar_id, round(esforco, 4) AS esforco, round(za, 5) AS a, round(zi, 5) AS i FROM z)
+SELECT symbol, bar_id, esforco, CASE WHEN a >= {_CORES[0]} AND i >= {_CORES[1]} THEN 'A_compra_absorvida' WHEN a >= {_CORES[0]} THEN 'B_queda_sem_esforco' WHEN a <= -{_CORES[0]} AND i <= -{_CORES[1]} THEN 'A_venda_absorvida' WHEN a <= -{_CORES[0]} THEN 'B_alta_sem_esforco' ELSE 'nao_pintou' END AS leitura FROM r""")
 def j10_effort_reading(spark, d):
-    reading = F.when(F.col("high") == F.col("low"), F.lit(None)).when(F.col("close") > F.col("open"), "compra_vence").when(F.col("close") < F.col("open"), "venda_vence").otherwise("empate")
-    return m1(spark, d).select("symbol", "dt", "minuto", r6(F.col("volume") / F.greatest((F.col("high") - F.col("low")) / 0.01, F.lit(1.0)), 4).alias("esforco"), reading.alias("leitura"))
+    """Aggressor contracts per tick of range (NULL on flat bars), and the reading by the strictly past scores of directed absorption and imbalance."""
+    z = lambda c: F.round(strict_past_z(F.col(c), by_bar(), 20), 5)
+    rows = flow(spark, d).join(table(spark, d, "ativos", "symbol", "tick"), "symbol").withColumns({"a": z("absorcao_dir"), "i": z("imbalance")})
+    return rows.select("symbol", "bar_id", r6(B.effort(F.col("vol_compra") + F.col("vol_venda"), F.col("high") - F.col("low"), F.col("tick")), 4).alias("esforco"), B.absorption_reading(F.col("a"), F.col("i"), *_CORES).alias("leitura"))
 
 
 def sql_barrier(by: str, h: int) -> str:
@@ -223,9 +255,17 @@ def j11_triple_barrier(spark, d):
     return triple_barrier(m1(spark, d), ["symbol"], "minuto", 2.0, 10, 20, 10).select("symbol", "dt", "minuto", "rotulo")
 
 
-@R.add(_barrier_sql("symbol, dt", _M1W))
+@R.add(f"""WITH {SQL_M1}, rr AS (SELECT *, ln(close / lag(close) OVER ({_M1W})) AS r FROM m1),
+sg AS (SELECT *, CASE WHEN count(r) OVER w >= 10 THEN stddev_samp(r) OVER w END AS sigma, row_number() OVER ({_M1W}) AS i, count(*) OVER (PARTITION BY symbol, dt) AS n FROM rr WINDOW w AS ({_M1W} ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)),
+bar AS (SELECT *, close * exp(2.0 * sigma) AS u, close * exp(-2.0 * sigma) AS l FROM sg WHERE sigma > 0 AND i + 10 <= n),
+hit AS (SELECT s.symbol, s.dt, s.minuto, any_value(s.u) AS u, any_value(s.l) AS l, min({{'i': f.i, 'm': f.minuto, 'cima': f.high >= s.u, 'baixo': f.low <= s.l}}) AS h FROM bar s JOIN sg f ON f.symbol = s.symbol AND f.dt = s.dt AND f.i BETWEEN s.i + 1 AND s.i + 10 WHERE f.high >= s.u OR f.low <= s.l GROUP BY ALL),
+tie AS (SELECT h.symbol, h.dt, h.minuto, arg_min(t.price >= h.u, {_ORD}) AS cima FROM hit h JOIN tape t ON t.symbol = h.symbol AND t.dt = h.dt AND t.ts_ns // {MINUTE} = h.h['m'] WHERE h.h['cima'] AND h.h['baixo'] AND t.trade_type IN (2, 3) AND (t.price >= h.u OR t.price <= h.l) GROUP BY ALL)
+SELECT sg.symbol, sg.dt, sg.minuto, CASE WHEN bar.minuto IS NULL THEN NULL WHEN hit.h IS NULL THEN 0 WHEN hit.h['cima'] AND hit.h['baixo'] THEN CASE WHEN tie.cima THEN 1 WHEN NOT tie.cima THEN -1 ELSE 0 END WHEN hit.h['cima'] THEN 1 ELSE -1 END::bigint AS rotulo,
+  coalesce(hit.h['cima'] AND hit.h['baixo'], false) AS desempatado FROM sg LEFT JOIN bar USING (symbol, dt, minuto) LEFT JOIN hit USING (symbol, dt, minuto) LEFT JOIN tie USING (symbol, dt, minuto)""")
 def j12_triple_barrier_in_day(spark, d):
-    return triple_barrier(m1(spark, d), ["symbol", "dt"], "minuto", 2.0, 10, 20, 10).select("symbol", "dt", "minuto", "rotulo")
+    """Barriers inside the day: no label where the day ends first, and where one bar touches both sides the first aggressor trade in it decides."""
+    t = tape(spark, d).where(is_aggressor(F.col("trade_type"))).withColumn("minuto", F.expr(f"ts_ns div {MINUTE}"))
+    return triple_barrier_by_tape(m1(spark, d), t, ["symbol", "dt"], "minuto", 2.0, 10, 20, 10).select("symbol", "dt", "minuto", "rotulo", "desempatado")
 
 
 # ---- K: indicators ---------------------------------------------------------------------------------------------------
@@ -453,10 +493,22 @@ SQL_TOP = f"""{SQL_QUOTES}, tp AS (SELECT symbol, dia, topo_id, ts_recv_ns, null
   FROM quotes WINDOW w AS (PARTITION BY symbol, dia ORDER BY ts_recv_ns, topo_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
 
 
-@R.add(f"WITH {SQL_TOP} SELECT symbol, round((ask - bid) / 0.01)::bigint AS passos, count(*) AS n FROM tp WHERE bid < ask GROUP BY ALL")
+_TICKS = f"tk AS (SELECT {SQL_SYMBOL} AS symbol, tick FROM ativos)"
+
+
+@R.add(f"WITH {SQL_TOP}, {_TICKS} SELECT symbol, round((ask - bid) / tick)::bigint AS passos, count(*) AS n FROM tp JOIN tk USING (symbol) WHERE bid < ask GROUP BY ALL")
 def n05_spread_histogram(spark, d):
-    top = top_of_book(quotes(spark, d)).where("bid < ask")
-    return top.groupBy("symbol", F.round((F.col("ask") - F.col("bid")) / 0.01).cast("bigint").alias("passos")).agg(F.count(F.lit(1)).alias("n"))
+    top = top_of_book(quotes(spark, d)).where("bid < ask").join(table(spark, d, "ativos", "symbol", "tick"), "symbol")
+    return top.groupBy("symbol", F.round((F.col("ask") - F.col("bid")) / F.col("tick")).cast("bigint").alias("passos")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@R.add(f"WITH {SQL_TOP}, r AS (SELECT *, lag(topo_id) OVER (PARTITION BY symbol, dia ORDER BY ts_recv_ns, topo_id) AS antes FROM tp) SELECT symbol, count(*) AS cotacoes, count(*) FILTER (WHERE bid IS NULL OR ask IS NULL) AS sem_lado, count(*) FILTER (WHERE bid >= ask) AS cruzadas, count(*) FILTER (WHERE least(bid_qtd, ask_qtd) < 1) AS vazias, count(*) FILTER (WHERE topo_id < antes) AS fora_de_ordem FROM r GROUP BY symbol")
+def n05b_quote_counters(spark, d):
+    """Quotes without a side, crossed, without quantity, and received before one of a smaller number: the counters beside N5's histogram."""
+    w = Window.partitionBy("symbol", "dia").orderBy("ts_recv_ns", "topo_id")
+    rows = top_of_book(quotes(spark, d)).withColumn("antes", F.lag("topo_id").over(w))
+    n = F.count_if
+    return rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("cotacoes"), n(F.col("bid").isNull() | F.col("ask").isNull()).alias("sem_lado"), n(F.col("bid") >= F.col("ask")).alias("cruzadas"), n(F.least("bid_qtd", "ask_qtd") < 1).alias("vazias"), n(F.col("topo_id") < F.col("antes")).alias("fora_de_ordem"))
 
 
 @R.add(f"WITH {SQL_TOP}, c AS (SELECT *, coalesce(bid >= ask, false) AS c, lead(ts_recv_ns) OVER w AS nx FROM tp WINDOW w AS (PARTITION BY symbol, dia ORDER BY ts_recv_ns, topo_id)), s AS (SELECT *, CASE WHEN coalesce(lag(c) OVER w <> c, true) THEN 1 ELSE 0 END AS s FROM c WINDOW w AS (PARTITION BY symbol, dia ORDER BY ts_recv_ns, topo_id)), i AS (SELECT *, sum(s) OVER (PARTITION BY symbol, dia ORDER BY ts_recv_ns, topo_id)::bigint AS ilha FROM s) SELECT symbol, dia, ilha, min(ts_recv_ns) AS de, count(*) AS n, max(coalesce(nx, ts_recv_ns)) - min(ts_recv_ns) AS duracao_ns FROM i WHERE c GROUP BY ALL")
@@ -473,12 +525,20 @@ def n06_usability(spark, d):
     return top.groupBy("symbol", use.alias("uso")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@R.add(f"WITH b AS (SELECT {SQL_SYMBOL} AS symbol, dt, seq, action, side, position, offer_id, quantidade, ts_recv_ns FROM book_offer) SELECT symbol, dt, seq, count(*) AS copias, count(DISTINCT (coalesce(action, -1), side, coalesce(position, -1), coalesce(offer_id, -1), quantidade)) AS versoes FROM b GROUP BY ALL HAVING count(*) > 1")
-def n02_doubled_changes(spark, d):
-    """Changes that came more than once, and how many different versions they have."""
-    b = table(spark, d, "book_offer", "symbol", "dt", "seq", "action", "side", "position", "offer_id", "quantidade")
-    version = F.struct(*(F.coalesce(F.col(c), F.lit(-1)).alias(c) for c in ("action", "position", "offer_id")), "side", "quantidade")
-    return b.groupBy("symbol", "dt", "seq").agg(F.count(F.lit(1)).alias("copias"), F.count_distinct(version).alias("versoes")).where("copias > 1")
+_SAME = ("action", "side", "position", "offer_id", "price", "quantidade", "agente")
+
+
+@R.add(f"""WITH b AS (SELECT {SQL_SYMBOL} AS symbol, dt, seq, ts_recv_ns, {", ".join(_SAME)} FROM book_offer),
+f AS (SELECT *, CASE WHEN lag(seq) OVER w IS NOT NULL AND {" AND ".join(f"{c} IS NOT DISTINCT FROM lag({c}) OVER w" for c in _SAME)} THEN 0 ELSE 1 END AS novo FROM b WINDOW w AS (PARTITION BY symbol, dt ORDER BY ts_recv_ns, seq, {", ".join(f"{c} NULLS FIRST" for c in _SAME)})),
+g AS (SELECT *, sum(novo) OVER (PARTITION BY symbol, dt ORDER BY ts_recv_ns, seq, {", ".join(f"{c} NULLS FIRST" for c in _SAME)} ROWS UNBOUNDED PRECEDING) AS seq_id FROM f),
+t AS (SELECT symbol, dt, seq_id, count(*) AS n FROM g GROUP BY ALL)
+SELECT symbol, dt, sum(n)::bigint AS linhas, round(sum(CASE WHEN n % 2 = 0 THEN n ELSE 0 END) / sum(n), 4) AS fracao_par, sum(CASE WHEN n % 2 = 0 THEN n ELSE 0 END) / sum(n) >= 0.9 AS dobrado,
+  CASE WHEN sum(CASE WHEN n % 2 = 0 THEN n ELSE 0 END) / sum(n) >= 0.9 THEN sum((n + 1) // 2) ELSE sum(n) END::bigint AS mantidas FROM t GROUP BY ALL""")
+def n02_undoubled_days(spark, d):
+    """Days whose changes stand twice (at least 90 % of rows in runs of even length), and the rows left when each such run is halved."""
+    b = table(spark, d, "book_offer", "symbol", "dt", "seq", "ts_recv_ns", *_SAME)
+    out = undouble(b, ["symbol", "dt"], ["ts_recv_ns", "seq", *_SAME], _SAME)
+    return out.groupBy("symbol", "dt").agg(F.count(F.lit(1)).alias("linhas"), r6(F.first("fracao_par"), 4).alias("fracao_par"), F.first("dobrado").alias("dobrado"), F.count_if("mantida").alias("mantidas"))
 
 
 # ---- O: statistics ---------------------------------------------------------------------------------------------------

@@ -510,7 +510,7 @@ def o13_honesty_gate(spark, d):
     f = B.flow_features(B.volume_bars(t, 200), ["symbol", "bar_id"], 5.0)
     x = f.withColumn("ret", F.lead("close").over(by_bar()) / F.col("close") - 1).where("ret is not null")
     ic = information_coefficient(x, ["symbol"], "imbalance", "ret")
-    return ic.select("symbol", "n", r6("ic").alias("ic"), (F.abs("ic") < 2 / F.sqrt("n") * 1.5).alias("recusado"))
+    return ic.select("symbol", "n", r6("ic").alias("ic"), (F.abs("ic") < 2 / F.sqrt("n")).alias("recusado"))
 
 
 QUERIES, ORACLES = R.queries, R.sql

@@ -549,14 +549,16 @@ def h12_two_digits(spark, d):
     return tape(spark, d).groupBy("symbol").agg(F.sum("quantidade").cast("double").alias("v")).select("symbol", two_digits(F.col("v")).alias("arredondado"))
 
 
-_DATE = "CASE WHEN regexp_matches(data, '^[0-9]{2}/[0-9]{2}/[0-9]{4} ') THEN coalesce(epoch_us(try_strptime(substr(data, 1, 19), '%d/%m/%Y %H:%M:%S')), 0) ELSE 0 END"
+_CLOCK = r"^[0-9]{2}/[0-9]{2}/[0-9]{4} [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?$"
+_DATE = f"""CASE WHEN regexp_matches(data, '{_CLOCK}') THEN coalesce(epoch_us(try_strptime(substr(data, 1, 19), '%d/%m/%Y %H:%M:%S')) + rpad(substr(data, 21), 6, '0')::bigint, 0) ELSE 0 END"""
 
 
-@R.add(f"SELECT ev_id, {_DATE} AS local_us, CASE WHEN {_DATE} > 0 THEN {_DATE} + 10800000000 ELSE 0 END AS utc_us FROM evento_ordem")
+@R.add(f"WITH p AS (SELECT ev_id, CASE WHEN length(data) > 20 THEN data ELSE data || '.0' END AS data FROM evento_ordem) SELECT ev_id, {_DATE} AS local_us, CASE WHEN {_DATE} > 0 THEN {_DATE} + 10800000000 ELSE 0 END AS utc_us FROM p")
 def h06_local_date(spark, d):
-    """Dates ``DD/MM/YYYY HH:MM:SS`` at the fixed offset to UTC microseconds; 0 where they don't parse."""
-    text = F.when(F.col("data").rlike(r"^[0-9]{2}/[0-9]{2}/[0-9]{4} "), F.substring("data", 1, 19))
-    us = F.coalesce(F.unix_micros(F.try_to_timestamp(text, F.lit("dd/MM/yyyy HH:mm:ss"))), F.lit(0))
+    """Dates ``DD/MM/YYYY HH:MM:SS[.mmm]`` at the fixed offset to UTC microseconds; 0 where they don't parse."""
+    text = F.when(F.col("data").rlike(_CLOCK), F.substring("data", 1, 19))
+    part = F.rpad(F.regexp_extract("data", r"\.([0-9]{1,6})$", 1), 6, "0").cast("bigint")
+    us = F.coalesce(F.unix_micros(F.try_to_timestamp(text, F.lit("dd/MM/yyyy HH:mm:ss"))) + part, F.lit(0))
     return table(spark, d, "evento_ordem", "ev_id", "data").withColumn("local_us", us).select("ev_id", "local_us", F.when(F.col("local_us") > 0, F.col("local_us") + 10_800_000_000).otherwise(0).alias("utc_us"))
 
 

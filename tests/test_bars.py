@@ -83,12 +83,12 @@ def test_wilder(spark):
 def test_value_area_passes_empty_bins(spark):
     p = spark.createDataFrame([("A", b * 0.5, v) for b, v in ((0, 10), (1, 5), (2_000_000, 40), (2_000_001, 5))], "s string, faixa double, volume bigint")
     r = B.value_area(p, ["s"], 0.5, 0.8).collect()[0]
-    assert (r.de, r.ate, r.dentro) == (0.5, 1_000_000.5, 50.0)
+    assert (r.de, r.ate, r.dentro) == (0.5, 1_000_001.0, 50.0)  # outer edges
 
 
 def test_volume_nodes(spark):
     p = spark.createDataFrame([("A", float(b), v) for b, v in ((0, 5), (1, 5), (2, 9), (3, 5), (4, 5), (5, 1), (6, 5), (7, 6))], "s string, faixa double, volume bigint")
-    assert {(r.faixa, r.no) for r in B.volume_nodes(p, ["s"], 1.0).collect()} == {(2.0, "hvn"), (5.0, "lvn")}
+    assert {(r.faixa, r.no) for r in B.volume_nodes(p, ["s"], 1.0).collect()} == {(0.0, "hvn"), (2.0, "hvn"), (4.0, "hvn"), (5.0, "lvn"), (7.0, "hvn")}
 
 
 def test_scalars(spark):
