@@ -8,24 +8,40 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def asof_backward(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, values: Sequence[str], exact: bool = True, tie: Sequence[str] = ()) -> DataFrame:
+def asof_backward(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, values: Sequence[str], exact: bool = True, tie: Sequence[str] = (), slice_size: int | None = None) -> DataFrame:
     """Each left row with the values of the last right row at or before it (``exact`` false: strictly before).
 
     One union and one window over ``keys``; of right rows of one instant the largest (``tie``, then values) counts. Left
-    rows without a predecessor get NULLs. Columns of ``left`` stay; ``values`` must not clash with them.
+    rows without a predecessor get NULLs. Columns of ``left`` stay; ``values`` must not clash with them. With
+    ``slice_size`` the window is over slices of ``at``, and a slice starts from the last right row of those before it (a
+    table of one row per slice), so that no task holds a whole key.
     """
     kinds = dict(left.dtypes)
     r = right.groupBy(*keys, at).agg(F.max(F.struct(*tie, *values)).alias("_r"))
     lefts = left.withColumns({"_r": F.lit(None).cast(dict(r.dtypes)["_r"]), "_side": F.lit(1 if exact else -1)})
     rights = r.withColumns({c: F.lit(None).cast(kinds[c]) for c in left.columns if c not in (*keys, at)} | {"_side": F.lit(0)})
-    w = Window.partitionBy(*keys).orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, 0)
-    both = lefts.unionByName(rights.select(*lefts.columns)).withColumn("_r", F.last("_r", ignorenulls=True).over(w))
+    both = lefts.unionByName(rights.select(*lefts.columns))
+    if slice_size is None:
+        w = Window.partitionBy(*keys).orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, 0)
+        both = both.withColumn("_r", F.last("_r", ignorenulls=True).over(w))
+    else:
+        both = both.withColumn("_slice", _bucket(at, slice_size))
+        ends = both.groupBy(*keys, "_slice").agg(F.max_by("_r", F.when(F.col("_side") == 0, F.col(at))).alias("_end"))
+        earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        ends = ends.select(*keys, "_slice", F.last("_end", ignorenulls=True).over(earlier).alias("_before"))
+        w = Window.partitionBy(*keys, "_slice").orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, 0)
+        both = both.join(ends, [*keys, "_slice"]).withColumn("_r", F.coalesce(F.last("_r", ignorenulls=True).over(w), "_before")).drop("_slice", "_before")
     return both.where("_side <> 0").select(*left.columns, *(F.col(f"_r.{v}").alias(v) for v in values))
 
 
+def _bucket(at: str, size: int) -> Column:
+    """Which stretch of ``size`` an integer instant is in; whole numbers all the way, as a double can't tell nanoseconds apart."""
+    return F.expr(f"(`{at}` - pmod(`{at}`, {size})) div {size}")
+
+
 def range_join(events: DataFrame, path: DataFrame, keys: Sequence[str], at: str, path_at: str, horizon: int, keep: Sequence[str]) -> DataFrame:
     """Path rows in (at, at + horizon] of each event. Buckets of ``horizon`` bound the fan-out: an event meets at most two."""
-    bucket = lambda c: F.floor(F.col(c) / F.lit(horizon))
+    bucket = lambda c: _bucket(c, horizon)
     e = events.withColumn("_b", F.explode(F.array(bucket(at), bucket(at) + 1)))
     p = path.select(*keys, F.col(path_at).alias("_at"), *keep).withColumn("_b", bucket("_at"))
     return e.join(p, [*keys, "_b"]).where((F.col("_at") > F.col(at)) & (F.col("_at") <= F.col(at) + F.lit(horizon))).drop("_b")
@@ -44,7 +60,7 @@ def has_within(a: DataFrame, b: DataFrame, keys: Sequence[str], at: str, toleran
     Both sides meet in buckets of the tolerance (``b`` in its own and both neighbours), and inside one the nearest ``b`` on
     either side is read off the merged line: no pairs, and a hot key spreads over its buckets.
     """
-    bucket = lambda c: F.floor(F.col(c) / F.lit(max(tolerance, 1)))
+    bucket = lambda c: _bucket(c, max(tolerance, 1))
     near = F.array(bucket(at) - 1, bucket(at), bucket(at) + 1)
     b1 = b.select(*keys, at).distinct().select(*keys, at, F.col(at).alias("_b"), F.explode(near).alias("_k"))
     kinds = dict(a.dtypes)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tape import AUCTION, BUY, RETAIL, SELL, TAPE_ORDER, aggressor_sign, is_aggressor
-from .windows import sliced_running_sum
+from .windows import sliced_running_sum, with_previous
 
 _DAY = ("symbol", "dt")
 
@@ -55,26 +55,29 @@ def volume_bars(tape: DataFrame, threshold: int | Column, offset: str | None = "
 
 
 def time_bars(tape: DataFrame, period_ns: int) -> DataFrame:
-    """Adds ``bar_id`` by the epoch's buckets: the day's last bucket is dropped, gaps stay, ids run on over a symbol's days."""
-    bucket = F.expr(f"ts_ns div {period_ns}")
+    """Adds ``bar_id`` by the epoch's buckets: the day's last bucket is dropped, gaps stay, ids run on over a symbol's days.
+
+    Which buckets there are is a table of one row each; ticks only join it, by bucket, so no task holds a day of them.
+    """
+    rows = tape.withColumn("_b", F.expr(f"ts_ns div {period_ns}"))
     day = Window.partitionBy(*_DAY)
-    rows = tape.withColumn("_b", bucket).withColumn("_last", F.max("_b").over(day)).where("_b < _last").drop("_last")
-    spans = rows.groupBy(*_DAY).agg(F.min("_b").alias("_f"), (F.max("_b") - F.min("_b") + 1).alias("_s"))
+    cells = rows.select(*_DAY, "_b").distinct().withColumn("_last", F.max("_b").over(day)).where("_b < _last").drop("_last")
+    spans = cells.groupBy(*_DAY).agg(F.min("_b").alias("_f"), (F.max("_b") - F.min("_b") + 1).alias("_s"))
     earlier = Window.partitionBy("symbol").orderBy("dt").rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.select(*_DAY, "_f", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_o"))
-    return rows.join(spans, list(_DAY)).withColumn("bar_id", F.col("_b") - F.col("_f") + F.col("_o")).drop("_b", "_f", "_o")
+    numbered = cells.join(spans, list(_DAY)).select(*_DAY, "_b", (F.col("_b") - F.col("_f") + F.col("_o")).alias("bar_id"))
+    return rows.join(numbered, [*_DAY, "_b"]).drop("_b")
 
 
 def session_bars(tape: DataFrame, period_ns: int, fold_from: int, max_gap_ns: int = 5_000_000_000) -> DataFrame:
     """Adds ``bucket`` and ``gap_ok``: trades from the instant of day ``fold_from`` (ns) on belong to the last bucket before it,
     and a bucket is reliable if no two neighbouring trades of the day in it are more than ``max_gap_ns`` apart."""
-    of_day = F.pmod(F.col("ts_ns"), F.lit(86_400_000_000_000))
+    early = F.pmod(F.col("ts_ns"), F.lit(86_400_000_000_000)) < fold_from
     own = F.expr(f"ts_ns div {period_ns}")
-    day = Window.partitionBy(*_DAY)
-    last = F.max(F.when(of_day < fold_from, own)).over(day)
-    rows = tape.withColumn("bucket", F.when(of_day < fold_from, own).otherwise(F.coalesce(last, own)))
-    gap = F.col("ts_ns") - F.lag("ts_ns").over(day.orderBy(*TAPE_ORDER))
-    return rows.withColumn("gap_ok", F.coalesce(gap <= max_gap_ns, F.lit(True)))
+    last = tape.where(early).groupBy(*_DAY).agg(F.max(own).alias("_last"))
+    rows = with_previous(tape, _DAY, "ts_ns", SLICE_NS, TAPE_ORDER, ["ts_ns"]).join(last, list(_DAY), "left")
+    rows = rows.withColumn("bucket", F.when(early, own).otherwise(F.coalesce("_last", own)))
+    return rows.withColumn("gap_ok", F.coalesce(F.col("ts_ns") - F.col("_prev.ts_ns") <= max_gap_ns, F.lit(True))).drop("_prev", "_last")
 
 
 def ohlc(rows: DataFrame, keys: Sequence[str], only_aggressors: bool = True) -> DataFrame:
@@ -173,9 +176,8 @@ def volume_nodes(profile: DataFrame, keys: Sequence[str], bin_size: float, low:
 
 def infer_tick(tape: DataFrame) -> DataFrame:
     """By symbol: the median over days of the day's least positive price step between aggressor trades."""
-    rows = tape.where(is_aggressor(F.col("trade_type")))
-    step = F.abs(F.col("price") - F.lag("price").over(Window.partitionBy(*_DAY).orderBy(*TAPE_ORDER)))
-    daily = rows.withColumn("_s", step).where("_s > 1e-9").groupBy(*_DAY).agg(F.min("_s").alias("_s"))
+    rows = with_previous(tape.where(is_aggressor(F.col("trade_type"))), _DAY, "ts_ns", SLICE_NS, TAPE_ORDER, ["price"])
+    daily = rows.withColumn("_s", F.abs(F.col("price") - F.col("_prev.price"))).where("_s > 1e-9").groupBy(*_DAY).agg(F.min("_s").alias("_s"))
     return daily.groupBy("symbol").agg(F.median("_s").alias("tick"))
 
 

@@ -2,50 +2,85 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .series import fold_series
+
+#: A function from a series' values to as many values.
+Series = Callable[[np.ndarray], np.ndarray]
+
 
 def greedy_keep(df: DataFrame, keys: Sequence[str], at: str, gap: int, order: Sequence[str] = ()) -> DataFrame:
     """Keeps an event iff at least ``gap`` has passed since the last *kept* one of its keys.
 
-    Events (not ticks) of a key are folded as one sorted array on the JVM, so a key should be a symbol and a day, whose
-    events a threshold has already made few.
+    One pass over a key's ordered events (not ticks), so a key should be a symbol and a day, whose events a threshold has
+    already made few. Ties in ``at`` go by ``order``, then by the other columns. Events without an instant are dropped.
     """
-    rest = [c for c in df.columns if c not in (*keys, at)]
-    item = F.struct(F.col(at).alias("t"), *(F.col(o).alias(f"o{i}") for i, o in enumerate(order)), *(F.col(c).alias(f"c{i}") for i, c in enumerate(rest)))
-    listed = df.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    kind = dict(listed.dtypes)["items"]
-    zero = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast(kind).alias("kept"))
-    step = lambda acc, x: F.when(acc["last"].isNull() | (x["t"] - acc["last"] >= gap), F.struct(x["t"].cast("bigint").alias("last"), F.concat(acc["kept"], F.array(x)).alias("kept"))).otherwise(acc)
-    kept = listed.select(*keys, F.explode(F.aggregate("items", zero, step)["kept"]).alias("x"))
-    return kept.select(*keys, F.col("x.t").alias(at), *(F.col(f"x.c{i}").alias(c) for i, c in enumerate(rest)))
+    rest = [c for c in df.columns if c not in (*keys, at, *order)]
+
+    def fold(t: np.ndarray) -> dict:
+        kept, last = np.zeros(len(t), bool), None
+        for i, x in enumerate(t.tolist()):
+            if last is None or x - last >= gap:
+                kept[i], last = True, x
+        return {"kept": kept}
+
+    out = fold_series(df.where(F.col(at).isNotNull()), keys, [at, *order, *rest], [at], fold, "", keep="kept")
+    return out.select(*keys, at, *(c for c in df.columns if c not in (*keys, at)))
+
+
+def ema(alpha: float, start: float | None = None) -> Series:
+    """Exponential averages of a series, seeded by its first value, or by ``start`` as the average before it."""
+
+    def run(values: np.ndarray) -> np.ndarray:
+        out, e = np.empty(len(values)), start
+        for i, x in enumerate(values.tolist()):
+            e = x if e is None else alpha * x + (1 - alpha) * e
+            out[i] = e
+        return out
+
+    return run
+
+
+def seeded_ema(n: int) -> Series:
+    """Exponential averages of n bars' span, seeded by the mean of the first n values; NaN before."""
 
+    def run(values: np.ndarray) -> np.ndarray:
+        out = np.full(len(values), np.nan)
+        if len(values) >= n:
+            out[n - 1] = np.mean(values[:n])
+            out[n:] = ema(2 / (n + 1), float(out[n - 1]))(values[n:])
+        return out
 
-def ema(values: Column, alpha: float) -> Column:
-    """Exponential averages of an array, seeded by its first value: an array of the same length."""
-    a = F.lit(float(alpha))
-    step = lambda acc, x: F.concat(acc, F.array(F.when(F.size(acc) == 0, x).otherwise(a * x + (F.lit(1.0) - a) * F.element_at(acc, -1))))
-    return F.aggregate(values, F.array().cast("array<double>"), step)
+    return run
 
 
-def wilder(values: Column, n: int) -> Column:
-    """Wilder's average of an array: NULL for the first n−1, their mean as the seed, then recursive."""
-    size, total = F.size, F.lit(float(n))
+def wilder(n: int) -> Series:
+    """Wilder's average of a series: nothing for the first n−1 values, their mean as the seed, then recursive. Values that aren't there yet are passed over."""
 
-    def step(acc: Column, x: Column) -> Column:
-        i = size(acc["out"]) + 1
-        value = F.when(i < n, F.lit(None).cast("double")).when(i == n, (acc["sum"] + x) / total).otherwise((F.element_at(acc["out"], -1) * (n - 1) + x) / total)
-        return F.struct((acc["sum"] + F.when(i < n, x).otherwise(0.0)).alias("sum"), F.concat(acc["out"], F.array(value)).alias("out"))
+    def run(values: np.ndarray) -> np.ndarray:
+        out, total, seen = np.full(len(values), np.nan), 0.0, 0
+        for i, x in enumerate(values.tolist()):
+            if x != x:
+                continue
+            seen += 1
+            if seen <= n:
+                total += x
+                e = total / n
+            else:
+                e = (e * (n - 1) + x) / n
+            if seen >= n:
+                out[i] = e
+        return out
 
-    return F.aggregate(values, F.struct(F.lit(0.0).alias("sum"), F.array().cast("array<double>").alias("out")), step, lambda acc: acc["out"])
+    return run
 
 
-def by_series(df: DataFrame, keys: Sequence[str], order: str, value: str, series: dict[str, Column]) -> DataFrame:
-    """Applies array functions to each key's ordered values (``F.col('_v')``) and unfolds them again, one row per value."""
-    listed = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).cast("double").alias("v")))).alias("_i"))
-    listed = listed.withColumn("_v", F.transform("_i", lambda x: x["v"])).withColumns(series)
-    zipped = listed.select(*keys, F.explode(F.arrays_zip("_i", *series)).alias("z"))
-    return zipped.select(*keys, F.col("z._i.o").alias(order), F.col("z._i.v").alias(value), *(F.col(f"z.{c}").alias(c) for c in series))
+def by_series(df: DataFrame, keys: Sequence[str], order: str, value: str, series: dict[str, Series]) -> DataFrame:
+    """Adds to each key's ordered rows a column per function of its values. NaN comes out as NULL."""
+    out = df.select(*keys, order, F.col(value).cast("double").alias(value))
+    return fold_series(out, keys, [order], [value], lambda v: {name: f(v) for name, f in series.items()}, ", ".join(f"`{n}` double" for n in series))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
@@ -34,3 +35,10 @@ def stochastic(high: Column, low: Column, close: Column, by: WindowSpec, n: int
 def rsi(gain: Column, loss: Column) -> Column:
     """From average gain and loss: 100 without losses, 50 where nothing moved."""
     return F.when(gain.isNull() | loss.isNull(), F.lit(None)).when((loss == 0) & (gain == 0), 50.0).when(loss == 0, 100.0).otherwise(100.0 - 100.0 / (1 + gain / loss))
+
+
+def gains(values: np.ndarray) -> np.ndarray:
+    """How far each value rose from the one before, 0 where it fell; NaN for the first. Losses are the gains of −values."""
+    out = np.full(len(values), np.nan)
+    out[1:] = np.maximum(np.diff(values), 0.0)
+    return out

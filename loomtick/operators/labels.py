@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .series import fold_series
+
 
 def triple_barrier(bars: DataFrame, keys: Sequence[str], order: str, k: float, horizon: int, vol_rows: int = 50, vol_least: int = 25, truncated: bool = True) -> DataFrame:
     """Adds ``sigma`` (strictly past deviation of log returns), ``rotulo`` (+1, −1, 0) and ``ambiguo``.
@@ -86,12 +89,14 @@ def resolve_target_stop(bars: DataFrame, keys: Sequence[str], order: str, entry:
 
 
 def one_at_a_time(trades: DataFrame, keys: Sequence[str], entry: str, leave: str) -> DataFrame:
-    """Drops entries while an earlier kept one is still open (entry ≤ its exit): a fold over a key's signals."""
+    """Drops entries while an earlier kept one is still open (entry ≤ its exit; without one: entry ≤ its own entry): one pass over a key's ordered signals."""
     rest = [c for c in trades.columns if c not in (*keys, entry, leave)]
-    item = F.struct(F.col(entry).alias("a"), F.col(leave).alias("b"), *rest)
-    listed = trades.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("i"))
-    kind = dict(listed.dtypes)["i"]
-    zero = F.struct(F.lit(None).cast(dict(trades.dtypes)[leave]).alias("b"), F.array().cast(kind).alias("k"))
-    step = lambda acc, x: F.when(acc["b"].isNull() | (x["a"] > acc["b"]), F.struct(F.coalesce(x["b"], x["a"]).alias("b"), F.concat(acc["k"], F.array(x)).alias("k"))).otherwise(acc)
-    kept = listed.select(*keys, F.explode(F.aggregate("i", zero, step)["k"]).alias("x"))
-    return kept.select(*keys, F.col("x.a").alias(entry), F.col("x.b").alias(leave), *(F.col(f"x.{c}").alias(c) for c in rest))
+
+    def fold(start: np.ndarray, end: np.ndarray) -> dict:
+        kept, busy = np.zeros(len(start), bool), None
+        for i, (a, b) in enumerate(zip(start.tolist(), end.tolist())):
+            if busy is None or a > busy:
+                kept[i], busy = True, a if b != b else b
+        return {"kept": kept}
+
+    return fold_series(trades, keys, [entry, leave, *rest], [entry, leave], fold, "", keep="kept").select(*keys, entry, leave, *rest)

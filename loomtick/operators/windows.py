@@ -49,7 +49,7 @@ def sliced_running_sum(df: DataFrame, keys: Sequence[str], at: str, slice_size:
     Rows are summed per slice of ``at`` first; a window over a key's slices gives what came earlier, and a window inside
     each slice the rest. Integers stay exact; doubles are added slice by slice. NULLs add nothing.
     """
-    rows = df.withColumn("_slice", F.floor(F.col(at) / F.lit(slice_size)))
+    rows = df.withColumn("_slice", F.expr(f"(`{at}` - pmod(`{at}`, {slice_size})) div {slice_size}"))
     rows = rows.withColumns({f"_x_{n}": F.coalesce(c, F.lit(0)) for n, c in sums.items()})
     per = rows.groupBy(*keys, "_slice").agg(*(F.sum(f"_x_{n}").alias(f"_s_{n}") for n in sums))
     key = Window.partitionBy(*keys)
@@ -61,6 +61,20 @@ def sliced_running_sum(df: DataFrame, keys: Sequence[str], at: str, slice_size:
     return out.drop("_slice", *(f"_x_{n}" for n in sums), *(f"_o_{n}" for n in sums))
 
 
+def with_previous(df: DataFrame, keys: Sequence[str], at: str, slice_size: int, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Adds ``_prev``: a struct of ``columns`` of the row before in the key's order (NULL for its first row), in two levels.
+
+    Inside a slice of ``at`` it is a lag; a slice's first row takes the last row of the nearest earlier slice, from a table
+    of one row per slice. So no task sorts a whole key.
+    """
+    rows = df.withColumn("_slice", F.expr(f"(`{at}` - pmod(`{at}`, {slice_size})) div {slice_size}"))
+    row = F.struct(*columns)
+    ends = rows.groupBy(*keys, "_slice").agg(F.max_by(row, F.struct(*order)).alias("_end"))
+    ends = ends.select(*keys, "_slice", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_slice")).alias("_end"))
+    inside = F.lag(row).over(Window.partitionBy(*keys, "_slice").orderBy(*order))
+    return rows.join(ends, [*keys, "_slice"]).withColumn("_prev", F.coalesce(inside, "_end")).drop("_slice", "_end")
+
+
 def average_rank(x: Column, keys: Sequence[Column | str]) -> Column:
     """Rank with ties averaged."""
     w = Window.partitionBy(*keys).orderBy(x)

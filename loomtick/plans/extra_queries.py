@@ -13,7 +13,7 @@ from ..operators.quality import compare
 from ..operators.tape import is_aggressor
 from ..operators.windows import correlation, strict_past_z
 from ..sources.tables import table
-from .registry import SQL_SYMBOL, SQL_TAPE, Registry, r6, tape
+from .registry import SQL_SYMBOL, SQL_TAPE, Registry, r6, tape, tape_once
 from .research_queries import _P5, ORACLES as RESEARCH_SQL
 from .research_queries import SQL_TB, by_bar, iceberg_runs, k01_rsi_ema, o02_information_coefficient, sql_barrier
 from .study_queries import SQL_DIA, by_day, days
@@ -29,7 +29,7 @@ f AS (SELECT symbol, bar_id, (vc - vv) / (vc + vv) AS imbalance, (vc + vv) / gre
 SELECT symbol, bar_id, round(imbalance, 6) AS imbalance, round(absorcao, 4) AS absorcao, round(rlp_frac, 6) AS rlp_frac, round({sql_z('imbalance', 'PARTITION BY symbol ORDER BY bar_id', 50, 25)}, 5) + 0.0 AS z_imbalance FROM f""")
 def j08_time_bar_features(spark, d):
     """Flow features of 5-minute bars in the symbol's own tick, with a score over 250 minutes of bars."""
-    rows = B.time_bars(tape(spark, d), _P5).join(table(spark, d, "ativos", "symbol", "tick"), "symbol")
+    rows = B.time_bars(tape_once(spark, d), _P5).join(table(spark, d, "ativos", "symbol", "tick"), "symbol")
     f = B.flow_features(rows, ["symbol", "bar_id", "tick"], F.col("tick"))
     return f.select("symbol", "bar_id", r6("imbalance").alias("imbalance"), r6("absorcao", 4).alias("absorcao"), r6("rlp_frac").alias("rlp_frac"), r6(strict_past_z(F.col("imbalance"), by_bar(), 50), 5).alias("z_imbalance"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.tape import TAPE_COLUMNS, curate
+from ..session import stored
 from ..sources.tables import table
 
 SQL_SYMBOL = "upper(trim(symbol))"
@@ -26,6 +27,11 @@ def tape(spark: SparkSession, d: str) -> DataFrame:
     return curate(table(spark, d, "trades", *TAPE_COLUMNS))
 
 
+def tape_once(spark: SparkSession, d: str) -> DataFrame:
+    """The tape for plans that need it several times: curated once, written to the shared folder, read from there."""
+    return stored(tape(spark, d), "fita")
+
+
 def quotes(spark: SparkSession, d: str) -> DataFrame:
     """Quotes with their day (days since 1970): books start empty each day, so windows are bounded by it."""
     return table(spark, d, "topo_livro").where("ts_recv_ns > 0").withColumn("dia", F.expr("ts_recv_ns div 86400000000000"))

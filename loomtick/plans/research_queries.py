@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -9,14 +10,15 @@ from ..operators import bars as B
 from ..operators.asof import asof_backward
 from ..operators.book import undouble
 from ..operators.fold import by_series, ema, greedy_keep, wilder
-from ..operators.indicators import bollinger, rsi, sma, stochastic, true_range
+from ..operators.indicators import bollinger, gains, rsi, sma, stochastic, true_range
 from ..operators.labels import excursions, one_at_a_time, resolve_target_stop, triple_barrier, triple_barrier_by_tape
 from ..operators.quotes import crossed_episodes, top_of_book, usability
+from ..operators.series import fold_series
 from ..operators.stats import information_coefficient, quantile_bucket, value_at_risk, walk_forward, welch_t
 from ..operators.tape import is_aggressor, local_hhmm, passive_broker
 from ..operators.windows import correlation, islands, strict_past_z
 from ..sources.tables import table, valid_ts
-from .registry import SQL_QUOTES, SQL_SYMBOL, SQL_TAPE, SQL_VALID, Registry, quotes, r6, tape
+from .registry import SQL_QUOTES, SQL_SYMBOL, SQL_TAPE, SQL_VALID, Registry, quotes, r6, tape, tape_once
 from .tape_queries import _M1W, _P, MINUTE, SQL_HHMM, SQL_M1, SQL_ORD, in_minutes, m1, sql_full, sql_z
 
 R = Registry()
@@ -36,8 +38,11 @@ barred AS (SELECT k.*, k.l + off.o AS bar_id, k.l + off.oc AS bar_id_total FROM
 
 
 def barred(spark: SparkSession, d: str, offset: str = "last") -> DataFrame:
-    """The tape in volume bars of the symbol's own suggested size."""
-    t = tape(spark, d)
+    """The tape in volume bars of the symbol's own suggested size; ``trades`` is read once."""
+    return barred_tape(tape_once(spark, d), offset)
+
+
+def barred_tape(t: DataFrame, offset: str = "last") -> DataFrame:
     return B.volume_bars(t.join(B.suggest_threshold(t, PER_DAY).select("symbol", "limite"), "symbol"), F.col("limite"), offset)
 
 
@@ -91,7 +96,7 @@ tb AS (SELECT c.*, k - f + o AS bar_id FROM c JOIN o USING (symbol, dt))"""
 
 @R.add(f"WITH {SQL_TB} SELECT symbol, dt, bar_id, arg_min(price, {_ORD}) AS open, max(price) AS high, min(price) AS low, arg_max(price, {_ORD}) AS close, sum(quantidade)::bigint AS volume FROM tb WHERE trade_type IN (2, 3) GROUP BY ALL")
 def i03_time_bars(spark, d):
-    return B.ohlc(B.time_bars(tape(spark, d), _P5), ["symbol", "dt", "bar_id"]).select("symbol", "dt", "bar_id", "open", "high", "low", "close", "volume")
+    return B.ohlc(B.time_bars(tape_once(spark, d), _P5), ["symbol", "dt", "bar_id"]).select("symbol", "dt", "bar_id", "open", "high", "low", "close", "volume")
 
 
 _FOLD = 20 * 3600 * 1_000_000_000  # 17:00 local
@@ -99,7 +104,7 @@ _FOLD = 20 * 3600 * 1_000_000_000  # 17:00 local
 
 @R.add(f"WITH {SQL_TAPE}, l AS (SELECT *, max(CASE WHEN ts_ns % 86400000000000 < {_FOLD} THEN ts_ns // {_P5} END) OVER (PARTITION BY symbol, dt) AS ult, coalesce(ts_ns - lag(ts_ns) OVER ({SQL_ORD}) <= 5000000000, true) AS g FROM tape), b AS (SELECT *, CASE WHEN ts_ns % 86400000000000 < {_FOLD} THEN ts_ns // {_P5} ELSE coalesce(ult, ts_ns // {_P5}) END AS bucket FROM l) SELECT symbol, dt, bucket, count(*) AS n, sum(quantidade)::bigint AS volume, bool_and(g) AS volume_confiavel FROM b GROUP BY ALL")
 def i04_session_bars(spark, d):
-    rows = B.session_bars(tape(spark, d), _P5, _FOLD)
+    rows = B.session_bars(tape_once(spark, d), _P5, _FOLD)
     return rows.groupBy("symbol", "dt", "bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("quantidade").alias("volume"), F.bool_and("gap_ok").alias("volume_confiavel"))
 
 
@@ -185,7 +190,7 @@ def i15_holes(spark, d):
 
 @R.add(f"WITH {SQL_TAPE}, s AS (SELECT symbol, dt, abs(price - lag(price) OVER ({SQL_ORD})) AS s FROM tape WHERE trade_type IN (2, 3)), m AS (SELECT symbol, dt, min(s) AS s FROM s WHERE s > 1e-9 GROUP BY ALL) SELECT symbol, round(median(s), 6) AS tick FROM m GROUP BY symbol")
 def i16_tick(spark, d):
-    return B.infer_tick(tape(spark, d)).select("symbol", r6("tick").alias("tick"))
+    return B.infer_tick(tape_once(spark, d)).select("symbol", r6("tick").alias("tick"))
 
 
 # ---- J: flow features and labels -------------------------------------------------------------------------------------
@@ -209,8 +214,8 @@ def j07_flow_z(spark, d):
 @R.add(f"WITH {SQL_BARS}, tv AS (SELECT symbol, agente, sum(q) AS q FROM (SELECT symbol, agente_comprador AS agente, quantidade AS q FROM tape WHERE trade_type IN (2, 3) UNION ALL SELECT symbol, agente_vendedor, quantidade FROM tape WHERE trade_type IN (2, 3)) GROUP BY ALL), top AS (SELECT symbol, agente FROM tv QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY q DESC, agente) <= 3), l AS (SELECT symbol, bar_id, agente_comprador AS agente, quantidade AS q FROM barred WHERE trade_type IN (2, 3) UNION ALL SELECT symbol, bar_id, agente_vendedor, -quantidade FROM barred WHERE trade_type IN (2, 3)), va AS (SELECT symbol, bar_id, sum(quantidade) AS va FROM barred WHERE trade_type IN (2, 3) GROUP BY ALL) SELECT l.symbol, l.bar_id, l.agente, round(sum(q) / any_value(va), 6) + 0.0 AS agf FROM l JOIN top USING (symbol, agente) JOIN va USING (symbol, bar_id) GROUP BY ALL")
 def j06_broker_features(spark, d):
     """Signed flow over aggressor volume of the three largest brokers of a symbol, in long form."""
-    rows = barred(spark, d)
-    whole = B.broker_flow(tape(spark, d), ["symbol"])
+    t = tape_once(spark, d)
+    rows, whole = barred_tape(t), B.broker_flow(t, ["symbol"])
     top = whole.withColumn("_r", F.row_number().over(Window.partitionBy("symbol").orderBy(F.desc("dois_lados"), "agente"))).where("_r <= 3").select("symbol", "agente")
     va = rows.where(is_aggressor(F.col("trade_type"))).groupBy("symbol", "bar_id").agg(F.sum("quantidade").alias("va"))
     per = B.broker_flow(rows, ["symbol", "bar_id"]).join(top, ["symbol", "agente"]).join(va, ["symbol", "bar_id"])
@@ -287,11 +292,7 @@ FROM g JOIN em USING (symbol, dt, i) LEFT JOIN rec USING (symbol, dt, i)""")
 def k01_rsi_ema(spark, d):
     """RSI(2) after Wilder and EMA(8) seeded by the first close: folds over the day's ordered bars."""
     bars = m1(spark, d).select("symbol", "dt", "minuto", "close")
-    diffs = F.transform(F.sequence(F.lit(2), F.greatest(F.size("_v"), F.lit(2))), lambda i: F.try_element_at("_v", i) - F.try_element_at("_v", i - 1))
-    diffs = F.filter(diffs, lambda x: x.isNotNull())
-    pad = F.array(F.lit(None).cast("double"))
-    gain, loss = F.transform(diffs, lambda x: F.greatest(x, F.lit(0.0))), F.transform(diffs, lambda x: F.greatest(-x, F.lit(0.0)))
-    out = by_series(bars, ["symbol", "dt"], "minuto", "close", {"ema": ema(F.col("_v"), 2 / 9), "g": F.concat(pad, wilder(gain, 2)), "p": F.concat(pad, wilder(loss, 2))})
+    out = by_series(bars, ["symbol", "dt"], "minuto", "close", {"ema": ema(2 / 9), "g": lambda v: wilder(2)(gains(v)), "p": lambda v: wilder(2)(gains(-v))})
     return out.select("symbol", "dt", "minuto", r6("ema", 5).alias("ema"), r6(rsi(F.col("g"), F.col("p")), 2).alias("rsi"))
 
 
@@ -325,13 +326,13 @@ def l01b_trade_ignitions(spark, d):
 
     The whole of L1: l01_ignitions looks at closes of existing bars only.
     """
-    return ignitions(tape(spark, d))
+    return ignitions(tape_once(spark, d))
 
 
 def ignitions(t: DataFrame, window_ns: int = MINUTE, limit: float = 0.0003, gap_ns: int = 10 * MINUTE) -> DataFrame:
     probe = t.select("symbol", "dt", "trade_id", "ts_recv_ns", "price", F.col("ts_ns").alias("em"), (F.col("ts_ns") - window_ns).alias("ts_ns"))
     path = t.select("symbol", "dt", "ts_ns", "ts_recv_ns", F.col("trade_id").alias("_id"), F.col("price").alias("antes"))
-    e = asof_backward(probe, path, ["symbol", "dt"], "ts_ns", ["antes"], tie=["ts_recv_ns", "_id"])
+    e = asof_backward(probe, path, ["symbol", "dt"], "ts_ns", ["antes"], tie=["ts_recv_ns", "_id"], slice_size=B.SLICE_NS)
     e = e.where(F.abs(F.col("price") - F.col("antes")) >= limit * F.col("antes") - 1e-9).drop("ts_ns").withColumnRenamed("em", "ts_ns")
     e = e.select("symbol", "dt", "ts_ns", "ts_recv_ns", "trade_id", "price", r6(F.col("price") - F.col("antes")).alias("movimento"))
     return greedy_keep(e, ["symbol", "dt"], "ts_ns", gap_ns, ["ts_recv_ns", "trade_id"]).drop("ts_recv_ns")
@@ -378,16 +379,21 @@ def carried_ema(bars: DataFrame, n: int) -> DataFrame:
     carried on.
     """
     a = 2 / (n + 1)
-    from_zero = F.slice(ema(F.concat(F.array(F.lit(0.0)), F.col("_v")), a), 2, F.greatest(F.size("_v"), F.lit(1)))
-    own = by_series(bars, ["symbol", "dt"], "minuto", "close", {"_own": from_zero}).withColumn("_n", F.row_number().over(in_minutes()))
+    own = by_series(bars, ["symbol", "dt"], "minuto", "close", {"_own": ema(a, 0.0)}).withColumn("_n", F.row_number().over(in_minutes()))
     day = own.groupBy("symbol", "dt").agg(F.max("_n").alias("n"), F.max_by("_own", "_n").alias("end"), F.min_by("close", "_n").alias("first"))
-    listed = day.groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("dt", "n", "end", "first"))).alias("days"))
-    state = F.struct(F.element_at("days", 1)["first"].alias("at"), F.array().cast("array<struct<dt:string,at:double>>").alias("starts"))
-    step = lambda s, x: F.struct((F.pow(F.lit(1 - a), x["n"]) * s["at"] + x["end"]).alias("at"), F.concat(s["starts"], F.array(F.struct(x["dt"].alias("dt"), s["at"].alias("at")))).alias("starts"))
-    starts = listed.select("symbol", F.explode(F.aggregate("days", state, step)["starts"]).alias("s")).select("symbol", "s.dt", F.col("s.at").alias("_start"))
+    starts = fold_series(day, ["symbol"], ["dt"], ["n", "end", "first"], lambda k, end, first: {"_start": _carried(k, end, first, 1 - a)}, "_start double").select("symbol", "dt", "_start")
     return own.join(starts, ["symbol", "dt"]).select("symbol", "dt", "minuto", "close", (F.pow(F.lit(1 - a), F.col("_n")) * F.col("_start") + F.col("_own")).alias("ema"))
 
 
+def _carried(bars: np.ndarray, end: np.ndarray, first: np.ndarray, left: float) -> np.ndarray:
+    """The average that each day starts from: what the day before started from, decayed over its bars, and that day's own part."""
+    at, out = float(first[0]), np.empty(len(bars))
+    for i, (k, e) in enumerate(zip(bars.tolist(), end.tolist())):
+        out[i] = at
+        at = left**k * at + e
+    return out
+
+
 @R.add(f"WITH {SQL_M1}, a AS (SELECT symbol, dt, min(minuto) AS m0 FROM m1 GROUP BY ALL), ab AS (SELECT m1.symbol, m1.dt, max(high) AS topo, min(low) AS fundo, any_value(m0) AS m0 FROM m1 JOIN a USING (symbol, dt) WHERE minuto < m0 + 15 GROUP BY ALL), t AS (SELECT m1.symbol, m1.dt, min(minuto) FILTER (WHERE high > topo) AS alta, min(minuto) FILTER (WHERE low < fundo) AS baixa FROM m1 JOIN ab USING (symbol, dt) WHERE minuto >= m0 + 15 GROUP BY ALL) SELECT symbol, dt, CASE WHEN alta IS NULL AND baixa IS NULL THEN 'nenhum' WHEN alta = baixa THEN 'duplo' WHEN baixa IS NULL OR alta < baixa THEN 'alta' ELSE 'baixa' END AS rompimento FROM t")
 def l11_opening_range(spark, d):
     """Break-out of the first fifteen minutes: the first side triggered; both in one bar count apart."""

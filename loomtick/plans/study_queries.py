@@ -20,7 +20,7 @@ from ..operators.stats import information_coefficient
 from ..operators.tape import aggressor_sign, is_aggressor
 from ..operators.windows import carried, correlation, full_window, strict_past_z
 from ..sources.tables import table
-from .registry import SQL_SYMBOL, SQL_TAPE, Registry, r6, tape
+from .registry import SQL_SYMBOL, SQL_TAPE, Registry, r6, tape, tape_once
 from .research_queries import _M5, SQL_FLOW, by_bar, flow, iceberg_runs, resolved
 from .tape_queries import _BIG, _M1W, _P, MINUTE, SQL_HHMM, SQL_M1, SQL_ORD, big_buys, in_day, in_minutes, in_order, m1, sql_full, sql_z
 
@@ -166,10 +166,10 @@ def k07_closest_variant(spark, d):
 @R.add(f"WITH {SQL_TAPE}, {_BIG}, p AS (SELECT symbol, dt, ts_ns, max({{'a': ts_recv_ns, 'b': trade_id, 'p': price}}) AS w FROM tape GROUP BY ALL), h AS (SELECT e.*, hz, e.ts_ns + hz::bigint * 1000000000 AS alvo FROM ev e, (SELECT unnest([30, 120, 300]) AS hz)) SELECT h.symbol, h.dt, h.trade_id, hz::bigint AS horizonte_s, round(p.w['p'] - h.price, 6) AS movimento FROM h ASOF JOIN p ON h.symbol = p.symbol AND h.dt = p.dt AND h.alvo >= p.ts_ns")
 def l03_event_outcomes(spark, d):
     """The price's move 30, 120 and 300 s after a large buy, as-of each horizon."""
-    t = tape(spark, d)
+    t = tape_once(spark, d)
     e = big_buys(t).withColumn("horizonte_s", F.explode(F.array(*(F.lit(h).cast("bigint") for h in (30, 120, 300))))).withColumn("ts_ns", F.col("ts_ns") + F.col("horizonte_s") * 1_000_000_000)
     path = t.select("symbol", "dt", "ts_ns", "ts_recv_ns", F.col("trade_id").alias("_id"), F.col("price").alias("depois"))
-    out = asof_backward(e, path, ["symbol", "dt"], "ts_ns", ["depois"], tie=["ts_recv_ns", "_id"])
+    out = asof_backward(e, path, ["symbol", "dt"], "ts_ns", ["depois"], tie=["ts_recv_ns", "_id"], slice_size=B.SLICE_NS)
     return out.select("symbol", "dt", "trade_id", "horizonte_s", r6(F.col("depois") - F.col("price")).alias("movimento"))
 
 
@@ -208,7 +208,7 @@ def l05b_leader_trade_events(spark, d):
 
     The whole of L5: l05_leader_events looks at whole minutes.
     """
-    t, ticks = tape(spark, d), table(spark, d, "ativos", "symbol", "tick")
+    t, ticks = tape_once(spark, d), table(spark, d, "ativos", "symbol", "tick")
     top = t.groupBy("symbol").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "symbol").limit(1).select("symbol")
     events = leader_moves(t.join(top, "symbol", "left_semi").join(ticks, "symbol"), _LEAD["ticks"], _LEAD["window_ms"], _LEAD["rest_ms"])
     return followers(events, t.join(top, "symbol", "left_anti"), ticks, _LEAD["window_ms"], _LEAD["horizons_ms"])
@@ -219,7 +219,7 @@ def leader_moves(t: DataFrame, ticks: int, window_ms: int, rest_ms: int) -> Data
     probe = t.select("symbol", "dt", "price", "tick", F.col("ts_ns").alias("em"), (F.col("ts_ns") - window_ms * _MS).alias("ts_ns"))
     path = t.select("symbol", "dt", "ts_ns", "ts_recv_ns", F.col("trade_id").alias("_id"), F.col("price").alias("antes"))
     move = F.col("price") - F.col("antes")
-    e = asof_backward(probe, path, ["symbol", "dt"], "ts_ns", ["antes"], tie=["ts_recv_ns", "_id"]).where(F.abs(move) >= ticks * F.col("tick") - 1e-9)
+    e = asof_backward(probe, path, ["symbol", "dt"], "ts_ns", ["antes"], tie=["ts_recv_ns", "_id"], slice_size=B.SLICE_NS).where(F.abs(move) >= ticks * F.col("tick") - 1e-9)
     e = e.select("dt", F.signum(move).cast("bigint").alias("lado"), F.col("em").alias("ts_ns")).distinct()
     return greedy_keep(e, ["dt", "lado"], "ts_ns", rest_ms * _MS)
 
@@ -368,7 +368,7 @@ def m03_conditional_reversal(spark, d):
 @R.add(f"WITH {SQL_TAPE}, {_BIG}, x AS (SELECT e.symbol, e.dt, e.trade_id, hz, max(t.price - e.price) AS mfe, min(t.price - e.price) AS mae, min(t.ts_ns - e.ts_ns) FILTER (WHERE t.price > e.price) AS alta_ns FROM ev e, (SELECT unnest([60, 300]) AS hz) h JOIN tape t ON t.symbol = e.symbol AND t.dt = e.dt AND t.ts_ns > e.ts_ns AND t.ts_ns <= e.ts_ns + hz::bigint * 1000000000 GROUP BY ALL) SELECT symbol, dt, trade_id, hz::bigint AS horizonte_s, round(greatest(mfe, 0), 6) AS mfe, round(least(mae, 0), 6) + 0.0 AS mae, alta_ns FROM x")
 def m12_forward_probe(spark, d):
     """Excursions and the time to the first higher trade, for two horizons, from the tape itself."""
-    t = tape(spark, d)
+    t = tape_once(spark, d)
     path = range_join(big_buys(t), t.withColumnRenamed("price", "p"), ["symbol", "dt"], "ts_ns", "ts_ns", 300 * 10**9, ["p"])
     path = path.withColumn("horizonte_s", F.explode(F.array(F.lit(60).cast("bigint"), F.lit(300).cast("bigint")))).where(F.col("_at") <= F.col("ts_ns") + F.col("horizonte_s") * 10**9)
     move = F.col("p") - F.col("price")
@@ -379,7 +379,7 @@ def m12_forward_probe(spark, d):
 @R.add(f"WITH {SQL_TAPE}, {_BIG} SELECT e.symbol, e.dt, e.trade_id, round(max(t.price) - e.price, 6) AS pior_compra, round(min(t.price) - e.price, 6) + 0.0 AS melhor_compra FROM ev e JOIN tape t ON t.symbol = e.symbol AND t.dt = e.dt AND t.ts_ns > e.ts_ns AND t.ts_ns <= e.ts_ns + 2000000000 GROUP BY e.symbol, e.dt, e.trade_id, e.price")
 def m13_execution_window(spark, d):
     """Worst and best price within two seconds of an event."""
-    t = tape(spark, d)
+    t = tape_once(spark, d)
     path = range_join(big_buys(t), t.withColumnRenamed("price", "p"), ["symbol", "dt"], "ts_ns", "ts_ns", 2 * 10**9, ["p"])
     return path.groupBy("symbol", "dt", "trade_id", "price").agg(F.max("p").alias("x"), F.min("p").alias("i")).select("symbol", "dt", "trade_id", r6(F.col("x") - F.col("price")).alias("pior_compra"), r6(F.col("i") - F.col("price")).alias("melhor_compra"))
 
@@ -487,7 +487,7 @@ def o12_sign_flip(spark, d):
 def l20_permuted_runs(spark, d):
     """Repeated equal lots, really and with size and brokers permuted, and the smoothed ratio of both."""
     keys, order = ["symbol", "dt"], ["ts_ns", "ts_recv_ns", "trade_id"]
-    t = tape(spark, d)
+    t = tape_once(spark, d)
     shuffled = permuted(t, keys, order, ["quantidade", "agente_comprador", "agente_vendedor"])
     n = lambda rows, name: iceberg_runs(rows).groupBy("symbol").agg(F.count(F.lit(1)).alias(name))
     both = n(t, "observadas").join(n(shuffled, "base"), "symbol", "full_outer").fillna(0)

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import half_up_tick, microprice, ticker_family, wilson
 from ..operators.asof import asof_backward, first_hit, has_within, range_join
-from ..operators.bars import broker_flow, ohlc, two_digits
-from ..operators.tape import aggressor_sign, is_aggressor, local_hhmm, passive_broker, plausible
-from ..operators.windows import average_rank, carried, correlation, drawdown, full_window, islands, strict_past_z, valid_only_z
+from ..operators.bars import SLICE_NS, broker_flow, ohlc, two_digits
+from ..operators.tape import TAPE_ORDER, aggressor_sign, is_aggressor, local_hhmm, passive_broker, plausible
+from ..operators.windows import average_rank, carried, correlation, drawdown, full_window, islands, sliced_running_sum, strict_past_z, valid_only_z, with_previous
 from ..sources.tables import table, valid_ts
-from .registry import SQL_QUOTES, SQL_SYMBOL, SQL_TAPE, SQL_VALID, Registry, quotes, r6, tape
+from .registry import SQL_QUOTES, SQL_SYMBOL, SQL_TAPE, SQL_VALID, Registry, quotes, r6, tape, tape_once
 
 R = Registry()
 MINUTE = 60_000_000_000
@@ -159,7 +159,7 @@ def c03_reconcile_streams(spark, d):
 def c04_asof_quote(spark, d):
     """Each trade with the day's last quote at or before it."""
     q = quotes(spark, d).select("symbol", "dia", F.col("ts_recv_ns").alias("ts_ns"), "topo_id", "preco_bid", "preco_ask")
-    return asof_backward(tape(spark, d).select("symbol", "dt", "trade_id", "ts_ns", F.expr("ts_ns div 86400000000000").alias("dia")), q, ["symbol", "dia"], "ts_ns", ["topo_id"]).select("symbol", "dt", "trade_id", "topo_id")
+    return asof_backward(tape(spark, d).select("symbol", "dt", "trade_id", "ts_ns", F.expr("ts_ns div 86400000000000").alias("dia")), q, ["symbol", "dia"], "ts_ns", ["topo_id"], slice_size=SLICE_NS).select("symbol", "dt", "trade_id", "topo_id")
 
 
 _P = "p AS (SELECT symbol, dt, ts_ns, max({'a': ts_recv_ns, 'b': trade_id, 'p': price}) AS w FROM tape GROUP BY ALL)"
@@ -167,10 +167,10 @@ _P = "p AS (SELECT symbol, dt, ts_ns, max({'a': ts_recv_ns, 'b': trade_id, 'p':
 
 @R.add(f"WITH {SQL_TAPE}, {_P}, e AS (SELECT symbol, dt, trade_id, price, ts_ns - 60000000000 AS antes FROM tape) SELECT e.symbol, e.dt, e.trade_id, round(e.price - p.w['p'], 6) AS variacao FROM e ASOF LEFT JOIN p ON e.symbol = p.symbol AND e.dt = p.dt AND e.antes >= p.ts_ns")
 def c05_price_a_minute_ago(spark, d):
-    t = tape(spark, d)
+    t = tape_once(spark, d)
     probe = t.select("symbol", "dt", "trade_id", "price", (F.col("ts_ns") - MINUTE).alias("ts_ns"))
     path = t.select("symbol", "dt", "ts_ns", "ts_recv_ns", "trade_id", F.col("price").alias("antes")).withColumnRenamed("trade_id", "_id")
-    out = asof_backward(probe, path, ["symbol", "dt"], "ts_ns", ["antes"], tie=["ts_recv_ns", "_id"])
+    out = asof_backward(probe, path, ["symbol", "dt"], "ts_ns", ["antes"], tie=["ts_recv_ns", "_id"], slice_size=SLICE_NS)
     return out.select("symbol", "dt", "trade_id", r6(F.col("price") - F.col("antes")).alias("variacao"))
 
 
@@ -363,16 +363,17 @@ def e03_valid_only_z(spark, d):
 
 @R.add(f"WITH {SQL_TAPE} SELECT symbol, dt, trade_id, coalesce(sum(quantidade) OVER ({SQL_ORD} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::bigint AS antes, row_number() OVER ({SQL_ORD}) AS ordem, row_number() OVER (PARTITION BY symbol, dt ORDER BY ts_ns DESC, ts_recv_ns DESC, trade_id DESC) AS do_fim FROM tape")
 def e05_exclusive_cumulative(spark, d):
-    back = in_day().orderBy(F.desc("ts_ns"), F.desc("ts_recv_ns"), F.desc("trade_id"))
-    before = F.coalesce(F.sum("quantidade").over(in_order().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return tape(spark, d).select("symbol", "dt", "trade_id", before.alias("antes"), F.row_number().over(in_order()).cast("bigint").alias("ordem"), F.row_number().over(back).cast("bigint").alias("do_fim"))
+    sums = {"antes": F.col("quantidade"), "_i": F.lit(1)}
+    rows = sliced_running_sum(tape_once(spark, d), ["symbol", "dt"], "ts_ns", SLICE_NS, TAPE_ORDER, sums)
+    return rows.select("symbol", "dt", "trade_id", "antes", (F.col("_i") + 1).cast("bigint").alias("ordem"), (F.col("_i_all") - F.col("_i")).cast("bigint").alias("do_fim"))
 
 
 @R.add(f"WITH {SQL_TAPE}, f AS (SELECT *, CASE WHEN lag(trade_type) OVER w IS DISTINCT FROM trade_type OR ts_ns - lag(ts_ns) OVER w > 30000000000 THEN 1 ELSE 0 END AS s FROM tape WINDOW w AS ({SQL_ORD})), g AS (SELECT *, sum(s) OVER ({SQL_ORD} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::bigint AS ilha FROM f) SELECT symbol, dt, ilha, min(trade_type) AS trade_type, count(*) AS n, max(ts_ns) - min(ts_ns) AS duracao FROM g GROUP BY ALL")
 def e06_runs(spark, d):
     """Runs of one trade type without a gap above 30 s."""
-    starts = ~F.lag("trade_type").over(in_order()).eqNullSafe(F.col("trade_type")) | (F.col("ts_ns") - F.lag("ts_ns").over(in_order()) > 30_000_000_000)
-    runs = islands(tape(spark, d), ["symbol", "dt"], ["ts_ns", "ts_recv_ns", "trade_id"], starts)
+    rows = with_previous(tape_once(spark, d), ["symbol", "dt"], "ts_ns", SLICE_NS, TAPE_ORDER, ["trade_type", "ts_ns"])
+    starts = F.col("_prev").isNull() | (F.col("_prev.trade_type") != F.col("trade_type")) | (F.col("ts_ns") - F.col("_prev.ts_ns") > 30_000_000_000)
+    runs = sliced_running_sum(rows.withColumn("_s", starts.cast("int")).drop("_prev"), ["symbol", "dt"], "ts_ns", SLICE_NS, TAPE_ORDER, {"ilha": F.col("_s")}, before=False)
     return runs.groupBy("symbol", "dt", "ilha").agg(F.min("trade_type").alias("trade_type"), F.count(F.lit(1)).alias("n"), (F.max("ts_ns") - F.min("ts_ns")).alias("duracao"))
 
 
@@ -408,9 +409,12 @@ def e12_drawdown(spark, d):
 @R.add(f"WITH {SQL_TAPE}, c AS (SELECT *, round((price - first_value(price) OVER ({SQL_ORD})) * 100)::hugeint AS dev, first_value(price) OVER ({SQL_ORD}) AS p0 FROM tape), s AS (SELECT symbol, dt, trade_id, p0, sum(quantidade) OVER w AS qi, sum(quantidade * dev) OVER w AS qdi, sum(quantidade) OVER w::double AS q, sum(quantidade * dev) OVER w::double AS qd, sum(quantidade * dev * dev) OVER w::double AS qdd FROM c WINDOW w AS ({SQL_ORD} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT symbol, dt, trade_id, ((round(p0 * 100)::hugeint * qi + qdi) * 1000 // qi)::double / 100000 AS vwap, round(sqrt(greatest(qdd / q - (qd / q) * (qd / q), 0)) / 100, 4) AS desvio FROM s")
 def e13_session_vwap(spark, d):
     """Running session VWAP and volume-weighted deviation, centred on the day's first price, in whole hundredths so that sums are exact."""
-    run = in_order().rowsBetween(Window.unboundedPreceding, 0)
-    rows = tape(spark, d).withColumn("_p0", F.first("price").over(in_order())).withColumn("_d", F.round((F.col("price") - F.col("_p0")) * 100).cast("decimal(19,0)"))
-    qi, qdi, qddi = (F.sum(F.col("quantidade") * x).over(run) for x in (F.lit(1), F.col("_d"), F.col("_d") * F.col("_d")))
+    t = tape_once(spark, d)
+    opening = t.groupBy("symbol", "dt").agg(F.min_by("price", F.struct(*TAPE_ORDER)).alias("_p0"))
+    rows = t.join(opening, ["symbol", "dt"]).withColumn("_d", F.round((F.col("price") - F.col("_p0")) * 100).cast("decimal(19,0)"))
+    sums = {"_qi": F.col("quantidade").cast("decimal(19,0)"), "_qd": F.col("quantidade") * F.col("_d"), "_qdd": F.col("quantidade") * F.col("_d") * F.col("_d")}
+    rows = sliced_running_sum(rows, ["symbol", "dt"], "ts_ns", SLICE_NS, TAPE_ORDER, sums, before=False)
+    qi, qdi, qddi = (F.col(c) for c in sums)
     q, qd, qdd = (x.cast("double") for x in (qi, qdi, qddi))
     sd = F.sqrt(F.greatest(qdd / q - (qd / q) * (qd / q), F.lit(0.0))) / 100
     rows = rows.withColumns({"_n": ((F.round(F.col("_p0") * 100).cast("decimal(19,0)") * qi + qdi) * 1000).cast("decimal(38,0)"), "_q": qi, "_sd": sd})
@@ -482,8 +486,13 @@ def f02_top_brokers(spark, d):
 
 @R.add(f"WITH {SQL_TAPE}, r AS (SELECT symbol, dt, quantidade, row_number() OVER (PARTITION BY symbol, dt ORDER BY quantidade DESC, trade_id) AS k FROM tape) SELECT symbol, dt, round(sum(quantidade) FILTER (WHERE k <= 5) / sum(quantidade), 6) AS concentracao FROM r GROUP BY ALL")
 def f03_concentration(spark, d):
-    rows = tape(spark, d).withColumn("_k", F.row_number().over(in_day().orderBy(F.desc("quantidade"), "trade_id")))
-    return rows.groupBy("symbol", "dt").agg(r6(F.sum(F.when(F.col("_k") <= 5, F.col("quantidade"))) / F.sum("quantidade")).alias("concentracao"))
+    t = tape_once(spark, d)
+    largest = [F.desc("quantidade"), "trade_id"]
+    piece = t.withColumn("_slice", F.expr(f"ts_ns div {SLICE_NS}"))  # five per slice first, so no task ranks a whole day
+    five = piece.withColumn("_k", F.row_number().over(Window.partitionBy("symbol", "dt", "_slice").orderBy(*largest))).where("_k <= 5")
+    five = five.withColumn("_k", F.row_number().over(in_day().orderBy(*largest))).where("_k <= 5").groupBy("symbol", "dt").agg(F.sum("quantidade").alias("cinco"))
+    total = t.groupBy("symbol", "dt").agg(F.sum("quantidade").alias("total"))
+    return five.join(total, ["symbol", "dt"]).select("symbol", "dt", r6(F.col("cinco") / F.col("total")).alias("concentracao"))
 
 
 @R.add(f"WITH {SQL_M1}, a AS (SELECT symbol, dt, minuto, sum(close - open) OVER (PARTITION BY symbol ORDER BY minuto) AS c FROM m1), t AS (SELECT *, greatest(max(c) OVER (PARTITION BY symbol ORDER BY minuto), 0.0) AS topo FROM a), g AS (SELECT symbol, round(topo, 6) AS topo, min(round(c - topo, 5)) AS queda, count(*) AS barras FROM t GROUP BY symbol, round(topo, 6)) SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY queda, topo) <= 3")

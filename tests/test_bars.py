@@ -76,7 +76,7 @@ def test_greedy_keeps_from_the_last_kept(spark):
 
 def test_wilder(spark):
     x = spark.createDataFrame([("A", i, v) for i, v in enumerate([1.0, 0.0, 1.0, 0.0])], "k string, i int, v double")
-    got = [r.w for r in by_series(x, ["k"], "i", "v", {"w": wilder(F.col("_v"), 2)}).orderBy("i").collect()]
+    got = [r.w for r in by_series(x, ["k"], "i", "v", {"w": wilder(2)}).orderBy("i").collect()]
     assert got == [None, 0.5, 0.75, 0.375]
 
 
