@@ -29,22 +29,40 @@ def two_digits(x: Column) -> Column:
 
 def suggest_threshold(tape: DataFrame, per_day: int) -> DataFrame:
     """By symbol: the median daily aggressor volume over ``per_day``, to two significant digits."""
-    daily = tape.where(is_aggressor(F.col("trade_type"))).groupBy(*_DAY).agg(F.sum("quantidade").alias("v"))
+    return _threshold(tape.where(is_aggressor(F.col("trade_type"))).groupBy(*_DAY).agg(F.sum("quantidade").alias("v")), per_day)
+
+
+def _threshold(daily: DataFrame, per_day: int) -> DataFrame:
     return daily.groupBy("symbol").agg(F.median("v").alias("mediana")).withColumn("limite", two_digits(F.greatest(F.col("mediana") / per_day, F.lit(1.0))))
 
 
-def volume_bars(tape: DataFrame, threshold: int | Column, offset: str | None = "last") -> DataFrame:
-    """Adds ``bar_id``: aggressor volume before the trade, over the whole day, div ``threshold``.
+def local_bars(tape: DataFrame, threshold: int | Column | None, per_day: int | None = None) -> DataFrame:
+    """Adds ``_l``, the trade's bar inside its day, and ``_n``, the day's number of complete bars; trades behind the last one are dropped.
+
+    ``threshold`` None takes the symbol's own suggestion of ``per_day`` bars, from the same sums by slice. The sums run in
+    two levels, so no task holds a whole day of one symbol.
+    """
+    enrich = None
+    if threshold is None:
+
+        def enrich(slices: DataFrame) -> DataFrame:
+            daily = slices.where("_cum_all > 0").groupBy(*_DAY).agg(F.first("_cum_all").alias("v"))
+            return slices.join(_threshold(daily, per_day).select("symbol", F.col("limite").alias("_limit")), "symbol")
+
+    rows = sliced_running_sum(tape, _DAY, "ts_ns", SLICE_NS, TAPE_ORDER, {"_cum": _aggr()}, enrich=enrich)
+    t = F.col("_limit") if threshold is None else threshold if isinstance(threshold, Column) else F.lit(threshold)
+    rows = rows.withColumns({"_l": F.floor(F.col("_cum") / t).cast("bigint"), "_n": F.floor(F.col("_cum_all") / t).cast("bigint")})
+    return rows.where(F.col("_l") < F.col("_n")).drop("_cum", "_cum_all", "_limit")
+
+
+def volume_bars(tape: DataFrame, threshold: int | Column | None, offset: str | None = "last", per_day: int | None = None) -> DataFrame:
+    """Adds ``bar_id``: aggressor volume before the trade, over the whole day, div ``threshold`` (None: as :func:`local_bars`).
 
     A trade that crosses belongs to the bar it completes, others stay in the bar in formation, the day's last incomplete
     bar is dropped, and no bar crosses days. ``offset`` makes ids global per symbol: ``"completed"`` adds the earlier days'
     total div threshold, ``"last"`` one more than the highest id those days really have, None keeps them local.
-    The sums run in two levels, so no task holds a whole day of one symbol.
     """
-    t = threshold if isinstance(threshold, Column) else F.lit(threshold)
-    rows = sliced_running_sum(tape, _DAY, "ts_ns", SLICE_NS, TAPE_ORDER, {"_cum": _aggr()})
-    rows = rows.withColumns({"_l": F.floor(F.col("_cum") / t).cast("bigint"), "_n": F.floor(F.col("_cum_all") / t).cast("bigint")}).drop("_cum", "_cum_all")
-    rows = rows.where(F.col("_l") < F.col("_n"))
+    rows = local_bars(tape, threshold, per_day)
     if offset is None:
         return rows.withColumnRenamed("_l", "bar_id").drop("_n")
     by_day = rows.groupBy(*_DAY).agg(F.max("_l").alias("_m"), F.max("_n").alias("_t"))
@@ -54,6 +72,20 @@ def volume_bars(tape: DataFrame, threshold: int | Column, offset: str | None = "
     return rows.join(by_day, list(_DAY)).withColumn("bar_id", F.col("_l") + F.col("_o")).drop("_l", "_n", "_o")
 
 
+def flow_bars(tape: DataFrame, per_day: int, tick: Column) -> DataFrame:
+    """Volume bars of the symbol's own size with their flow features, ids as in :func:`volume_bars` with ``"last"``.
+
+    Bars are built inside their days and numbered afterwards, on bars instead of trades: the last bar of a day always has
+    the aggressor trade that completes it, so no day's highest id is lost with bars without aggression.
+    """
+    f = flow_features(local_bars(tape, None, per_day), [*_DAY, "_l", "_tick"], F.col("_tick"), {"_tick": tick})
+    w = Window.partitionBy("symbol").orderBy("dt", "_l")
+    ends = F.coalesce(F.lead("dt").over(w) != F.col("dt"), F.lit(True))
+    f = f.withColumn("_e", F.when(ends, F.col("_l") + 1).otherwise(0))
+    earlier = F.coalesce(F.sum("_e").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return f.withColumn("bar_id", F.col("_l") + earlier).drop("_l", "_e", "_tick", "dt")
+
+
 def time_bars(tape: DataFrame, period_ns: int) -> DataFrame:
     """Adds ``bar_id`` by the epoch's buckets: the day's last bucket is dropped, gaps stay, ids run on over a symbol's days.
 
@@ -181,11 +213,12 @@ def infer_tick(tape: DataFrame) -> DataFrame:
     return daily.groupBy("symbol").agg(F.median("_s").alias("tick"))
 
 
-def flow_features(rows: DataFrame, keys: Sequence[str], tick: float | Column) -> DataFrame:
+def flow_features(rows: DataFrame, keys: Sequence[str], tick: float | Column, derived: dict[str, Column] | None = None) -> DataFrame:
     """Bars with order flow: OHLC and VWAP of aggressor trades, signed volumes, imbalances, absorption, displacement, retail share.
 
-    Bars without aggression vanish, as do their retail volumes. Ratios with nothing below are NULL.
+    Bars without aggression vanish, as do their retail volumes. Ratios with nothing below are NULL. ``derived`` columns are added first and may be keys.
     """
+    rows = rows.withColumns(derived) if derived else rows
     at = F.struct(*TAPE_ORDER)
     kind, q, p = F.col("trade_type"), F.col("quantidade"), F.col("price")
     aggr = is_aggressor(kind)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -42,12 +42,13 @@ def carried(x: Column, by: WindowSpec, strictly: bool = False) -> Column:
     return F.last(x, ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, -1 if strictly else 0))
 
 
-def sliced_running_sum(df: DataFrame, keys: Sequence[str], at: str, slice_size: int, order: Sequence[str], sums: dict[str, Column], before: bool = True) -> DataFrame:
+def sliced_running_sum(df: DataFrame, keys: Sequence[str], at: str, slice_size: int, order: Sequence[str], sums: dict[str, Column], before: bool = True, enrich: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Running sums in two levels, so that a long key isn't one task's work: adds each of ``sums`` (``before``: without the
     current row) and ``<name>_all``, the key's total.
 
     Rows are summed per slice of ``at`` first; a window over a key's slices gives what came earlier, and a window inside
-    each slice the rest. Integers stay exact; doubles are added slice by slice. NULLs add nothing.
+    each slice the rest. Integers stay exact; doubles are added slice by slice. NULLs add nothing. ``enrich`` may add
+    columns to the table of slices (keys and totals), which then reach every row without a further join.
     """
     rows = df.withColumn("_slice", F.expr(f"(`{at}` - pmod(`{at}`, {slice_size})) div {slice_size}"))
     rows = rows.withColumns({f"_x_{n}": F.coalesce(c, F.lit(0)) for n, c in sums.items()})
@@ -55,6 +56,7 @@ def sliced_running_sum(df: DataFrame, keys: Sequence[str], at: str, slice_size:
     key = Window.partitionBy(*keys)
     earlier = key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     per = per.select(*keys, "_slice", *(F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in sums), *(F.sum(f"_s_{n}").over(key).alias(f"{n}_all") for n in sums))
+    per = enrich(per) if enrich else per
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
     out = rows.join(per, [*keys, "_slice"])
     out = out.withColumns({n: F.col(f"_o_{n}") + F.coalesce(F.sum(f"_x_{n}").over(inside), F.lit(0)) for n in sums})

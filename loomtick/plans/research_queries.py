@@ -43,7 +43,7 @@ def barred(spark: SparkSession, d: str, offset: str = "last") -> DataFrame:
 
 
 def barred_tape(t: DataFrame, offset: str = "last") -> DataFrame:
-    return B.volume_bars(t.join(B.suggest_threshold(t, PER_DAY).select("symbol", "limite"), "symbol"), F.col("limite"), offset)
+    return B.volume_bars(t, None, offset, PER_DAY)
 
 
 _ORD = "{'a': ts_ns, 'b': ts_recv_ns, 'c': trade_id}"
@@ -61,8 +61,8 @@ flow AS (SELECT symbol, bar_id, open, high, low, close, ts_open, ts_close, vc AS
 
 
 def flow(spark: SparkSession, d: str) -> DataFrame:
-    rows = barred(spark, d).join(table(spark, d, "ativos", "symbol", "tick"), "symbol", "left")
-    return B.flow_features(rows, ["symbol", "bar_id", "tick"], F.col("tick")).drop("tick")
+    rows = tape_once(spark, d).join(table(spark, d, "ativos", "symbol", "tick"), "symbol", "left")
+    return B.flow_bars(rows, PER_DAY, F.col("tick"))
 
 
 def by_bar() -> WindowSpec:
