@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 
 def exponential_key(doc_id: Column, weight: Column, seed: int) -> Column:
     """Efraimidis-Spirakis key −ln(u)/weight, u in (0, 1) from the id and the seed: the smallest keys are a weighted sample without replacement."""
@@ -32,7 +34,22 @@ def mix_plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return out.withColumn("rest", F.when(F.col("capped"), F.lit(0.0)).otherwise(F.col("budget") - F.col("epochs") * F.col("tokens")))
 
 
-def mix_sources(docs: DataFrame, targets: DataFrame, seed: int = 17, rows_per_slice: int = 100_000) -> DataFrame:
+#: The fullest of n slices of a source's keys holds at most about CROWDED / n of its documents.
+CROWDED = 12
+
+
+def keyed_documents(docs: DataFrame, seed: int) -> DataFrame:
+    """Documents of named sources with ``key`` and its logarithm ``_lk``.
+
+    −ln(u)/weight spans many sizes when weights do; its logarithm only shifts by a weight's logarithm and never has more
+    than 1/e of its mass in one unit, so even steps of it are slices of bounded share whatever the weights are.
+    """
+    weight = F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(1e-6))
+    keyed = docs.select("doc_id", "source", "tokens", "weight").where("source is not null").withColumn("key", exponential_key(F.col("doc_id"), weight, seed))
+    return keyed.withColumn("_lk", F.log("key"))
+
+
+def mix_sources(docs: DataFrame, targets: DataFrame, seed: int = 17, rows_per_slice: int = 100_000, plan: DataFrame | None = None) -> DataFrame:
     """``doc_id``, ``source``, ``tokens`` and ``copies`` (≥ 1) of every document in the mixture.
 
     ``docs``: ``doc_id``, ``source``, ``tokens``, ``weight`` (quality; NULL or not positive: the smallest positive
@@ -42,17 +59,17 @@ def mix_sources(docs: DataFrame, targets: DataFrame, seed: int = 17, rows_per_sl
     give an empty mixture.
 
     Scale: the prefix sum runs over slices of the key's range, whose sums are added up first; only the one slice
-    a source in which the budget ends is ordered row by row. A source with a third of all documents therefore costs one
-    task about ``rows_per_slice`` rows.
+    a source in which the budget ends is ordered row by row. Slices are even steps of the key's logarithm, CROWDED times
+    as many as ``rows_per_slice`` asks for, so that even the fullest holds about that many rows at most, whatever the weights.
+    ``plan`` is a plan made before (None: made here).
     """
-    docs = docs.select("doc_id", "source", "tokens", "weight")
-    plan = mix_plan(docs, targets)
-    weight = F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(1e-6))
-    keyed = docs.where("source is not null").withColumn("key", exponential_key(F.col("doc_id"), weight, seed))
-    slices = F.greatest(F.ceil(F.col("docs") / F.lit(rows_per_slice)), F.lit(1)).cast("bigint")
-    spread = F.lit(1.0) - F.exp(-F.col("key"))  # increasing, in [0, 1)
-    rows = keyed.join(plan.where("docs > 0").select("source", "epochs", "rest", slices.alias("slices")), "source")
-    rows = rows.withColumn("slice", F.least(F.floor(spread * F.col("slices")), F.col("slices") - 1))
+    plan = mix_plan(docs, targets) if plan is None else plan
+    keyed = keyed_documents(docs, seed)
+    span = keyed.groupBy("source").agg(F.min("_lk").alias("_lo"), F.max("_lk").alias("_hi"))
+    slices = F.ceil(CROWDED * F.col("docs") / F.lit(rows_per_slice)).cast("bigint")
+    rows = keyed.join(plan.where("docs > 0").select("source", "epochs", "rest", slices.alias("slices")).join(span, "source"), "source")
+    reach = F.when(F.col("_hi") > F.col("_lo"), (F.col("_lk") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))).otherwise(0.0)
+    rows = rows.withColumn("slice", F.least(F.floor(reach * F.col("slices")), F.col("slices") - 1)).drop("_lk", "_lo", "_hi")
 
     sums = rows.groupBy("source", "slice").agg(F.sum("tokens").alias("in_slice"), F.first("rest").alias("rest"))
     w = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -73,8 +90,9 @@ def mix_report(docs: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame
 
     ``limited`` is read off the mixture itself: every document was given ``max_repeats`` times and the budget wasn't met.
     """
-    mixture = mix_sources(docs, targets, seed).groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("given"))
-    plan = mix_plan(docs, targets).join(mixture, "source", "left").withColumn("given", F.coalesce("given", F.lit(0)))
+    made = stored(mix_plan(docs, targets), "plano-mistura")
+    mixture = mix_sources(docs, targets, seed, plan=made).groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("given"))
+    plan = made.join(mixture, "source", "left").withColumn("given", F.coalesce("given", F.lit(0)))
     all_given = plan.agg(F.sum("given").alias("all_given"))
     reached = F.when(F.col("all_given") > 0, F.col("given") / F.col("all_given")).otherwise(0.0)
     limited = (F.col("given") == F.col("max_repeats") * F.col("tokens")) & (F.col("given") < F.col("budget"))

@@ -77,11 +77,14 @@ def notices(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    left = notices(spark, d)
-    quotes = table(spark, d, "topo_livro", "topo_id", "symbol", "ts_recv_ns").where("ts_recv_ns > 0").selectExpr("symbol AS entity", "ts_recv_ns AS at", "topo_id AS right_id")
-    trades = table(spark, d, "trades", "ts_ns", "symbol", "dt", "trade_id").where(valid_ts(F.col("ts_ns"), F.col("dt")) & (F.col("trade_id") > 0)).selectExpr("symbol AS entity", "ts_ns AS at", "trade_id AS right_id")
-    found = lambda right, kind: nearest_by_ticks(left, right, TOLERANCE_NS, TICK_NS).select(F.col("left_id").alias("ev_id"), F.lit(kind).alias("alvo"), F.col("right_id").alias("alvo_id"))
-    return found(quotes, "topo").unionByName(found(trades, "trade"))
+    """Quotes and trades in one run: the target is part of the entity."""
+    of = lambda kind, symbol: F.concat_ws(":", F.lit(kind), symbol)
+    quotes = table(spark, d, "topo_livro", "topo_id", "symbol", "ts_recv_ns").where("ts_recv_ns > 0 and symbol is not null").select(of("topo", F.col("symbol")).alias("entity"), F.col("ts_recv_ns").alias("at"), F.col("topo_id").alias("right_id"))
+    trades = table(spark, d, "trades", "ts_ns", "symbol", "dt", "trade_id").where(valid_ts(F.col("ts_ns"), F.col("dt")) & (F.col("trade_id") > 0) & F.col("symbol").isNotNull())
+    right = quotes.unionByName(trades.select(of("trade", F.col("symbol")).alias("entity"), F.col("ts_ns").alias("at"), F.col("trade_id").alias("right_id")))
+    left = notices(spark, d).where("left_id is not null and entity is not null").withColumn("alvo", F.explode(F.array(F.lit("topo"), F.lit("trade"))))
+    left = left.select(F.concat_ws(":", "alvo", "entity").alias("entity"), "at", F.struct(F.col("left_id").alias("ev_id"), "alvo").alias("left_id"))
+    return nearest_by_ticks(left, right, TOLERANCE_NS, TICK_NS).select("left_id.ev_id", "left_id.alvo", F.col("right_id").alias("alvo_id"))
 
 
 P7_FOUND_SQL = f"""

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loomtick.llm import subjects as S
-from loomtick.llm.mixing import mix_report, mix_sources
+from loomtick.llm.mixing import CROWDED, keyed_documents, mix_report, mix_sources
 from loomtick.llm.nearest import nearest_by_ticks
 from loomtick.llm.percentiles import code_of, digests, merge_digests, percentiles, value_of
 from loomtick.llm.tokens import agreed_bounds, encode_bytes, encode_corpus, encoder, hash_cuts, split_document
@@ -122,6 +122,15 @@ def test_mixture_reaches_targets_and_caps(spark):
     assert mix_sources(docs.where("false"), targets).count() == 0
 
 
+@pytest.mark.parametrize("weight", ["1.0", "0.8", "0.5", "0.05", "null", "case when doc_id % 3 = 0 then 0.05 else 1.0 end"])
+def test_slices_of_a_source_are_even_whatever_the_weights(spark, weight):
+    docs = spark.range(200_000).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.lit(1).cast("bigint").alias("tokens")).withColumn("weight", F.expr(weight).cast("double"))
+    lk = keyed_documents(docs, 17)
+    lo, hi = lk.agg(F.min("_lk"), F.max("_lk")).first()
+    fullest = lk.groupBy(F.floor((F.col("_lk") - lo) / (hi - lo) * 1000)).count().agg(F.max("count")).first()[0]
+    assert fullest <= CROWDED / 1000 * 200_000
+
+
 def test_heavier_documents_are_drawn_more_often(spark):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.lit(10).cast("bigint").alias("tokens"), F.when(F.col("id") % 2 == 0, 1.0).otherwise(0.25).alias("weight"))
     targets = spark.createDataFrame([("s", 0.25, 1)], "source string, target_share double, max_repeats int")
