@@ -72,7 +72,7 @@ def volume_bars(tape: DataFrame, threshold: int | Column | None, offset: str | N
     return rows.join(by_day, list(_DAY)).withColumn("bar_id", F.col("_l") + F.col("_o")).drop("_l", "_n", "_o")
 
 
-def flow_bars(tape: DataFrame, per_day: int, tick: Column) -> DataFrame:
+def flow_bars(tape: DataFrame, per_day: int, tick: Column, keep_day: bool = False) -> DataFrame:
     """Volume bars of the symbol's own size with their flow features, ids as in :func:`volume_bars` with ``"last"``.
 
     Bars are built inside their days and numbered afterwards, on bars instead of trades: the last bar of a day always has
@@ -83,7 +83,7 @@ def flow_bars(tape: DataFrame, per_day: int, tick: Column) -> DataFrame:
     ends = F.coalesce(F.lead("dt").over(w) != F.col("dt"), F.lit(True))
     f = f.withColumn("_e", F.when(ends, F.col("_l") + 1).otherwise(0))
     earlier = F.coalesce(F.sum("_e").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return f.withColumn("bar_id", F.col("_l") + earlier).drop("_l", "_e", "_tick", "dt")
+    return f.withColumn("bar_id", F.col("_l") + earlier).drop("_l", "_e", "_tick", *(() if keep_day else ("dt",)))
 
 
 def time_bars(tape: DataFrame, period_ns: int) -> DataFrame:

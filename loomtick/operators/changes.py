@@ -21,7 +21,7 @@ SEGMENT = 65_536
 
 def latest_copies(changes: DataFrame, ident: Sequence[str], rank: str, fields: Sequence[str]) -> DataFrame:
     """Of several copies of a change the one with the largest ``rank`` holds in all its fields; equal ranks: the larger fields. NULL ranks lose."""
-    best = F.max(F.struct(F.col(rank), *fields)).alias("_w")
+    best = F.max(F.struct(F.col(rank).alias("_rank"), *fields)).alias("_w")
     return changes.groupBy(*ident).agg(best).select(*ident, *(F.col(f"_w.{c}").alias(c) for c in fields))
 
 
@@ -106,29 +106,29 @@ class Lengths:
 KEPT, NULL = -(2**61), -(2**62)
 
 
-def replay_segment(length: int, actions: Sequence[int], positions: Sequence[int], quantities: Sequence[int]) -> tuple[list[int], list[tuple[int, int, int]], dict[int, int]]:
+def replay_segment(length: int, actions: Sequence[int], positions: Sequence[int], quantities: Sequence[int]) -> tuple[list[int], list[tuple[int, int, int, int]], dict[int, int]]:
     """A segment's replay from ``length`` unknown offers: the book after it, the images of every effective change in order, and
     the quantities set.
 
     Offers are named −1−i (offer i of the book before) or j (added by the segment's change j). An image is (name, quantity
-    or KEPT, −1 before or +1 after): an insert has the one after, a removal the one before, an edit both.
+    or KEPT, −1 before or +1 after, number of its change): an insert has the one after, a removal the one before, an edit both.
     """
     book, images, now = list(range(-1, -length - 1, -1)), [], {}
     for j, (a, p, q) in enumerate(zip(actions, positions, quantities)):
         if a == ADD:
             book.insert(p, j)
             now[j] = q
-            images.append((j, q, 1))
+            images.append((j, q, 1, j))
         elif a == DELETE_FROM:
-            images.extend((n, now.get(n, KEPT), -1) for n in book[: p + 1])
+            images.extend((n, now.get(n, KEPT), -1, j) for n in book[: p + 1])
             del book[: p + 1]
         elif p < len(book) and a == EDIT:
             n = book[p]
-            images += ((n, now.get(n, KEPT), -1), (n, q, 1))
+            images += ((n, now.get(n, KEPT), -1, j), (n, q, 1, j))
             now[n] = q
         elif p < len(book) and a == DELETE:
             n = book.pop(p)
-            images.append((n, now.get(n, KEPT), -1))
+            images.append((n, now.get(n, KEPT), -1, j))
     return book, images, now
 
 
@@ -203,7 +203,7 @@ def positional_changes(changes: DataFrame, book: Sequence[str], seq: str, action
     NULL ``seq``, and edits and deletes beyond the last offer change nothing.
 
     Columns out: the book's, ``oferta_seq`` (the change that added the offer: its identity), ``offer_id``, ``quantidade``,
-    ``mult`` and ``place``. Every effective change gives its images: −1 the offer as it was, +1 as it is after; the sum
+    ``mult``, ``mudanca`` (the change an image comes from) and ``place``. Every effective change gives its images: −1 the offer as it was, +1 as it is after; the sum
     over a feed leaves the offers that stay. Beside them, with ``mult`` 0, the offers of the last book tell their
     ``place``, which follows from the order of a book and not from any one change.
 
@@ -257,15 +257,15 @@ def positional_changes(changes: DataFrame, book: Sequence[str], seq: str, action
         marked = int(c["a"][0]) == -1
         seqs, offers = c["seq"][marked:], c["o"][marked:]
         left, images, now = replay_segment(int(c["p"][0]) if marked else 0, c["a"][marked:].tolist(), c["p"][marked:].tolist(), c["q"][marked:].tolist())
-        images += [(n, now.get(n, KEPT), 0) for n in left]
-        names, quantities, mult = (np.array(x, np.int64) for x in (zip(*images) if images else ((), (), ())))
+        images += [(n, now.get(n, KEPT), 0, -1) for n in left]
+        names, quantities, mult, change = (np.array(x, np.int64) for x in (zip(*images) if images else ((),) * 4))
         own = names >= 0
         mine = lambda x: np.where(own, x[np.where(own, names, 0)] if len(x) else 0, 0)
         place = np.concatenate([np.full(len(names) - len(left), -1), np.arange(len(left))])
-        out = {"ref": np.where(own, -1, -1 - names), "s": mine(seqs), "o": mine(offers), "q": quantities, "mult": mult, "place": place}
-        return {k: np.append(v, -1 if k in ("ref", "place") else 0) for k, v in out.items()}
+        out = {"ref": np.where(own, -1, -1 - names), "s": mine(seqs), "o": mine(offers), "q": quantities, "mult": mult, "by": np.where(change >= 0, seqs[np.where(change >= 0, change, 0)] if len(seqs) else 0, -1), "place": place}
+        return {k: np.append(v, -1 if k in ("ref", "by", "place") else 0) for k, v in out.items()}
 
-    image_ddl = f"{key_ddl}, seg bigint, ref bigint, s bigint, o bigint, q bigint, mult bigint, place bigint"
+    image_ddl = f"{key_ddl}, seg bigint, ref bigint, s bigint, o bigint, q bigint, mult bigint, by bigint, place bigint"
     replayed = stored(_grouped(rows.unionByName(markers), [*keys, "seg"], ["seq"], replay, image_ddl), "imagens")
 
     def compose(_: tuple, c: Columns) -> dict:
@@ -276,23 +276,23 @@ def positional_changes(changes: DataFrame, book: Sequence[str], seq: str, action
         for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(c["seg"])]):
             if lo:
                 n = len(now["s"])
-                out.append(np.stack([np.full(n, c["seg"][lo]), np.arange(n), now["s"], now["o"], now["q"], np.full(n, 2), np.full(n, -1)]))
+                out.append(np.stack([np.full(n, c["seg"][lo]), np.arange(n), now["s"], now["o"], now["q"], np.full(n, 2), np.full(n, -1), np.full(n, -1)]))
             lo += 1  # the row without a place, which sorts first
             ref, own = c["ref"][lo:hi], {k: c[k][lo:hi] for k in now}
             old = ref >= 0
             before = {k: v[np.where(old, ref, 0)] if len(v) else np.zeros(len(ref), np.int64) for k, v in now.items()}
             now = {k: np.where(old if k != "q" else old & (own["q"] == KEPT), before[k], own[k]) for k in now}
         n = len(now["s"])
-        out.append(np.stack([np.full(n, c["seg"][-1]), np.full(n, -1), now["s"], now["o"], now["q"], np.zeros(n, np.int64), np.arange(n)]))
-        return dict(zip(("seg", "ref", "s", "o", "q", "mult", "place"), np.concatenate(out, axis=1)))
+        out.append(np.stack([np.full(n, c["seg"][-1]), np.full(n, -1), now["s"], now["o"], now["q"], np.zeros(n, np.int64), np.full(n, -1), np.arange(n)]))
+        return dict(zip(("seg", "ref", "s", "o", "q", "mult", "by", "place"), np.concatenate(out, axis=1)))
 
     books = _grouped(replayed.where("mult = 0"), keys, ["seg", "place"], compose, image_ddl)
     images = replayed.where("mult <> 0")
     resolved = images.where("ref >= 0").alias("i").join(books.where("mult = 2").alias("b"), same("i", "b", "seg", "ref"))
-    resolved = resolved.select(*(F.col(f"i.{k}").alias(k) for k in keys), "i.seg", "i.ref", "b.s", "b.o", F.when(F.col("i.q") == KEPT, F.col("b.q")).otherwise(F.col("i.q")).alias("q"), "i.mult", "i.place")
+    resolved = resolved.select(*(F.col(f"i.{k}").alias(k) for k in keys), "i.seg", "i.ref", "b.s", "b.o", F.when(F.col("i.q") == KEPT, F.col("b.q")).otherwise(F.col("i.q")).alias("q"), "i.mult", "i.by", "i.place")
     signed = images.where("ref < 0").unionByName(resolved).unionByName(books.where("mult = 0"))
     known = lambda c, name: F.when(F.col(c) != NULL, F.col(c)).alias(name)
-    return signed.select(*(F.col(k).alias(b) for b, k in zip(book, keys)), F.col("s").alias("oferta_seq"), known("o", "offer_id"), known("q", "quantidade"), "mult", F.when(F.col("place") >= 0, F.col("place")).alias("place"))
+    return signed.select(*(F.col(k).alias(b) for b, k in zip(book, keys)), F.col("s").alias("oferta_seq"), known("o", "offer_id"), known("q", "quantidade"), "mult", F.when(F.col("by") >= 0, F.col("by")).alias("mudanca"), F.when(F.col("place") >= 0, F.col("place")).alias("place"))
 
 
 def book_at_close(changes: DataFrame, day: Sequence[str], side: str = "side", seq: str = "seq", received: str = "ts_recv_ns", segment: int = SEGMENT) -> DataFrame:

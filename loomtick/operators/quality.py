@@ -2,19 +2,39 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def parquet_ends(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """Every file below a folder with ``valid``: whether it begins and ends with the Parquet mark, and ``in_progress`` by its suffix."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
-    mark = F.encode(F.lit("PAR1"), "UTF-8")
-    size = F.length("content")
-    ok = (size >= 12) & (F.substring("content", 1, 4) == mark) & (F.expr("substring(content, -4, 4)") == mark)
-    return files.select("path", "length", "modificationTime", F.coalesce(ok, F.lit(False)).alias("valid"), F.col("path").rlike(r"\.(inprogress|compacting|tmp)$").alias("in_progress"))
+    """Every file below a folder with ``valid``: whether it begins and ends with the Parquet mark, and ``in_progress`` by its suffix.
+
+    The listing is Spark's; of each file only the first and last four bytes are read, however large it is. A file that
+    can't be opened is not valid.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder).select("path", "length", "modificationTime")
+
+    def ends(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.fs as fs
+
+        def whole(path: str, length: int) -> bool:
+            if length < 12:
+                return False
+            try:
+                system, name = fs.FileSystem.from_uri(path)
+                with system.open_input_file(name) as f:
+                    return f.read_at(4, 0) == b"PAR1" == f.read_at(4, length - 4)
+            except OSError:
+                return False
+
+        for pdf in batches:
+            yield pdf.assign(valid=[whole(p, n) for p, n in zip(pdf.path, pdf.length)])
+
+    seen = files.mapInPandas(ends, "path string, length bigint, modificationTime timestamp, valid boolean")
+    return seen.select("path", "length", "modificationTime", "valid", F.col("path").rlike(r"\.(inprogress|compacting|tmp)$").alias("in_progress"))
 
 
 def tolerant_scan(spark: SparkSession, folder: str, schema: str) -> tuple[DataFrame, DataFrame]:
@@ -28,11 +48,10 @@ def tolerant_scan(spark: SparkSession, folder: str, schema: str) -> tuple[DataFr
 def guarded_overwrite(new: DataFrame, path: str, partition: Sequence[str], least_share: float = 0.5, reason: str | None = None) -> None:
     """Overwrites the partitions that ``new`` holds, unless one would keep fewer than ``least_share`` of its rows; ``reason`` forces it."""
     spark = new.sparkSession
-    try:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)  # a table that can't be read is an error, not an empty one
+    if there and reason is None:
         old = spark.read.parquet(path)
-    except Exception:  # nothing there yet
-        old = None
-    if old is not None and reason is None:
         count = lambda df, name: df.groupBy(*partition).agg(F.count(F.lit(1)).alias(name))
         text = [F.col(p).cast("string").alias(p) for p in partition]
         both = count(new, "_new").select(*text, "_new").join(count(old, "_old").select(*text, "_old"), list(partition))

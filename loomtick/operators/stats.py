@@ -30,6 +30,14 @@ def welch_t(mean_a: Column, var_a: Column, n_a: Column, mean_b: Column, var_b: C
     return F.when((n_a >= 2) & (n_b >= 2) & (se > 1e-12), (mean_a - mean_b) / se)
 
 
+def verdict(folds: Column, n: Column, mean: Column, t: Column, consistency: Column, t_critical: Column, least_folds: int = 4, least: float = 0.7, power: float | None = 0.85) -> Column:
+    """``segue`` if the mean coefficient exceeds 2/√n, |t| over folds the critical value, and enough folds have one sign; without
+    enough folds or a t, or (with ``power``) if only stability is missing while that share of folds agrees: ``inconclusivo``; else ``descarta``."""
+    large, stable = F.abs(mean) >= 2 / F.sqrt(F.greatest(n, F.lit(1))), F.abs(t) >= t_critical
+    open_ = large & ~stable & (consistency >= power) if power is not None else F.lit(False)
+    return F.when((folds < least_folds) | t.isNull(), "inconclusivo").when(large & stable & (consistency >= least), "segue").when(open_, "inconclusivo").otherwise("descarta")
+
+
 def quantile_bucket(rows: DataFrame, keys: Sequence[str], x: str, n: int, name: str = "quintil") -> DataFrame:
     """Bins of equal count by the keys' own quantiles (linear interpolation), closed on the right, repeated edges dropped. NULLs have none."""
     shares = F.array(*(F.lit(i / n) for i in range(1, n)))

@@ -11,6 +11,14 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 _ORDER = ["ts_ns", "ts_recv_ns", "trade_id"]
 
+#: A fit ``ttl_ms`` for streams that never end: state that nothing has touched for two days belongs to a day that is over. Without
+#: it (None) state stays, as a replay that ends with its input needs no clock, and a clock would keep it from ending.
+TTL_MS = 2 * 86_400_000
+
+
+def _clock(ttl_ms: int | None) -> str:
+    return "none" if ttl_ms is None else "processingTime"
+
 
 def tape_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """A stream over stored tape files, with the schema they have."""
@@ -35,11 +43,12 @@ def run_once(stream: DataFrame, out: str, mode: str = "append", name: str = "par
 class _VolumeBars(StatefulProcessor):
     """One symbol and day: volume so far and the bar in formation; a bar leaves when the trade that completes it has come."""
 
-    def __init__(self, threshold: int) -> None:
+    def __init__(self, threshold: int, ttl_ms: int | None = None) -> None:
+        self.ttl_ms = ttl_ms
         self.threshold = threshold
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("bar", "cum bigint, open double, high double, low double, close double, volume bigint, n bigint, late bigint, last_ns bigint")
+        self.state = handle.getValueState("bar", "cum bigint, open double, high double, low double, close double, volume bigint, n bigint, late bigint, last_ns bigint", self.ttl_ms)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         batch = pd.concat(list(rows))
@@ -67,11 +76,11 @@ class _VolumeBars(StatefulProcessor):
         pass
 
 
-def live_volume_bars(stream: DataFrame, threshold: int) -> DataFrame:
+def live_volume_bars(stream: DataFrame, threshold: int, ttl_ms: int | None = None) -> DataFrame:
     """Closed volume bars as they complete, equal to the batch bars of an ordered feed. State: one row per symbol and day."""
     rows = stream.select("symbol", "dt", *_ORDER, "price", "quantidade", "trade_type")
     ddl = "symbol string, dt string, bar_id bigint, open double, high double, low double, close double, volume bigint, n_trades bigint, atrasadas bigint"
-    return rows.groupBy("symbol", "dt").transformWithStateInPandas(_VolumeBars(threshold), ddl, "append", "none")
+    return rows.groupBy("symbol", "dt").transformWithStateInPandas(_VolumeBars(threshold, ttl_ms), ddl, "append", _clock(ttl_ms))
 
 
 # ---- stateful: momentum with rest ------------------------------------------------------------------------------------
@@ -80,12 +89,13 @@ def live_volume_bars(stream: DataFrame, threshold: int) -> DataFrame:
 class _Momentum(StatefulProcessor):
     """One symbol and day: the prices of the last ``span`` ns and the last event kept."""
 
-    def __init__(self, span: int, limit: float, rest: int) -> None:
+    def __init__(self, span: int, limit: float, rest: int, ttl_ms: int | None = None) -> None:
+        self.ttl_ms = ttl_ms
         self.span, self.limit, self.rest = span, limit, rest
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.prices = handle.getListState("prices", "ts bigint, price double")
-        self.kept = handle.getValueState("kept", "ts bigint")
+        self.prices = handle.getListState("prices", "ts bigint, price double", self.ttl_ms)
+        self.kept = handle.getValueState("kept", "ts bigint", self.ttl_ms)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         batch = pd.concat(list(rows)).sort_values(_ORDER, kind="stable")
@@ -109,10 +119,10 @@ class _Momentum(StatefulProcessor):
         pass
 
 
-def live_momentum(stream: DataFrame, span_ns: int = 60_000_000_000, limit: float = 0.0005, rest_ns: int = 600_000_000_000) -> DataFrame:
+def live_momentum(stream: DataFrame, span_ns: int = 60_000_000_000, limit: float = 0.0005, rest_ns: int = 600_000_000_000, ttl_ms: int | None = None) -> DataFrame:
     """Events where the price moved by at least ``limit`` against the last one a span ago, with a rest after each kept event."""
     rows = stream.select("symbol", "dt", *_ORDER, "price")
-    return rows.groupBy("symbol", "dt").transformWithStateInPandas(_Momentum(span_ns, limit, rest_ns), "symbol string, dt string, ts_ns bigint, price double, movimento double", "append", "none")
+    return rows.groupBy("symbol", "dt").transformWithStateInPandas(_Momentum(span_ns, limit, rest_ns, ttl_ms), "symbol string, dt string, ts_ns bigint, price double, movimento double", "append", _clock(ttl_ms))
 
 
 # ---- stateful: a condition that lasts --------------------------------------------------------------------------------
@@ -121,11 +131,12 @@ def live_momentum(stream: DataFrame, span_ns: int = 60_000_000_000, limit: float
 class _Lasting(StatefulProcessor):
     """One key: since when the condition has held, and whether this run has fired."""
 
-    def __init__(self, at_least: int) -> None:
+    def __init__(self, at_least: int, ttl_ms: int | None = None) -> None:
+        self.ttl_ms = ttl_ms
         self.at_least = at_least
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.run = handle.getValueState("run", "since bigint, fired boolean")
+        self.run = handle.getValueState("run", "since bigint, fired boolean", self.ttl_ms)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         batch = pd.concat(list(rows)).sort_values(["at", "seq"], kind="stable")
@@ -146,10 +157,10 @@ class _Lasting(StatefulProcessor):
         pass
 
 
-def live_lasting(stream: DataFrame, at: str, seq: str, condition: str, at_least_ns: int) -> DataFrame:
+def live_lasting(stream: DataFrame, at: str, seq: str, condition: str, at_least_ns: int, ttl_ms: int | None = None) -> DataFrame:
     """Fires once per run of rows on which ``condition`` (SQL; NULL is false) has held for at least ``at_least_ns``, at the first row that shows it."""
     rows = stream.select("symbol", F.col(at).alias("at"), F.col(seq).alias("seq"), F.coalesce(F.expr(condition), F.lit(False)).alias("holds"))
-    return rows.groupBy("symbol").transformWithStateInPandas(_Lasting(at_least_ns), "symbol string, desde bigint, disparo bigint", "append", "none")
+    return rows.groupBy("symbol").transformWithStateInPandas(_Lasting(at_least_ns, ttl_ms), "symbol string, desde bigint, disparo bigint", "append", _clock(ttl_ms))
 
 
 # ---- declarative ------------------------------------------------------------------------------------------------------
@@ -168,9 +179,10 @@ def live_time_bars(stream: DataFrame, period: str = "5 minutes", lateness: str =
     return bars.select("symbol", F.unix_micros("window.start").alias("inicio_us"), "open", "high", "low", "close", "volume", "n_trades")
 
 
-def live_vwap(stream: DataFrame) -> DataFrame:
-    """Each symbol and day's VWAP so far (update or complete mode); sums are the whole state."""
-    sums = stream.groupBy("symbol", "dt").agg(F.sum(F.col("price") * F.col("quantidade")).alias("_pq"), F.sum("quantidade").alias("volume"))
+def live_vwap(stream: DataFrame, lateness: str = "1 hour") -> DataFrame:
+    """Each symbol and day's VWAP so far (update mode; in append mode once the day is over). A day's sums leave the state when the watermark passes it."""
+    rows = with_event_time(stream, lateness)
+    sums = rows.groupBy("symbol", "dt", F.window("evento", "1 day")).agg(F.sum(F.col("price") * F.col("quantidade")).alias("_pq"), F.sum("quantidade").alias("volume"))
     return sums.select("symbol", "dt", (F.col("_pq") / F.col("volume")).alias("vwap"), "volume")
 
 
