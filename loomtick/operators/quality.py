@@ -37,6 +37,50 @@ def parquet_ends(spark: SparkSession, folder: str, pattern: str = "*") -> DataFr
     return seen.select("path", "length", "modificationTime", "valid", F.col("path").rlike(r"\.(inprogress|compacting|tmp)$").alias("in_progress"))
 
 
+def footers(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] = ()) -> DataFrame:
+    """What the footers of Parquet files say, read file by file on the executors, no rows: one row per file and column.
+
+    ``path``, ``bytes``, ``linhas``, ``grupos`` and, for each integer column of ``columns`` that the file has, ``coluna``, ``menor``,
+    ``maior`` and ``nulos`` over its row groups (NULL where a group has no statistics); without such a column one row of
+    NULLs. A file whose footer can't be read has NULL ``linhas``.
+    """
+    listed = None
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        glob = at.getName() if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isFile() else "*.parquet"
+        one = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path).select("path", "length")
+        listed = one if listed is None else listed.unionByName(one)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow as pa
+        import pyarrow.fs as fs
+        import pyarrow.parquet as pq
+
+        def of(path: str, length: int) -> Iterator[tuple]:
+            try:
+                system, name = fs.FileSystem.from_uri(path)
+                with system.open_input_file(name) as f:
+                    meta = pq.read_metadata(f)
+            except (OSError, pa.ArrowInvalid):
+                yield path, length, None, None, None, None, None, None
+                return
+            groups = [meta.row_group(g) for g in range(meta.num_row_groups)]
+            place = {meta.schema.column(i).path: i for i in range(len(meta.schema.names))}
+            mine = [c for c in columns if c in place]
+            for c in mine or [None]:
+                stats = [g.column(place[c]).statistics for g in groups] if c else []
+                full = bool(stats) and all(x is not None and (x.has_min_max or x.null_count == g.num_rows) and x.has_null_count for x, g in zip(stats, groups))
+                ends = [x for x in stats if x is not None and x.has_min_max]
+                yield path, length, meta.num_rows, meta.num_row_groups, c, min(x.min for x in ends) if full and ends else None, max(x.max for x in ends) if full and ends else None, sum(x.null_count for x in stats) if full else None
+
+        for pdf in batches:
+            rows = [r for p, n in zip(pdf.path, pdf.length) for r in of(p, n)]
+            out = pd.DataFrame(rows, columns=["path", "bytes", "linhas", "grupos", "coluna", "menor", "maior", "nulos"])
+            yield out.astype({c: "Int64" for c in ("bytes", "linhas", "grupos", "menor", "maior", "nulos")})
+
+    return listed.mapInPandas(read, "path string, bytes bigint, linhas bigint, grupos bigint, coluna string, menor bigint, maior bigint, nulos bigint")
+
+
 def tolerant_scan(spark: SparkSession, folder: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """The readable rows below a folder, and the files of which no row came (corrupt or empty)."""
     rows = spark.read.schema(schema).option("ignoreCorruptFiles", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(folder)

@@ -91,3 +91,54 @@ def test_band_scalp_goes_on_over_days_after_a_warm_up(spark):
         bars = [("A", "2026-01-05", i, 100.0, 101.0, 99.0, 100.0) for i in range(9)]
         bars += [("A", "2026-01-06", i, *b) for i, b in enumerate([(100.0, 101.0, 99.0, 100.0)] * before + up)]
         assert band_scalp(spark.createDataFrame(bars, kinds)).count() == entries
+
+
+def test_footers_of_readable_and_broken_files(spark, tmp_path):
+    from loomtick.operators.quality import footers, parquet_ends
+
+    spark.createDataFrame([(i if i else None, "x") for i in range(5)], "v bigint, s string").coalesce(1).write.parquet(f"{tmp_path}/t")
+    spark.createDataFrame([], "v bigint, s string").coalesce(1).write.parquet(f"{tmp_path}/empty")
+    (tmp_path / "t" / "broken.parquet").write_bytes(b"PAR1 no footer PAR1")
+    (tmp_path / "t" / "cut.parquet").write_bytes(b"PAR1 cut off")
+    rows = footers(spark, [f"{tmp_path}/t", f"{tmp_path}/empty"], ["v", "w"]).collect()
+    good = [r for r in rows if r.linhas]
+    assert [(r.linhas, r.coluna, r.menor, r.maior, r.nulos) for r in good] == [(5, "v", 1, 4, 1)]
+    assert sorted(r.path.rsplit("/", 1)[1] for r in rows if r.linhas is None) == ["broken.parquet", "cut.parquet"]
+    ends = {r.path.rsplit("/", 1)[1]: r.valid for r in parquet_ends(spark, f"{tmp_path}/t", "*.parquet").collect()}
+    assert ends["broken.parquet"] and not ends["cut.parquet"] and sum(ends.values()) == 2
+
+
+def test_derived_tables_are_cached_by_their_signature(spark, tmp_path):
+    from loomtick.session import cached
+
+    spark.range(3).write.parquet(f"{tmp_path}/in")
+    made = lambda version="1", k=2: cached(spark.read.parquet(f"{tmp_path}/in").selectExpr(f"id * {k} AS x"), "dobro", version, f"file://{tmp_path}")
+    first = made().inputFiles()
+    assert made().inputFiles() == first and sorted(r.x for r in made().collect()) == [0, 2, 4]
+    assert made("2").inputFiles() != first and made(k=3).inputFiles() != first
+    spark.range(3, 4).write.mode("append").parquet(f"{tmp_path}/in")
+    assert made().inputFiles() != first and made().count() == 4
+
+
+def test_a_guarded_overwrite_does_not_mistake_a_broken_table_for_none(spark, tmp_path):
+    from loomtick.operators.quality import guarded_overwrite
+
+    df = spark.createDataFrame([("a", i) for i in range(4)], "p string, v bigint")
+    guarded_overwrite(df, f"{tmp_path}/t", ["p"])
+    with pytest.raises(ValueError):
+        guarded_overwrite(df.limit(1), f"{tmp_path}/t", ["p"])
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.parquet").write_bytes(b"nothing")
+    with pytest.raises(Exception):  # noqa: B017
+        guarded_overwrite(df, f"{tmp_path}/bad", ["p"])
+    assert (tmp_path / "bad" / "x.parquet").exists()
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from loomtick.session import shared_root
+
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        shared_root(far)
