@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import threading
+from collections.abc import Callable, Iterator, Mapping
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -198,6 +200,113 @@ def single_delivery(stream: DataFrame, lateness: str = "1 hour") -> DataFrame:
     return with_event_time(stream, lateness).dropDuplicatesWithinWatermark(["symbol", "dt", "trade_id"]).drop("evento")
 
 
+def fan_out(stream: DataFrame, out: str, consumers: Callable[[], Mapping[str, Callable[[DataFrame], DataFrame]]]) -> None:
+    """One feed to several consumers: each micro-batch is read once and every consumer's rows are written to ``out/<name>``.
+
+    ``consumers`` is asked at every micro-batch, so one that is added sees the feed from then on and one that is removed
+    sees no more. A consumer's files are named by the micro-batch, so a retry replaces them; an error of one stops the query,
+    as dropping its rows without a word would be worse.
+    """
+
+    def write(df: DataFrame, batch: int) -> None:
+        held = df.persist()
+        try:
+            for name, consume in sorted(consumers().items()):
+                consume(held).write.mode("overwrite").parquet(f"{out}/{name}/lote={batch:08d}")
+        finally:
+            held.unpersist()
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+
+
+class SlotBoard:
+    """One owner per key at a time: who asks first holds a key until it is released; asking again by the owner is fine."""
+
+    def __init__(self) -> None:
+        self._held: dict[str, str] = {}
+        self._lock = threading.Lock()
+
+    def take(self, key: str, owner: str) -> bool:
+        with self._lock:
+            return self._held.setdefault(key, owner) == owner
+
+    def release(self, key: str, owner: str) -> bool:
+        with self._lock:
+            mine = self._held.get(key) == owner
+            if mine:
+                del self._held[key]
+            return mine
+
+
+def conserved(received: DataFrame, *parts: DataFrame) -> DataFrame:
+    """Whether what was received is what was written: rows on one side and the sum over the parts, and ``conservado``."""
+    n = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    total = reduce(DataFrame.unionByName, [n(p, "escritas") for p in parts]).agg(F.sum("escritas").alias("escritas"))
+    both = n(received, "recebidas").crossJoin(F.broadcast(total))  # one row each
+    return both.withColumn("conservado", F.col("recebidas") == F.col("escritas"))
+
+
+# ---- stateful: day profile and bars that close by the clock -------------------------------------------------------------
+
+
+def live_profile(stream: DataFrame, bin_size: float, lateness: str = "1 hour") -> DataFrame:
+    """Volume by price bin of each symbol and day so far: total, aggressor buys and sells. A day leaves the state with the watermark."""
+    rows = with_event_time(stream, lateness).withColumn("faixa", F.floor(F.col("price") / bin_size) * bin_size)
+    side = lambda k: F.sum(F.when(F.col("trade_type") == k, F.col("quantidade")).otherwise(0))
+    p = rows.groupBy("symbol", "dt", F.window("evento", "1 day"), "faixa").agg(F.sum("quantidade").alias("volume"), side(2).alias("compra"), side(3).alias("venda"))
+    return p.drop("window")
+
+
+class _ClockBars(StatefulProcessor):
+    """One symbol: the bar in formation; it leaves with the first trade of a later bucket, or when event time passes its end."""
+
+    def __init__(self, period_ms: int) -> None:
+        self.period = period_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.bar = handle.getValueState("bar", "bucket bigint, open double, high double, low double, close double, volume bigint")
+
+    def _frame(self, rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=["symbol", "bucket", "open", "high", "low", "close", "volume", "pelo_relogio"])
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        batch = pd.concat(list(rows)).sort_values(_ORDER, kind="stable")
+        bar = self.bar.get() if self.bar.exists() else None
+        out = []
+        for ts, price, quantity in zip(batch.ts_ns.tolist(), batch.price.tolist(), batch.quantidade.tolist()):
+            bucket = ts // 1_000_000 // self.period
+            if bar is not None and bucket > bar[0]:
+                out.append((*key, *bar, False))
+                bar = None
+            if bar is None:
+                bar = (bucket, price, price, price, price, quantity)
+            else:
+                bar = (bar[0], bar[1], max(bar[2], price), min(bar[3], price), price, bar[5] + quantity)
+        self.bar.update(bar)
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer((bar[0] + 1) * self.period)
+        yield self._frame(out)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        if self.bar.exists():
+            bar = self.bar.get()
+            self.bar.clear()
+            yield self._frame([(*key, *bar, True)])
+
+    def close(self) -> None:
+        pass
+
+
+def live_clock_bars(stream: DataFrame, period_ms: int = 300_000, lateness: str = "0 seconds") -> DataFrame:
+    """Bars that close by a later trade of their symbol, or by the clock of the whole feed when the symbol is silent (``pelo_relogio``): a
+    timer fires once the watermark passes the bar's end. A trade that comes after its bar left starts a bar of its own."""
+    rows = with_event_time(stream, lateness).where("trade_type in (2, 3)").select("symbol", *_ORDER, "price", "quantidade", "evento")
+    ddl = "symbol string, bucket bigint, open double, high double, low double, close double, volume bigint, pelo_relogio boolean"
+    return rows.groupBy("symbol").transformWithStateInPandas(_ClockBars(period_ms), ddl, "append", "eventTime")
+
+
 def partitioned_ingest(stream: DataFrame, out: str) -> None:
     """Writes raw rows to ``bruto/dt=/sym=``, and rows of earlier days than their arrival's to ``quarentena``; none is dropped.
 
