@@ -229,6 +229,8 @@ def positional_changes(changes: DataFrame, book: Sequence[str], seq: str, action
         )
     )
 
+    rows = stored(rows, "mudancas")  # three stages read them; reducing copies is done once
+
     def same(left: str, right: str, *more: str) -> Column:
         on = [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys] + [F.col(f"{left}.{c}") == F.col(f"{right}.{c}") for c in more]
         return reduce(Column.__and__, on)
