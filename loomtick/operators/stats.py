@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -67,3 +69,16 @@ def value_at_risk(rows: DataFrame, keys: Sequence[str], pnl: str, level: float =
     """Realised VaR (percentile) and expected shortfall (mean at or below it)."""
     q = rows.groupBy(*keys).agg(F.percentile(pnl, F.lit(level)).alias("var"))
     return rows.join(q, list(keys)).groupBy(*keys).agg(F.first("var").alias("var"), F.avg(F.when(F.col(pnl) <= F.col("var"), F.col(pnl))).alias("es"), F.count(F.lit(1)).alias("n"))
+
+
+def combine_samples(parts: Sequence[tuple[dict, DataFrame]]) -> DataFrame:
+    """The union of samples made by one and the same specification: each part brings its own (any JSON-like dict), and different
+    hashes refuse the union. Adds ``amostra`` (from 1, in order) and ``especificacao`` (the hash). No parts: an error."""
+    hashes = [hashlib.sha256(json.dumps(spec, sort_keys=True, default=str).encode()).hexdigest() for spec, _ in parts]
+    if len(set(hashes)) != 1:
+        raise ValueError(f"{len(set(hashes))} specifications in {len(parts)} samples: {sorted(set(hashes))}")
+    out = None
+    for i, (_, df) in enumerate(parts, 1):
+        one = df.withColumns({"amostra": F.lit(i), "especificacao": F.lit(hashes[0])})
+        out = one if out is None else out.unionByName(one)
+    return out

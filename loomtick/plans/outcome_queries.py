@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import nearest_wednesday
 from ..operators.asof import asof_backward, first_hit, range_join
 from ..operators.bars import SLICE_NS, infer_tick
+from ..operators.fold import greedy_keep
 from ..operators.quotes import crossed_episodes, top_of_book
 from ..operators.stats import welch_t
 from ..operators.tape import is_aggressor
@@ -16,7 +17,8 @@ from ..sources.tables import table
 from .registry import SQL_SYMBOL, SQL_TAPE, Registry, quotes, r6, tape, tape_once
 from .research_queries import _M5, ORACLES as RESEARCH_SQL
 from .research_queries import SQL_FLOW, SQL_TOP, by_bar, flow, ignitions, l06_lead_lag, resolved
-from .tape_queries import _BIG, _M1W, _P, MINUTE, SQL_M1, big_buys, in_minutes, m1
+from .tape_queries import _BIG, _M1W, _P, MINUTE, ORACLES as TAPE_SQL
+from .tape_queries import SQL_M1, big_buys, h06_local_date, in_minutes, m1
 
 R = Registry()
 _S = 1_000_000_000
@@ -133,6 +135,71 @@ def l24b_regimes(spark, d):
     return u.join(w, "symbol").groupBy("symbol", (F.col("x") > F.col("mx")).alias("varejo_alto"), (F.col("z") > F.col("mz")).alias("livro_comprado")).agg(F.count(F.lit(1)).alias("n"), r6(F.avg("ret"), 9).alias("media"))
 
 
+_BARRIER = {"jump": 0.3, "share": 0.5, "rest": 30, "span": 60, "cost": 0.01}
+
+
+@R.add(f"""WITH RECURSIVE {SQL_M1}, h AS (SELECT symbol, dt, minuto // 60 AS b, max(high) - min(low) AS a FROM m1 GROUP BY ALL), dia AS (SELECT symbol, dt, median(a) AS a FROM h GROUP BY ALL), am AS (SELECT symbol, dt, round(quantile_cont(a, 0.5) OVER (PARTITION BY symbol ORDER BY dt ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING), 9) AS a FROM dia),
+j AS (SELECT symbol, dt, minuto, close, round(close - lag(close) OVER ({_M1W}), 9) AS mov, minuto - lag(minuto) OVER ({_M1W}) AS passo FROM m1), c AS (SELECT j.*, am.a FROM j JOIN am USING (symbol, dt) WHERE passo = 1 AND am.a > 0 AND abs(mov) >= {_BARRIER['jump']}::double * am.a - 1e-9),
+r AS (SELECT symbol, dt, min(minuto) AS minuto FROM c GROUP BY ALL UNION ALL SELECT r.symbol, r.dt, min(c.minuto) FROM r JOIN c ON c.symbol = r.symbol AND c.dt = r.dt AND c.minuto >= r.minuto + {_BARRIER['rest']} GROUP BY r.symbol, r.dt),
+e AS (SELECT c.*, sign(mov)::bigint AS lado, {_BARRIER['share']}::double * c.a AS b FROM r JOIN c USING (symbol, dt, minuto)),
+t AS (SELECT e.symbol, e.dt, e.minuto, min({{'m': f.minuto, 'alvo': CASE WHEN lado > 0 THEN round(f.high - e.close, 9) ELSE round(e.close - f.low, 9) END >= b - 1e-9, 'stop': CASE WHEN lado > 0 THEN round(e.close - f.low, 9) ELSE round(f.high - e.close, 9) END >= b - 1e-9}}) AS x FROM e JOIN m1 f ON f.symbol = e.symbol AND f.dt = e.dt AND f.minuto > e.minuto AND f.minuto <= e.minuto + {_BARRIER['span']}
+  WHERE greatest(round(f.high - e.close, 9), round(e.close - f.low, 9)) >= b - 1e-9 GROUP BY ALL)
+SELECT symbol, dt, minuto, lado, round(mov, 6) AS movimento, round(b, 6) AS barreira, CASE WHEN x IS NULL THEN 'sem_decisao' WHEN x['alvo'] AND x['stop'] THEN 'ambiguo' WHEN x['alvo'] THEN 'alvo' ELSE 'stop' END AS desfecho, x['m'] - minuto AS minutos, round((b + {_BARRIER['cost']}) / (2 * b), 6) AS p_equilibrio FROM e LEFT JOIN t USING (symbol, dt, minuto)""")
+def l04b_minute_ignitions(spark, d):
+    """Jumps between neighbouring minutes of at least 0.3 of A (the median over up to 20 previous days of their median range of an hour), half an
+    hour of rest, which side of ±A/2 the next hour meets first, and the hit rate that pays for the cost."""
+    bars, by_day = m1(spark, d), Window.partitionBy("symbol").orderBy("dt").rowsBetween(-20, -1)
+    hour = bars.groupBy("symbol", "dt", F.expr("minuto div 60").alias("h")).agg((F.max("high") - F.min("low")).alias("a"))
+    am = hour.groupBy("symbol", "dt").agg(F.median("a").alias("a")).select("symbol", "dt", F.round(F.percentile("a", F.lit(0.5)).over(by_day), 9).alias("a"))
+    w = in_minutes()
+    j = bars.select("symbol", "dt", "minuto", "close", F.round(F.col("close") - F.lag("close").over(w), 9).alias("mov"), (F.col("minuto") - F.lag("minuto").over(w)).alias("passo")).where("passo = 1")
+    e = j.join(am, ["symbol", "dt"]).where((F.col("a") > 0) & (F.abs("mov") >= _BARRIER["jump"] * F.col("a") - 1e-9))
+    e = greedy_keep(e, ["symbol", "dt"], "minuto", _BARRIER["rest"]).withColumns({"lado": F.signum("mov").cast("bigint"), "b": _BARRIER["share"] * F.col("a")})
+    met = range_join(e, bars.select("symbol", "dt", "minuto", F.col("high").alias("h"), F.col("low").alias("l")), ["symbol", "dt"], "minuto", "minuto", _BARRIER["span"], ["h", "l"])
+    up, down, b = F.round(F.col("h") - F.col("close"), 9), F.round(F.col("close") - F.col("l"), 9), F.col("b") - 1e-9
+    buy = F.col("lado") > 0
+    touch = F.struct(F.col("_at").alias("m"), (F.when(buy, up).otherwise(down) >= b).alias("alvo"), (F.when(buy, down).otherwise(up) >= b).alias("stop"))
+    x = met.where(F.greatest(up, down) >= b).groupBy("symbol", "dt", "minuto").agg(F.min(touch).alias("x"))
+    kind = F.when(F.col("x").isNull(), "sem_decisao").when(F.col("x.alvo") & F.col("x.stop"), "ambiguo").when(F.col("x.alvo"), "alvo").otherwise("stop")
+    out = e.join(x, ["symbol", "dt", "minuto"], "left")
+    return out.select("symbol", "dt", "minuto", "lado", r6("mov").alias("movimento"), r6("b").alias("barreira"), kind.alias("desfecho"), (F.col("x.m") - F.col("minuto")).alias("minutos"), r6((F.col("b") + _BARRIER["cost"]) / (2 * F.col("b"))).alias("p_equilibrio"))
+
+
+_TF = (5, 15, 30)
+
+
+@R.add(f"WITH {SQL_M1}, " + ", ".join(f"k{k} AS (SELECT symbol, dt, (minuto // {k} + 1) * {k} AS fim, arg_max(close, minuto) > arg_min(open, minuto) AS sobe FROM m1 GROUP BY symbol, dt, minuto // {k})" for k in _TF) + ", s AS (SELECT symbol, dt, minuto FROM m1 WHERE close > open), " + ", ".join(f"j{k} AS (SELECT p.*, coalesce(k{k}.sobe, false) AS s{k} FROM {'s' if i == 0 else f'j{_TF[i - 1]}'} p ASOF LEFT JOIN k{k} ON k{k}.symbol = p.symbol AND k{k}.dt = p.dt AND p.minuto >= k{k}.fim)" for i, k in enumerate(_TF)) + f" SELECT symbol, count(*) AS sinais, " + ", ".join(f"count(*) FILTER (WHERE {' AND '.join(f's{x}' for x in _TF[: i + 1])}) AS passa_{k}" for i, k in enumerate(_TF)) + ", count(DISTINCT dt) AS dias FROM j30 GROUP BY symbol")
+def l15b_timeframe_funnel(spark, d):
+    """Rising minutes of which the last *closed* bars of 5, then 15, then 30 minutes rose as well: survivors, one filter after the other."""
+    bars = m1(spark, d)
+    s, kept = bars.where("close > open").select("symbol", "dt", "minuto"), F.lit(True)
+    aggs = [F.count(F.lit(1)).alias("sinais")]
+    for k in _TF:
+        b = bars.groupBy("symbol", "dt", F.expr(f"(minuto div {k} + 1) * {k}").alias("_e")).agg((F.max_by("close", "minuto") > F.min_by("open", "minuto")).alias(f"s{k}"))
+        s = asof_backward(s, b.withColumnRenamed("_e", "minuto"), ["symbol", "dt"], "minuto", [f"s{k}"])
+        kept = kept & F.coalesce(F.col(f"s{k}"), F.lit(False))
+        aggs.append(F.count_if(kept).alias(f"passa_{k}"))
+    return s.groupBy("symbol").agg(*aggs, F.count_distinct("dt").alias("dias"))
+
+
+_COVER = lambda x, shift: f"(floor({x} + 0.2 - {shift}) * 0.4 + least({x} + 0.2 - {shift} - floor({x} + 0.2 - {shift}), 0.4))"
+
+
+@R.add(f"""WITH {SQL_TAPE}, f AS (SELECT symbol, dt, price, quantidade, round(abs(price - round_even(price, 0)), 6) <= 0.2 AS s, round(abs(price - 0.5 - round_even(price - 0.5, 0)), 6) <= 0.2 AS p FROM tape),
+g AS (SELECT symbol, dt, sum(quantidade)::bigint AS volume, coalesce(sum(quantidade) FILTER (WHERE s), 0) / sum(quantidade) AS vs, coalesce(sum(quantidade) FILTER (WHERE p), 0) / sum(quantidade) AS vp, min(price) AS lo, max(price) AS hi FROM f GROUP BY ALL)
+SELECT symbol, dt, volume, round(vs, 6) AS no_strike, round(vp, 6) AS no_placebo, round(({_COVER('hi', 0)} - {_COVER('lo', 0)}) / (hi - lo), 6) AS cobertura_strike, round(({_COVER('hi', 0.5)} - {_COVER('lo', 0.5)}) / (hi - lo), 6) AS cobertura_placebo FROM g WHERE hi - lo >= 1.0""")
+def l23b_strike_magnetism(spark, d):
+    """Volume within a fifth of the spacing of whole prices against that of the points midway, with the share of the day's range that either kind
+    of band covers: only like coverage makes the comparison fair. Days that span less than one spacing are left out."""
+    price = F.col("price")
+    near = lambda shift: F.round(F.abs(price - shift - F.bround(price - shift, 0)), 6) <= 0.2
+    q = F.col("quantidade")
+    share = lambda on: F.sum(F.when(on, q).otherwise(0)) / F.sum(q)
+    g = tape(spark, d).groupBy("symbol", "dt").agg(F.sum("quantidade").alias("volume"), share(near(0.0)).alias("vs"), share(near(0.5)).alias("vp"), F.min("price").alias("lo"), F.max("price").alias("hi")).where("hi - lo >= 1.0")
+    cover = lambda shift: F.expr(f"({_COVER('hi', shift)} - {_COVER('lo', shift)}) / (hi - lo)")
+    return g.select("symbol", "dt", "volume", r6("vs").alias("no_strike"), r6("vp").alias("no_placebo"), r6(cover(0)).alias("cobertura_strike"), r6(cover(0.5)).alias("cobertura_placebo"))
+
+
 # ---- M, O: tests ---------------------------------------------------------------------------------------------------------
 
 _GRID = (0.01, 0.02, 0.05)
@@ -198,6 +265,39 @@ def o17_series_validation(spark, d):
     return a.select("dt", "n", r6("c", 5).alias("pearson"), r6("s").alias("mesmo_sinal"), F.coalesce((F.col("c") >= 0.4) & (F.col("s") >= 0.5), F.lit(False)).alias("validada"))
 
 
+_NOTICE = "ts_base_ns + round((t_mono - t_mono_base) * 1e9)::bigint"
+
+
+@R.add(f"""WITH {SQL_TAPE}, {_P}, o AS (SELECT ev_id, upper(trim(ticker)) AS symbol, s.dt, {_NOTICE} AS em, {_NOTICE} - {2 * _S} AS antes, CASE lado WHEN 1 THEN 1 ELSE -1 END AS sinal, preco, preco_medio, executada FROM evento_ordem JOIN sessoes s USING (sessao_id) WHERE executada > 0 AND lado IN (1, 2) AND preco > 0 AND preco_medio > 0),
+a AS (SELECT o.*, p.w['p'] AS agora FROM o ASOF JOIN p ON p.symbol = o.symbol AND p.dt = o.dt AND o.em >= p.ts_ns), b AS (SELECT a.*, p.w['p'] AS atras FROM a ASOF JOIN p ON p.symbol = a.symbol AND p.dt = a.dt AND a.antes >= p.ts_ns)
+SELECT symbol, count(*) AS n, round(avg(sinal * (preco_medio - preco)), 6) + 0.0 AS escorregamento, round(avg(sinal * (agora - atras)), 6) + 0.0 AS custo_do_atraso, round(avg(sinal * (preco_medio - agora)), 6) + 0.0 AS residuo FROM b GROUP BY symbol""")
+def m17b_attribution(spark, d):
+    """Executed orders: slip against their own price, what two seconds of delay would have cost by the tape, and what is left against the tape's price of the moment."""
+    e = table(spark, d, "evento_ordem", "ev_id", "ticker", "sessao_id", "t_mono", "lado", "preco", "preco_medio", "executada").where("executada > 0 and lado in (1, 2) and preco > 0 and preco_medio > 0")
+    at = F.col("ts_base_ns") + F.round((F.col("t_mono") - F.col("t_mono_base")) * 1e9).cast("bigint")
+    o = e.join(table(spark, d, "sessoes", "sessao_id", "dt", "t_mono_base", "ts_base_ns"), "sessao_id").select("ev_id", F.col("ticker").alias("symbol"), "dt", at.alias("ts_ns"), F.when(F.col("lado") == 1, 1).otherwise(-1).alias("sinal"), "preco", "preco_medio")
+    path = tape_once(spark, d).select("symbol", "dt", "ts_ns", "ts_recv_ns", F.col("trade_id").alias("_id"), F.col("price").alias("agora"))
+    o = asof_backward(o, path, ["symbol", "dt"], "ts_ns", ["agora"], tie=["ts_recv_ns", "_id"], slice_size=SLICE_NS).withColumn("ts_ns", F.col("ts_ns") - 2 * _S)
+    o = asof_backward(o, path.withColumnRenamed("agora", "atras"), ["symbol", "dt"], "ts_ns", ["atras"], tie=["ts_recv_ns", "_id"], slice_size=SLICE_NS).where("agora is not null and atras is not null")
+    mean = lambda a, b: r6(F.avg(F.col("sinal") * (F.col(a) - F.col(b))))
+    return o.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), mean("preco_medio", "preco").alias("escorregamento"), mean("agora", "atras").alias("custo_do_atraso"), mean("preco_medio", "agora").alias("residuo"))
+
+
+@R.add(f"""WITH h AS ({TAPE_SQL['h06_local_date']}), o AS (SELECT upper(trim(status)) AS situacao, e.*, h.utc_us, ({_NOTICE}) // 1000 AS em_us FROM evento_ordem e JOIN h USING (ev_id) LEFT JOIN sessoes s USING (sessao_id)),
+x AS (SELECT situacao, CASE WHEN executada > 0 AND preco > 0 AND preco_medio > 0 AND lado IN (1, 2) THEN round(CASE WHEN lado = 1 THEN preco_medio - preco ELSE preco - preco_medio END, 6) END AS slip, CASE WHEN utc_us > 0 THEN (em_us - utc_us)::double END AS lat FROM o)
+SELECT situacao, count(*) AS n, count(slip) AS com_preco, {", ".join(f"round(quantile_cont(slip, {q}), 6) + 0.0 AS slip_p{int(100 * q)}, round(quantile_cont(lat, {q}) / 1e3, 3) + 0.0 AS atraso_p{int(100 * q)}_ms" for q in (0.5, 0.9))} FROM x GROUP BY situacao""")
+def mk13_order_diary_quantiles(spark, d):
+    """By state of the order: how many, and quantiles of slippage and of the delay between an order's own clock and its notice."""
+    e = table(spark, d, "evento_ordem", "ev_id", "sessao_id", "t_mono", "lado", "status", "executada", "preco", "preco_medio")
+    e = e.join(h06_local_date(spark, d), "ev_id").join(table(spark, d, "sessoes", "sessao_id", "t_mono_base", "ts_base_ns"), "sessao_id", "left")
+    em = F.expr("(ts_base_ns + cast(round((t_mono - t_mono_base) * 1e9) AS bigint)) div 1000")
+    buy = F.col("lado") == 1
+    slip = F.when(F.expr("executada > 0 and preco > 0 and preco_medio > 0 and lado in (1, 2)"), F.round(F.when(buy, F.col("preco_medio") - F.col("preco")).otherwise(F.col("preco") - F.col("preco_medio")), 6))
+    x = e.select(F.upper(F.trim("status")).alias("situacao"), slip.alias("slip"), F.when(F.col("utc_us") > 0, (em - F.col("utc_us")).cast("double")).alias("lat"))
+    q = [c for p in (0.5, 0.9) for c in (r6(F.percentile("slip", F.lit(p))).alias(f"slip_p{int(100 * p)}"), r6(F.percentile("lat", F.lit(p)) / 1e3, 3).alias(f"atraso_p{int(100 * p)}_ms"))]
+    return x.groupBy("situacao").agg(F.count(F.lit(1)).alias("n"), F.count("slip").alias("com_preco"), *q)
+
+
 # ---- P, S: inventories -----------------------------------------------------------------------------------------------------
 
 _WED = "(make_date(year(x), month(x), 15) + ((3 - isodow(make_date(year(x), month(x), 15)) + 10) % 7 - 3)::int)"

@@ -7,7 +7,7 @@ from loomtick.operators.book import level_events, refill_chains
 from loomtick.operators.fold import by_series, ema, seeded_ema
 from loomtick.operators.replay import leg_exits, limit_fills, one_to_one, passive_fill, remaining_after_touch
 from loomtick.operators.series import fold_series
-from loomtick.operators.stats import verdict
+from loomtick.operators.stats import combine_samples, verdict
 
 S = 10**9
 ORDERS = "s string, i bigint, lado bigint, limite double, em bigint, price string"
@@ -91,6 +91,15 @@ def test_verdicts(spark):
     assert out == ["inconclusivo", "segue", "descarta", "inconclusivo", "descarta", "descarta", "inconclusivo"]
 
 
+def test_samples_of_one_specification_are_combined(spark):
+    df = lambda n: spark.range(n).toDF("x")
+    out = combine_samples([({"a": 1, "b": [2]}, df(2)), ({"b": [2], "a": 1}, df(3))])
+    assert {r.amostra: r["count"] for r in out.groupBy("amostra").count().collect()} == {1: 2, 2: 3} and out.select("especificacao").distinct().count() == 1
+    for parts in ([({"a": 1}, df(1)), ({"a": 2}, df(1))], []):
+        with pytest.raises(ValueError):
+            combine_samples(parts)
+
+
 def test_folds_keep_other_columns_and_span_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
     try:
