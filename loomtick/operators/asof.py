@@ -47,6 +47,25 @@ def range_join(events: DataFrame, path: DataFrame, keys: Sequence[str], at: str,
     return e.join(p, [*keys, "_b"]).where((F.col("_at") > F.col(at)) & (F.col("_at") <= F.col(at) + F.lit(horizon))).drop("_b")
 
 
+def path_extremes(events: DataFrame, path: DataFrame, keys: Sequence[str], ident: Sequence[str], at: str, path_at: str, horizon: int, value: str, step: int = 1_000_000_000) -> DataFrame:
+    """Greatest and least ``value`` and the number of path rows in (at, at + horizon] of each event: ``ident``, ``maior``, ``menor``, ``n``.
+
+    The path is reduced to its extremes per ``step`` first; an event meets the whole steps inside its horizon, and rows only
+    of the two steps that its ends cut. So a busy minute costs an event its seconds, not its trades. Events whose horizon
+    holds no row have none in the result.
+    """
+    p = path.select(*keys, F.col(path_at).alias("_at"), F.col(value).alias("_v")).withColumn("_step", _bucket("_at", step))
+    e = events.select(*ident, *(k for k in keys if k not in ident), F.col(at).alias("_from"))
+    per = p.groupBy(*keys, "_step").agg(F.max("_v").alias("maior"), F.min("_v").alias("menor"), F.count("_v").alias("n"))
+    whole = range_join(e, per.withColumn("_start", F.col("_step") * step), keys, "_from", "_start", horizon, ["maior", "menor", "n"])
+    whole = whole.where(F.col("_at") + (step - 1) <= F.col("_from") + horizon).select(*ident, "maior", "menor", "n")
+    ends = e.withColumn("_to", F.col("_from") + horizon).withColumns({"_a": _bucket("_from", step), "_b": _bucket("_to", step)})
+    cut = F.filter(F.array_distinct(F.array("_a", "_b")), lambda s: (s == F.col("_a")) | ((s + 1) * step - 1 > F.col("_to")))
+    edge = ends.withColumn("_step", F.explode(cut)).join(p, [*keys, "_step"]).where("_at > _from and _at <= _to")
+    edge = edge.select(*ident, F.col("_v").alias("maior"), F.col("_v").alias("menor"), F.col("_v").isNotNull().cast("bigint").alias("n"))
+    return whole.unionByName(edge).groupBy(*ident).agg(F.max("maior").alias("maior"), F.min("menor").alias("menor"), F.sum("n").alias("n"))
+
+
 def first_hit(events: DataFrame, path: DataFrame, keys: Sequence[str], event_id: Sequence[str], at: str, path_at: str, horizon: int, keep: Sequence[str], hit: Column, order: Sequence[str]) -> DataFrame:
     """The first path row after each event, within ``horizon``, for which ``hit`` holds; one row per event that has one."""
     hits = range_join(events, path, keys, at, path_at, horizon, keep).where(hit)

@@ -370,9 +370,12 @@ def m12_forward_probe(spark, d):
     """Excursions and the time to the first higher trade, for two horizons, from the tape itself."""
     t = tape_once(spark, d)
     path = range_join(big_buys(t), t.withColumnRenamed("price", "p"), ["symbol", "dt"], "ts_ns", "ts_ns", 300 * 10**9, ["p"])
-    path = path.withColumn("horizonte_s", F.explode(F.array(F.lit(60).cast("bigint"), F.lit(300).cast("bigint")))).where(F.col("_at") <= F.col("ts_ns") + F.col("horizonte_s") * 10**9)
-    move = F.col("p") - F.col("price")
-    g = path.groupBy("symbol", "dt", "trade_id", F.col("horizonte_s").cast("bigint").alias("horizonte_s")).agg(F.max(move).alias("x"), F.min(move).alias("i"), F.min(F.when(F.col("p") > F.col("price"), F.col("_at") - F.col("ts_ns"))).alias("alta_ns"))
+    move, gone = F.col("p") - F.col("price"), F.col("_at") - F.col("ts_ns")
+    of = lambda h: F.struct(
+        F.lit(h).cast("bigint").alias("horizonte_s"), F.max(F.when(gone <= h * 10**9, move)).alias("x"), F.min(F.when(gone <= h * 10**9, move)).alias("i"),
+        F.min(F.when((gone <= h * 10**9) & (F.col("p") > F.col("price")), gone)).alias("alta_ns"),
+    )
+    g = path.groupBy("symbol", "dt", "trade_id").agg(F.array(of(60), of(300)).alias("_h")).select("symbol", "dt", "trade_id", F.explode("_h").alias("_h")).select("symbol", "dt", "trade_id", "_h.*").where("x is not null")
     return g.select("symbol", "dt", "trade_id", "horizonte_s", r6(F.greatest("x", F.lit(0.0))).alias("mfe"), r6(F.least("i", F.lit(0.0))).alias("mae"), "alta_ns")
 
 

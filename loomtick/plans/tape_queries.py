@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalars import half_up_tick, microprice, ticker_family, wilson
-from ..operators.asof import asof_backward, first_hit, has_within, range_join
+from ..operators.asof import asof_backward, first_hit, has_within, path_extremes
 from ..operators.bars import SLICE_NS, broker_flow, ohlc, two_digits
 from ..operators.tape import TAPE_ORDER, aggressor_sign, is_aggressor, local_hhmm, passive_broker, plausible
 from ..operators.windows import average_rank, carried, correlation, drawdown, full_window, islands, sliced_running_sum, strict_past_z, valid_only_z, with_previous
@@ -186,10 +186,11 @@ def big_buys(t: DataFrame) -> DataFrame:
 @R.add(f"WITH {SQL_TAPE}, {_BIG} SELECT e.symbol, e.dt, e.trade_id, max(round(t.price - e.price, 6)) AS melhor, min(round(t.price - e.price, 6)) AS pior, count(*) AS n FROM ev e JOIN tape t ON t.symbol = e.symbol AND t.dt = e.dt AND t.ts_ns > e.ts_ns AND t.ts_ns <= e.ts_ns + 120000000000 GROUP BY ALL")
 def c07_forward_path(spark, d):
     """Excursion of the price in the two minutes after a large aggressor buy."""
-    t = tape(spark, d)
-    path = range_join(big_buys(t), t.withColumnRenamed("price", "depois"), ["symbol", "dt"], "ts_ns", "ts_ns", 2 * MINUTE, ["depois"])
-    move = F.round(F.col("depois") - F.col("price"), 6)
-    return path.groupBy("symbol", "dt", "trade_id").agg(F.max(move).alias("melhor"), F.min(move).alias("pior"), F.count(F.lit(1)).alias("n"))
+    t, ident = tape_once(spark, d), ["symbol", "dt", "trade_id"]
+    e = big_buys(t)
+    x = path_extremes(e, t, ["symbol", "dt"], ident, "ts_ns", "ts_ns", 2 * MINUTE, "price")
+    move = lambda c: r6(F.col(c) - F.col("price"))
+    return e.join(x, ident).select(*ident, move("maior").alias("melhor"), move("menor").alias("pior"), "n")
 
 
 @R.add(f"WITH {SQL_TAPE}, {_BIG}, h AS (SELECT e.symbol, e.dt, e.trade_id, min({{'at': t.ts_ns, 'r': t.ts_recv_ns, 'id': t.trade_id, 'p': t.price}}) AS w FROM ev e JOIN tape t ON t.symbol = e.symbol AND t.dt = e.dt AND t.ts_ns > e.ts_ns AND t.ts_ns <= e.ts_ns + 600000000000 AND t.price < e.price GROUP BY ALL) SELECT symbol, dt, trade_id, w['at'] AS tocou_ns, w['p'] AS preco FROM h")

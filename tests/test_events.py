@@ -142,3 +142,22 @@ def test_a_cluster_without_a_shared_folder_is_refused():
     far = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
     with pytest.raises(RuntimeError):
         shared_root(far)
+
+
+@pytest.mark.parametrize("step", [1, 7, 10, 1000])
+def test_extremes_of_a_path_equal_brute_force(spark, step):
+    import random
+
+    from loomtick.operators.asof import path_extremes
+
+    rnd = random.Random(step)
+    path = [(rnd.choice("AB"), rnd.randrange(200), rnd.choice([None, 1.0, 2.5, -3.0, 7.0])) for _ in range(300)]
+    events = [(rnd.choice("ABC"), i, rnd.choice([rnd.randrange(200), 10 * rnd.randrange(20)])) for i in range(60)]
+    got = path_extremes(spark.createDataFrame(events, "k string, i bigint, t bigint"), spark.createDataFrame(path, "k string, at bigint, v double"), ["k"], ["i"], "t", "at", 25, "v", step).collect()
+    want = {}
+    for k, i, t in events:
+        seen = [v for s, at, v in path if s == k and t < at <= t + 25]
+        if seen:
+            v = [x for x in seen if x is not None]
+            want[i] = (max(v, default=None), min(v, default=None), len(v))
+    assert {r.i: (r.maior, r.menor, r.n) for r in got} == want
