@@ -19,7 +19,7 @@ def tape(spark, rows):
 
 
 def replay(spark, side, rows, valid=15):
-    orders = spark.createDataFrame([("A", 1, side, 1000.0, 600 * S, "x")], ORDERS)
+    orders = spark.createDataFrame([("A", 1, side, 2000.0, 100 * S, "x")], ORDERS)
     t = tape(spark, rows)
     filled = limit_fills(orders.drop("price"), t, ["s"], ["i"], valid * S)
     return leg_exits(filled, t, ["s"], ["i"], **LEG).first()
@@ -27,22 +27,22 @@ def replay(spark, side, rows, valid=15):
 
 @pytest.mark.parametrize("side", [1, -1])
 def test_retreat_target_and_trailing_by_hand(spark, side):
-    rows = [(600, 1010), (603, 1000), (605, 995), (620, 1030), (625, 1045), (630, 1060), (640, 1035), (650, 1050)]
-    r = replay(spark, side, [(t, p if side > 0 else 2000 - p) for t, p in rows])
-    assert (r.execucao, r.entrada, r.entrada_ns) == ("recuo", 1000.0, 605 * S)
-    assert [(r.p1, r.m1), (r.p2, r.m2), (r.p3, r.m3)] == [(60.0, 1), (45.0, 2), (45.0, 2)] and r.saida_ns == 640 * S
+    rows = [(100, 2012), (103, 2000), (104, 1993), (120, 2025), (126, 2044), (131, 2060), (142, 2038), (150, 2055)]
+    r = replay(spark, side, [(t, p if side > 0 else 4000 - p) for t, p in rows])
+    assert (r.execucao, r.entrada, r.entrada_ns) == ("recuo", 2000.0, 104 * S)
+    assert [(r.p1, r.m1), (r.p2, r.m2), (r.p3, r.m3)] == [(60.0, 1), (46.0, 2), (46.0, 2)] and r.saida_ns == 142 * S
 
 
 def test_opening_beyond_the_limit_fills_there_and_stops_in_full(spark):
-    r = replay(spark, 1, [(600, 990), (605, 960), (610, 930), (620, 1100)])
-    assert (r.execucao, r.entrada, r.p1, r.p2, r.p3, r.m3) == ("abertura", 990.0, -60.0, -60.0, -60.0, 2)
+    r = replay(spark, 1, [(100, 1985), (105, 1950), (110, 1920), (120, 2100)])
+    assert (r.execucao, r.entrada, r.p1, r.p2, r.p3, r.m3) == ("abertura", 1985.0, -60.0, -60.0, -60.0, 2)
 
 
 def test_a_touch_is_no_fill_and_open_legs_leave_by_time(spark):
-    r = replay(spark, 1, [(600, 1010), (605, 1000), (614, 1000), (620, 900)])
+    r = replay(spark, 1, [(100, 2010), (106, 2000), (113, 2000), (120, 1900)])
     assert r.execucao is None and r.entrada is None and r.p1 is None
-    r = replay(spark, 1, [(600, 990), (700, 1000), (800, 1005), (600 + 3700, 2000)])
-    assert (r.p1, r.m1, r.saida_ns) == (15.0, 0, 800 * S)  # the last trade within the hour
+    r = replay(spark, 1, [(100, 1985), (200, 1990), (300, 2001), (100 + 3700, 3000)])
+    assert (r.p1, r.m1, r.saida_ns) == (16.0, 0, 300 * S)  # the last trade within the hour
     assert replay(spark, 1, []).execucao is None
 
 
