@@ -11,7 +11,7 @@ from ..operators.quality import footers
 from ..operators.series import fold_series
 from ..operators.stats import quantile_bucket
 from ..operators.tape import local_hhmm
-from ..operators.windows import with_previous
+from ..operators.windows import correlation, with_previous
 from ..sources.tables import table, valid_ts
 from .registry import SQL_SYMBOL, SQL_TAPE, SQL_VALID, Registry, r6, tape, tape_once
 from .research_queries import _M5, SQL_FLOW, by_bar, flow, iceberg_runs, resolved
@@ -123,6 +123,30 @@ def j15b_day_shapes(spark, d):
     return t.select("symbol", "dt", r6("x").alias("direcao"), F.when(F.col("_t") == 1, "lateral").when(F.col("_t") == 2, "misto").otherwise("tendencia").alias("forma"))
 
 
+_TAILED = ("imbalance", "rlp_frac", "absorcao")
+
+
+@R.add(f"""WITH {SQL_FLOW}, l AS ({" UNION ALL ".join(f"SELECT symbol, '{c}' AS feature, round({c}, 9) AS x FROM flow" for c in _TAILED)}), m AS (SELECT symbol, feature, avg(x) AS m, stddev_samp(x) AS s FROM l GROUP BY ALL)
+SELECT symbol, feature, count(*) AS n, round(count(*) FILTER (WHERE round(abs(x - m) / s, 6) > 2.5) / count(*), 6) AS cauda, round(count(*) FILTER (WHERE round(abs(x - m) / s, 6) > 2.5) / count(*) / 0.0124, 4) AS pela_normal FROM l JOIN m USING (symbol, feature) WHERE s > 1e-9 GROUP BY ALL HAVING count(*) >= 10""")
+def j16b_tail_shares(spark, d):
+    """The share of a feature beyond 2.5 deviations, and that over the 1.24 % of a normal one."""
+    x = flow(spark, d).select("symbol", *(F.round(c, 9).alias(c) for c in _TAILED)).unpivot(["symbol"], list(_TAILED), "feature", "x").where("x is not null")
+    m = x.groupBy("symbol", "feature").agg(F.avg("x").alias("m"), F.stddev_samp("x").alias("s")).where("s > 1e-9")
+    far = F.count_if(F.round(F.abs(F.col("x") - F.col("m")) / F.col("s"), 6) > 2.5) / F.count(F.lit(1))
+    a = x.join(m, ["symbol", "feature"]).groupBy("symbol", "feature").agg(F.count(F.lit(1)).alias("n"), far.alias("f")).where("n >= 10")
+    return a.select("symbol", "feature", "n", r6("f").alias("cauda"), r6(F.col("f") / 0.0124, 4).alias("pela_normal"))
+
+
+@R.add(f"WITH {SQL_FLOW}, x AS (SELECT symbol, abs(vol_compra - vol_venda)::double AS a, (vol_compra + vol_venda)::double AS b, abs(imbalance) AS r FROM flow) SELECT symbol, count(*) AS n, round(corr(r, a), 5) + 0.0 AS com_numerador, round(corr(r, b), 5) + 0.0 AS com_denominador FROM x GROUP BY symbol HAVING count(*) >= 10 AND var_pop(r) > 1e-12 AND var_pop(a) > 1e-12 AND var_pop(b) > 1e-12")
+def j16c_ratio_parts(spark, d):
+    """Whether a ratio follows its numerator or its denominator."""
+    va, dif = F.col("vol_compra") + F.col("vol_venda"), F.abs(F.col("vol_compra") - F.col("vol_venda"))
+    x = flow(spark, d).select("symbol", dif.cast("double").alias("a"), va.cast("double").alias("b"), F.abs("imbalance").alias("r"))
+    varies = [F.var_pop(c) > 1e-12 for c in "abr"]
+    s = x.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), r6(correlation(F.col("r"), F.col("a")), 5).alias("com_numerador"), r6(correlation(F.col("r"), F.col("b")), 5).alias("com_denominador"), (varies[0] & varies[1] & varies[2]).alias("_v"))
+    return s.where("n >= 10 and _v").drop("_v")
+
+
 _CURVE = (2, 3, 5, 10)
 _RUNS = "f{k} AS (SELECT *, CASE WHEN coalesce(ts_ns - lag(ts_ns) OVER w <= 30000000000, false) THEN 0 ELSE 1 END AS s FROM p WHERE passivo > 0 AND {where} WINDOW w AS (PARTITION BY symbol, dt, price, quantidade, passivo ORDER BY ts_ns, ts_recv_ns, trade_id)), g{k} AS (SELECT *, sum(s) OVER (PARTITION BY symbol, dt, price, quantidade, passivo ORDER BY ts_ns, ts_recv_ns, trade_id)::bigint AS ilha FROM f{k}), r{k} AS (SELECT symbol, count(*) AS n FROM g{k} GROUP BY symbol, dt, price, quantidade, passivo, ilha)"
 
